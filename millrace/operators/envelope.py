@@ -16,7 +16,8 @@ from millrace.functions.codec import (
 )
 
 # Fixed value: shape of the stream envelope.
-ENVELOPE_SCHEMA = T.StructType.fromDDL("Records array<struct<kinesis: struct<data: string>>>")
+RECORD_SCHEMA = T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))
+ENVELOPE_SCHEMA = T.StructType().add("Records", T.ArrayType(RECORD_SCHEMA))
 
 STATUS_COLUMN = "_status"
 RAW_COLUMN = "_raw"
@@ -50,7 +51,7 @@ def explode_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
     parsed = envelopes.select(
         line.alias("line"), F.from_json(line, ENVELOPE_SCHEMA)["Records"].alias("records")
     )
-    one_null = F.array(F.lit(None).cast(ENVELOPE_SCHEMA["Records"].dataType.elementType))
+    one_null = F.array(F.lit(None).cast(RECORD_SCHEMA))
     return parsed.select(
         F.when(F.col("records").isNull(), F.coalesce("line", F.lit(""))).alias("bad_envelope"),
         F.explode(F.coalesce("records", one_null)).alias("record"),

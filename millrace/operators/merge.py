@@ -50,19 +50,20 @@ def upsert_latest(
     fits = latest.fits(broadcast_bytes)
     if not keep_later:
         untouched = target.join(_side(latest.df.select(*keys), fits), list(keys), "left_anti")
-        return untouched.unionByName(latest.df)
+        return untouched.unionByName(latest.df).select(*target.columns)
 
     stored = target.withColumn("_incoming", F.lit(0))
     incoming = latest.df.withColumn("_incoming", F.lit(1))
     later = [*order, "_incoming"]
     if not fits:
         # Nearly every key may change: one shuffle of both is the least work.
-        return dedup_latest(stored.unionByName(incoming), keys, later, ties).drop("_incoming")
+        rivals = stored.unionByName(incoming)
+        return dedup_latest(rivals, keys, later, ties).select(*target.columns)
     batch_keys = F.broadcast(latest.df.select(*keys))
     untouched = target.join(batch_keys, list(keys), "left_anti")
     rivals = stored.join(batch_keys, list(keys), "left_semi").unionByName(incoming)
     changed = dedup_latest(rivals, keys, later, ties).drop("_incoming")
-    return untouched.unionByName(changed)
+    return untouched.unionByName(changed).select(*target.columns)
 
 
 def _side(df: DataFrame, fits: bool) -> DataFrame:
@@ -166,7 +167,7 @@ def merge_update_insert(
         hits = target.select(*on).join(F.broadcast(matchable.select(*on)), list(on), "left_semi")
         # Distinct hits are some of the source keys, so the same bound holds.
         inserted = staged.df.join(F.broadcast(hits.distinct()), list(on), "left_anti")
-        return updated.unionByName(inserted.select(*target.columns))
+        return updated.unionByName(inserted)
 
     # NULL keys match nothing. Neither do repeated source keys, after the check,
     # so rows of very frequent ones are inserted without a join.
@@ -178,7 +179,7 @@ def merge_update_insert(
     updated = _update_shuffled(target, matchable, on, update, frequent_rows)
     known = target.where(~_any_null(on)).select(*on).distinct()
     inserted = matchable.join(known, list(on), "left_anti").unionByName(unmatched)
-    return updated.unionByName(inserted.select(*target.columns))
+    return updated.unionByName(inserted).select(*target.columns)
 
 
 def _update_shuffled(

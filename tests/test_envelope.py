@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import base64
+import json
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.operators import decode_envelope, decode_tagged, encode_envelope, quarantine
+from millrace.sources import infer_record_schema, records_to_rows
+
+SCHEMA = T.StructType().add("id", T.IntegerType()).add("name", T.StringType())
+
+
+def b64(data):
+    return base64.b64encode(data if isinstance(data, bytes) else data.encode()).decode()
+
+
+def envelope(*data):
+    return json.dumps({"Records": [{"kinesis": {"data": d}} for d in data]})
+
+
+def lines(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+@pytest.mark.parametrize(
+    ("line", "expected"),
+    [
+        (envelope(b64('{"id":1,"name":"großzügig"}')), [(1, "großzügig", "ok", None)]),
+        (envelope(b64('{"id":1}'), b64('{"id":2}')), [(1, None, "ok", None), (2, None, "ok", None)]),
+        (envelope(b64('{"id":1,"extra":true}')), [(1, None, "ok", None)]),
+        (envelope(b64('{"id":"x"}')), [(None, None, "bad_json", b64('{"id":"x"}'))]),
+        (envelope(b64("nope")), [(None, None, "bad_json", b64("nope"))]),
+        (envelope(b64('[{"id":1}]')), [(None, None, "bad_json", b64('[{"id":1}]'))]),
+        (envelope(""), [(None, None, "bad_json", "")]),
+        (envelope("!!"), [(None, None, "bad_base64", "!!")]),
+        (envelope(b64(b"\xff\xfe")), [(None, None, "bad_utf8", b64(b"\xff\xfe"))]),
+        (envelope(None), [(None, None, "missing_data", None)]),
+        ('{"Records":[{}]}', [(None, None, "missing_data", None)]),
+        ('{"Records":[]}', []),
+        ("{}", [(None, None, "bad_envelope", "{}")]),
+        ("garbage", [(None, None, "bad_envelope", "garbage")]),
+        ("", [(None, None, "bad_envelope", "")]),
+        (None, [(None, None, "bad_envelope", "")]),
+    ],
+)
+def test_status_of_each_record(spark, rows, line, expected):
+    assert rows(decode_tagged(lines(spark, line), SCHEMA)) == expected
+
+
+def test_one_bad_record_does_not_lose_the_batch(spark, rows):
+    batch = lines(spark, envelope(b64('{"id":1}'), "!!", b64('{"id":3}')), "garbage")
+    assert rows(decode_envelope(batch, SCHEMA)) == [(1, None), (3, None)]
+    assert rows(quarantine(batch, SCHEMA)) == [("bad_base64", "!!"), ("bad_envelope", "garbage")]
+
+
+def test_empty_batch(spark):
+    assert decode_envelope(lines(spark), SCHEMA).count() == 0
+
+
+def test_line_breaks_in_base64_are_allowed(spark, rows):
+    text = b64('{"id":7}')
+    assert rows(decode_envelope(lines(spark, envelope(text[:4] + "\r\n" + text[4:])), SCHEMA)) == [
+        (7, None)
+    ]
+
+
+values = st.tuples(
+    st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)),
+    st.one_of(st.none(), st.text(st.characters(exclude_categories=["Cs"]), max_size=80)),
+    st.one_of(st.none(), st.datetimes()),
+    st.one_of(st.none(), st.floats(allow_nan=False, allow_infinity=False)),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(values, min_size=1, max_size=10))
+def test_decode_undoes_encode(spark, rows, data):
+    df = spark.createDataFrame(data, "id int, name string, ts timestamp_ntz, value double")
+    back = decode_envelope(encode_envelope(df), df.schema)
+    assert rows(back) == rows(df)
+
+
+def test_encoded_lines_hold_no_line_breaks(spark):
+    df = spark.createDataFrame([("x" * 500,)], "text string")
+    assert "\n" not in encode_envelope(df).first()["value"]
+
+
+def test_decode_needs_no_python_worker_and_parses_each_record_once(spark, plan_of):
+    batch = lines(spark, envelope(b64('{"id":1}')))
+    plan = plan_of(decode_envelope(batch, SCHEMA))
+    assert "Python" not in plan and "Pandas" not in plan
+    assert plan.count("from_json(StructField(id") == 1
+
+
+def test_inferred_schema_is_the_union_of_fields(spark, rows):
+    records = spark.createDataFrame(
+        [('{"a":1}',), ('{"a":2.5,"b":"x"}',), ('{"c":null}',), ("broken",)], "data string"
+    )
+    assert infer_record_schema(records).simpleString() == "struct<a:double,b:string,c:string>"
+    parsed = records_to_rows(records)
+    assert rows(parsed.where(F.col("a").isNotNull())) == [(1.0, None, None), (2.5, "x", None)]

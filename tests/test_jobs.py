@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from pyspark.errors import PySparkException
+
+from millrace.plans import JobParams, join_uri, sql_job
+
+
+def test_flat_event_body_and_environment():
+    environ = {"INPUT_PATH": "env", "output_path": "env-out", "CUSTOM_SQL": "SELECT 1"}
+    event = {"INPUT_PATH": "event", "body": json.dumps({"TABLE_NAME": "t", "DATABASE_NAME": "d"})}
+    params = JobParams.resolve(event, environ)
+    assert params == JobParams("event", "env-out", "d", "t", "SELECT 1")
+    assert params.qualified_table == "d.t"
+    assert JobParams.resolve(json.dumps(event)).input_path == "event"
+
+
+def test_the_body_comes_first_and_lists_are_ignored():
+    event = {"Records": [{}], "input_path": "a", "body": '{"INPUT_PATH": "b"}'}
+    before = dict(os.environ)
+    assert JobParams.resolve(event).input_path == "b"
+    assert JobParams.resolve({"body": ""}).input_path is None
+    assert dict(os.environ) == before
+
+
+def test_missing_parameters_are_named():
+    with pytest.raises(ValueError, match="output_path, table_name"):
+        JobParams.resolve({"INPUT_PATH": "a"}).require("input_path", "output_path", "table_name")
+    with pytest.raises(ValueError):
+        JobParams.resolve("[1]")
+
+
+def test_join_uri():
+    assert join_uri("s3a://bucket/", "/a/b.csv") == "s3a://bucket/a/b.csv"
+
+
+def test_sql_job_binds_values_and_leaves_no_view(spark, rows):
+    df = spark.createDataFrame([(1, "x"), (2, "it's")], "id int, name string")
+    text = "SELECT id FROM source_table WHERE name = :name"
+    result = sql_job(spark, text, {"source_table": df}, {"name": "it's"})
+    assert not spark.catalog.tableExists("source_table")
+    assert rows(result) == [(2,)]
+    injected = sql_job(spark, text, {"source_table": df}, {"name": "x' OR '1'='1"})
+    assert rows(injected) == []
+
+
+def test_sql_job_is_one_statement(spark):
+    with pytest.raises(PySparkException):
+        sql_job(spark, "SELECT 1; SELECT 2")
+    df = spark.range(1)
+    with pytest.raises(PySparkException):
+        sql_job(spark, "SELECT nope FROM v", {"v": df})
+    assert not spark.catalog.tableExists("v")
