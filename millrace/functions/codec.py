@@ -17,7 +17,7 @@ CORRUPT_FIELD = "_corrupt_record"
 
 def encode_base64(text: Column) -> Column:
     """UTF-8 text to base64 on a single line."""
-    return F.translate(F.base64(text.cast("binary")), "\r\n", "")
+    return F.replace(F.base64(text.cast("binary")), F.lit("\r\n"), F.lit(""))
 
 
 def base64_bytes(data: Column) -> Column:

@@ -34,6 +34,7 @@ def upsert_latest(
     ties: Sequence[str],
     keep_later: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Target with the latest batch row of each key put in.
 
@@ -44,25 +45,29 @@ def upsert_latest(
 
     The target must hold one row per key. The deduplicated batch is staged
     once and its keys are measured. If they fit ``broadcast_bytes`` the target
-    is not shuffled at all; otherwise both sides are shuffled by key.
+    is not shuffled at all; otherwise both sides are shuffled by key. Say in how
+    many ``buckets`` by key the target is stored, and a large batch is sent to
+    those buckets while the target stays where it is.
     """
     latest = stage(dedup_latest(batch, keys, order, ties), "upsert-batch", measure=keys)
     fits = latest.fits(broadcast_bytes)
-    if not keep_later:
-        untouched = target.join(_side(latest.df.select(*keys), fits), list(keys), "left_anti")
-        return untouched.unionByName(latest.df).select(*target.columns)
-
+    batch_keys = _side(latest.df.select(*keys), fits)
     stored = target.withColumn("_incoming", F.lit(0))
     incoming = latest.df.withColumn("_incoming", F.lit(1))
     later = [*order, "_incoming"]
-    if not fits:
+    if not keep_later:
+        changed = latest.df
+    elif fits or buckets:
+        matched = stored.join(batch_keys, list(keys), "left_semi")
+        rivals = matched.unionByName(incoming)
+        changed = dedup_latest(rivals, keys, later, ties).drop("_incoming")
+    else:
         # Nearly every key may change: one shuffle of both is the least work.
         rivals = stored.unionByName(incoming)
         return dedup_latest(rivals, keys, later, ties).select(*target.columns)
-    batch_keys = F.broadcast(latest.df.select(*keys))
+    if buckets:
+        changed = changed.repartition(buckets, *keys)
     untouched = target.join(batch_keys, list(keys), "left_anti")
-    rivals = stored.join(batch_keys, list(keys), "left_semi").unionByName(incoming)
-    changed = dedup_latest(rivals, keys, later, ties).drop("_incoming")
     return untouched.unionByName(changed).select(*target.columns)
 
 
@@ -152,8 +157,8 @@ def merge_update_insert(
     ``DuplicateSourceKeyError``.
 
     The source is staged and measured. If it fits ``broadcast_bytes`` the
-    target is not shuffled. Otherwise the two sides are shuffled by key, with
-    the rows of NULL and very frequent target keys joined apart from the rest.
+    target is not shuffled. Otherwise the two sides are shuffled by key once,
+    with NULL and very frequent target keys joined apart from the rest.
     """
     if set(source.columns) != set(target.columns):
         raise ValueError("source and target need the same columns")
@@ -176,39 +181,63 @@ def merge_update_insert(
         frequent = F.broadcast(frequent_keys(matchable, on, min_rows=frequent_rows))
         unmatched = unmatched.unionByName(matchable.join(frequent, list(on), "left_semi"))
         matchable = matchable.join(frequent, list(on), "left_anti")
-    updated = _update_shuffled(target, matchable, on, update, frequent_rows)
-    known = target.where(~_any_null(on)).select(*on).distinct()
-    inserted = matchable.join(known, list(on), "left_anti").unionByName(unmatched)
-    return updated.unionByName(inserted).select(*target.columns)
+    merged = _merge_shuffled(target, matchable, on, update, frequent_rows)
+    return merged.unionByName(unmatched).select(*target.columns)
 
 
-def _update_shuffled(
+def _merge_shuffled(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     update: Sequence[str],
     frequent_rows: int,
 ) -> DataFrame:
-    """Updated target rows when the source is too large to broadcast.
+    """Merge a source that is too large to broadcast.
 
-    Rows of NULL keys skip the join. Rows of very frequent keys meet the few
-    source rows they need in a broadcast join, so that no task gathers them.
+    One full join updates and inserts, so both sides are shuffled once. Target
+    rows with NULL or very frequent keys stay out of it: they meet the few
+    source rows they need in a broadcast join, and no task gathers them.
     """
-    keyed = target.where(~_any_null(keys))
-    keyless = target.where(_any_null(keys))
-    # At most FREQUENT_KEYS rows, gathered once so that both parts agree.
-    singled_out = frequent_keys(keyed, keys, min_rows=frequent_rows).collect()
-    if not singled_out:
-        return _apply_updates(keyed, source, keys, update, fits=False).unionByName(keyless)
-    local_keys = target.sparkSession.createDataFrame(singled_out, target.select(*keys).schema)
-    hot_keys = F.broadcast(local_keys)
-    # One source row per key at most, since the check has passed.
-    hot_source = source.join(hot_keys, list(keys), "left_semi")
-    hot_target = keyed.join(hot_keys, list(keys), "left_semi")
-    cold_target = keyed.join(hot_keys, list(keys), "left_anti")
-    hot = _apply_updates(hot_target, hot_source, keys, update, fits=True)
-    cold = _apply_updates(cold_target, source, keys, update, fits=False)
-    return cold.unionByName(hot).unionByName(keyless)
+    null_key = _any_null(keys)
+    # At most FREQUENT_KEYS rows, gathered once so that all parts agree.
+    frequent = frequent_keys(target.where(~null_key), keys, min_rows=frequent_rows).collect()
+    if not frequent:
+        rest, apart = target.where(~null_key), target.where(null_key)
+    else:
+        key_schema = target.select(*keys).schema
+        singled_out = target.sparkSession.createDataFrame(frequent, key_schema)
+        marked = target.join(
+            F.broadcast(singled_out.withColumn("_frequent", F.lit(True))), list(keys), "left"
+        )
+        is_apart = F.col("_frequent").isNotNull() | null_key
+        rest = marked.where(~is_apart).drop("_frequent")
+        # The check has passed, so there is one source row per key at most.
+        matching = source.join(F.broadcast(singled_out), list(keys), "left_semi")
+        source = source.join(F.broadcast(singled_out), list(keys), "left_anti")
+        apart = _apply_updates(
+            marked.where(is_apart).drop("_frequent"), matching, keys, update, fits=True
+        )
+    joined = rest.withColumn("_stored", F.lit(True)).join(
+        source.select(
+            *keys,
+            *[F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys],
+            F.lit(True).alias("_matched"),
+        ),
+        list(keys),
+        "full",
+    )
+    merged = joined.select(*[_merged_column(c, keys, update) for c in target.columns])
+    return merged.unionByName(apart)
+
+
+def _merged_column(name: str, keys: Sequence[str], update: Sequence[str]) -> Column:
+    stored = F.col(name)
+    if name in keys:
+        return stored
+    new = F.col(f"_new_{name}")
+    if name in update:
+        return F.when(F.col("_matched"), new).otherwise(stored).alias(name)
+    return F.when(F.col("_stored"), stored).otherwise(new).alias(name)
 
 
 def merge_into(

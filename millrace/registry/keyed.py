@@ -112,6 +112,27 @@ def upsert_table_query(spark, sf_dir):
     return spark.table(name)
 
 
+@query("upsert_bucketed_table", KEEP_LATER_SQL)
+def upsert_bucketed_table(spark, sf_dir):
+    """A batch too large to broadcast, into a table stored in buckets by key."""
+    name = f"lines_{uuid.uuid4().hex}"
+    root = fresh_path(spark, "lines")
+    stored, batch = stored_and_batch(spark, sf_dir)
+    for rows in (stored, batch):
+        upsert_table(
+            rows,
+            name,
+            root,
+            LINE_KEYS,
+            LINE_ORDER,
+            LINE_TIES,
+            keep_later=True,
+            broadcast_bytes=0,
+            buckets=16,
+        )
+    return spark.table(name)
+
+
 @query(
     "upsert_partitions",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import upsert_latest
+from millrace.sources.catalog import table_metadata
 from millrace.workspace import BROADCAST_BYTES, stage
 
 
@@ -68,26 +69,34 @@ def quoted(name: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
+def _location(path: str) -> str:
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+    return f"LOCATION '{escaped}'"
+
+
 def create_table_like(
     df: DataFrame,
     name: str,
     location: str | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    buckets: int | None = None,
+    bucket_by: Sequence[str] = (),
 ) -> None:
     """Create an empty table with the columns of ``df`` unless it exists."""
     spark = df.sparkSession
-    if not spark.catalog.tableExists(name):
-        columns = ", ".join(
-            f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields
-        )
-        parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
-        place = ""
-        if location is not None:
-            place = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'"
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING {fmt}{parts}{place}"
-        )
+    if spark.catalog.tableExists(name):
+        return
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+    clauses = [f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING {fmt}"]
+    if partition_by:
+        clauses.append(f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})")
+    if buckets:
+        by = ", ".join(map(quoted, bucket_by))
+        clauses.append(f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS")
+    if location is not None:
+        clauses.append(_location(location))
+    spark.sql(" ".join(clauses))
 
 
 def insert_by_name(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> None:
@@ -99,25 +108,48 @@ def insert_by_name(df: DataFrame, table: str, columns: Sequence[str] | None = No
 
 
 def write_snapshot(
-    df: DataFrame, root: str, fmt: str = "parquet", name: str | None = None
+    df: DataFrame,
+    root: str,
+    fmt: str = "parquet",
+    name: str | None = None,
+    buckets: int | None = None,
+    bucket_by: Sequence[str] = (),
 ) -> str:
     """Write the content of a table to a new folder below ``root``.
 
     Nothing that a running query reads is touched.
     """
     path = f"{root.rstrip('/')}/{name or 'snapshot-' + uuid.uuid4().hex}"
-    write(df, path, fmt)
+    if not buckets:
+        write(df, path, fmt)
+        return path
+    # Only a table can be written in buckets; dropping it keeps the files.
+    holder = f"snapshot_{uuid.uuid4().hex}"
+    (
+        df.write.format(fmt)
+        .bucketBy(buckets, *bucket_by)
+        .sortBy(*bucket_by)
+        .option("path", path)
+        .saveAsTable(holder)
+    )
+    df.sparkSession.sql(f"DROP TABLE {holder}")
     return path
 
 
-def publish_snapshot(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
+def publish_snapshot(spark: SparkSession, table: str, path: str) -> None:
     """Let a catalog table show a snapshot from now on."""
-    place = path.replace("\\", "\\\\").replace("'", "\\'")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {quoted(table)} SET LOCATION '{place}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.sql(f"CREATE TABLE {quoted(table)} USING {fmt} LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {quoted(table)} SET {_location(path)}")
+    spark.catalog.refreshTable(table)
+
+
+def _check_buckets(
+    spark: SparkSession, table: str, buckets: int | None, keys: Sequence[str]
+) -> None:
+    """A snapshot in other buckets than the table declares would be misread."""
+    descriptor = table_metadata(spark, table)["Table"]["StorageDescriptor"]
+    declared = (descriptor.get("NumberOfBuckets"), set(descriptor.get("BucketColumns", ())))
+    if declared != (buckets or None, set(keys) if buckets else set()):
+        raise ValueError(f"table {table} is not stored in {buckets} buckets by {list(keys)}")
 
 
 def upsert_table(
@@ -129,21 +161,28 @@ def upsert_table(
     ties: Sequence[str],
     keep_later: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    buckets: int | None = None,
     name: str | None = None,
 ) -> str:
     """Latest-wins upsert into a catalog table, by way of a new snapshot.
 
-    The table is created from the batch if it does not exist. Returns the
-    folder of the new snapshot.
+    The table is created from the batch if it does not exist, in ``buckets``
+    by key if that is set, which spares it the shuffle when a large batch
+    comes in. Returns the folder of the new snapshot.
     """
     spark = batch.sparkSession
-    if spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    if exists:
+        _check_buckets(spark, table, buckets, keys)
         target = spark.table(table)
     else:
         target = spark.createDataFrame([], batch.schema)
-    merged = upsert_latest(target, batch, keys, order, ties, keep_later, broadcast_bytes)
-    path = write_snapshot(merged, root, name=name)
-    publish_snapshot(spark, table, path)
+    merged = upsert_latest(target, batch, keys, order, ties, keep_later, broadcast_bytes, buckets)
+    path = write_snapshot(merged, root, name=name, buckets=buckets, bucket_by=keys)
+    if exists:
+        publish_snapshot(spark, table, path)
+    else:
+        create_table_like(batch, table, path, buckets=buckets, bucket_by=keys)
     return path
 
 

@@ -34,6 +34,10 @@ def table_metadata(spark: SparkSession, name: str) -> dict[str, Any]:
     }
     if details.get("Location"):
         descriptor["Location"] = details["Location"]
+    bucketed = [c.name for c in columns if c.isBucket]
+    if bucketed:
+        descriptor["BucketColumns"] = bucketed
+        descriptor["NumberOfBuckets"] = int(details["Num Buckets"])
     return {
         "Table": {
             "StorageDescriptor": descriptor,

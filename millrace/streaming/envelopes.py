@@ -89,7 +89,7 @@ def _merged_through(spark: SparkSession, table: str) -> str:
 
 def ingest_available(
     spark: SparkSession,
-    source: str,
+    source: str | None,
     schema: T.StructType,
     root: str,
     table: str,
@@ -99,6 +99,9 @@ def ingest_available(
     keep_later: bool = True,
     stamp: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    buckets: int | None = None,
+    fmt: str = "text",
+    options: Mapping[str, str] | None = None,
 ) -> str | None:
     """Decode all new envelopes and upsert their rows into a keyed table.
 
@@ -110,12 +113,13 @@ def ingest_available(
        batch into a new snapshot, whose folder names the last run in it.
 
     A failure between the steps leaves a run unmerged, and the next call picks
-    it up. With ``stamp`` rows carry the time they were landed. Returns the
-    folder of the snapshot, or None if there was nothing to merge.
+    it up. With ``stamp`` rows carry the time they were landed. ``options`` go
+    to the source, such as how many files to take in one micro-batch. Returns
+    the folder of the snapshot, or None if there was nothing to merge.
     """
     base = root.rstrip("/")
     run = f"{time.time_ns():020d}"
-    tagged = decode_tagged(read_envelopes(spark, source), schema)
+    tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
     if stamp:
         tagged = stamp_load_time(tagged, LOAD_TIME_COLUMN)
     landing = tagged.withColumn(RUN_COLUMN, F.lit(run))
@@ -142,6 +146,7 @@ def ingest_available(
         ties,
         keep_later,
         broadcast_bytes,
+        buckets,
         name=_SNAPSHOT_PREFIX + run,
     )
 

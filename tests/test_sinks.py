@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from millrace.operators import Check
+from millrace.operators import Check, upsert_latest
 from millrace.operators.quality import WARNING, size
 from millrace.plans import load_insert_select, load_overwrite, load_warehouse, quality_report
 from millrace.sinks import (
@@ -21,6 +21,7 @@ from millrace.sinks import (
     write_snapshot,
 )
 from millrace.sources import scan_csv
+from millrace.workspace import sql_settings
 
 
 @pytest.fixture()
@@ -112,7 +113,7 @@ def test_report_is_one_file_with_a_header(spark, df, tmp_path, rows):
 
 def test_snapshot_swap(spark, df, tmp_path, rows):
     first = write_snapshot(df, str(tmp_path))
-    publish_snapshot(spark, "swapped", first)
+    create_table_like(df, "swapped", first)
     before = spark.table("swapped")
     second = write_snapshot(before.withColumn("v", F.lit(0.0)), str(tmp_path))
     publish_snapshot(spark, "swapped", second)
@@ -126,6 +127,46 @@ def test_upsert_table_creates_and_updates(spark, df, tmp_path, rows):
     assert rows(spark.table("kept")) == [(1, "a", 1.5), (2, "z", 2.5)]
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+@pytest.mark.parametrize("keep_later", [False, True])
+def test_bucketed_table(spark, tmp_path, rows, limit, keep_later):
+    name = f"bucketed_{limit}_{keep_later}"
+    ddl = "id int, v int, note string"
+    old = spark.range(1000).selectExpr("int(id) AS id", "int(id % 7) AS v", "'old' AS note")
+    new = spark.range(500, 1500).selectExpr("int(id) AS id", "3 AS v", "'new' AS note")
+    for batch in (old, new):
+        upsert_table(
+            batch, name, str(tmp_path), ["id"], ["v"], ["note"], keep_later, limit, buckets=4
+        )
+    wins = F.col("id").between(500, 999) & (F.lit(not keep_later) | (F.col("v") <= 3))
+    expected = old.where(~wins).unionByName(
+        new.join(old.where(~wins).select("id"), "id", "left_anti")
+    )
+    assert rows(spark.table(name)) == rows(expected.select("id", "v", "note"))
+    assert spark.table(name).schema.simpleString() == f"struct<{ddl.replace(' ', ':').replace(',:', ',')}>"
+
+
+def test_bucketed_target_is_not_shuffled(spark, tmp_path, plan_of):
+    rows_in = spark.range(1000).selectExpr("int(id) AS id", "1 AS v", "'x' AS note")
+    upsert_table(rows_in, "in_place", str(tmp_path), ["id"], ["v"], ["note"], buckets=4)
+    merged = upsert_latest(
+        spark.table("in_place"), rows_in, ["id"], ["v"], ["note"], broadcast_bytes=0, buckets=4
+    )
+    with sql_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        plan = plan_of(merged)
+    scans = [line for line in plan.splitlines() if "in_place" in line]
+    assert len(scans) == 1 and "Bucketed: true" in scans[0]
+    assert plan.count("Exchange") == 2
+    assert "SortMergeJoin" in plan and plan.count("hashpartitioning(id") == 2
+
+
+def test_other_buckets_are_refused(df, tmp_path):
+    upsert_table(df, "refused", str(tmp_path), ["id"], ["v"], [], buckets=4)
+    for buckets in (None, 8):
+        with pytest.raises(ValueError, match="buckets"):
+            upsert_table(df, "refused", str(tmp_path), ["id"], ["v"], [], buckets=buckets)
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 30])
 def test_partition_upsert_leaves_other_partitions_alone(spark, df, tmp_path, rows, limit):
     target = tmp_path / "t"

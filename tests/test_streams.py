@@ -98,7 +98,7 @@ def test_rows_landed_before_a_failure_are_merged_by_the_next_run(
     assert not spark.catalog.tableExists("stream_b")
     arrive((2, 1, "second"))
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "publish_snapshot", fail)
+        patch.setattr(tables, "create_table_like", fail)
         with pytest.raises(RuntimeError):
             ingest_available(*options)
     ingest_available(*options)
