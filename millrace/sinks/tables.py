@@ -5,14 +5,18 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import upsert_latest
 from millrace.sources.catalog import table_metadata
 from millrace.workspace import BROADCAST_BYTES, stage
 
+# Up to this many partitions are named in a filter; more are found by a join.
+NAMED_PARTITIONS = 1000
+
 
 def write(
     df: DataFrame,
@@ -206,23 +210,22 @@ def upsert_partitions(
         raise ValueError("partition columns must be key columns")
     spark = batch.sparkSession
     staged = stage(batch, "partition-batch", measure=keys)
-    # One row per partition of the table at most.
-    touched = staged.df.select(*partition_by).distinct().collect()
-    if not touched:
-        return
+    touched = staged.df.select(*partition_by).distinct()
     target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
-    if len(partition_by) == 1:
-        column = partition_by[0]
-        within = F.col(column).isin([row[column] for row in touched])
+    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if not named:
+        return
+    if len(named) <= NAMED_PARTITIONS:
+        target = target.where(_in_partitions(named, partition_by))
     else:
-        within = reduce(
-            lambda a, b: a | b,
-            [
-                reduce(lambda a, b: a & b, [F.col(c) == F.lit(row[c]) for c in partition_by])
-                for row in touched
-            ],
-        )
-    merged = upsert_latest(
-        target.where(within), staged.df, keys, order, ties, keep_later, broadcast_bytes
-    )
-    overwrite_partitions(merged, path, partition_by)
+        target = target.join(touched, list(partition_by), "left_semi")
+    merged = upsert_latest(target, staged.df, keys, order, ties, keep_later, broadcast_bytes)
+    overwrite_partitions(merged.select(*batch.columns), path, partition_by)
+
+
+def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:
+    """Filter on partition columns that prunes all other partitions unread."""
+    if len(columns) == 1:
+        return F.col(columns[0]).isin([row[0] for row in values])
+    each = [reduce(and_, [F.col(c) == F.lit(row[c]) for c in columns]) for row in values]
+    return reduce(or_, each)

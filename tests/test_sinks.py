@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import Check, upsert_latest
 from millrace.operators.quality import WARNING, size
 from millrace.plans import load_insert_select, load_overwrite, load_warehouse, quality_report
+from millrace.sinks import tables
 from millrace.sinks import (
     create_table_like,
     csv_new,
@@ -184,6 +185,16 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, df, tmp_path, row
     assert read.count() == 4
 
 
+def test_more_partitions_than_a_filter_names(spark, df, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(tables, "NAMED_PARTITIONS", 1)
+    target = str(tmp_path / "t")
+    write(df, target, partition_by=["kind"])
+    batch = spark.createDataFrame([(1, "a", 9.0), (5, "c", 5.0)], df.schema)
+    upsert_partitions(batch, target, ["kind"], ["kind", "id"], ["v"], [])
+    read = spark.read.schema(df.schema).parquet(target).select(*df.columns)
+    assert rows(read) == [(1, "a", 9.0), (2, "b", 2.5), (5, "c", 5.0)]
+
+
 def test_partition_columns_must_be_key_columns(df, tmp_path):
     with pytest.raises(ValueError, match="key columns"):
         upsert_partitions(df, str(tmp_path), ["kind"], ["id"], ["v"], [])
