@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import dedup_latest
@@ -17,10 +17,13 @@ from millrace.workspace import BROADCAST_BYTES, Staged, stage
 
 # A target key with more rows than this is joined apart from the others.
 FREQUENT_KEY_ROWS = 1_000_000
-# How many such keys are singled out. Any key beyond them holds less than a
-# thousandth of the rows and goes through the ordinary shuffle join.
+# How many such keys are singled out. Those beyond them go through the ordinary
+# shuffle join; each holds less than about a thousandth of the rows.
 FREQUENT_KEYS = 1000
 
+_TRACKED_KEYS = 4096
+_SKETCH_GROUPS = 256
+
 
 class DuplicateSourceKeyError(ValueError):
     """More than one source row matches the same target row."""
@@ -75,27 +78,43 @@ def _side(df: DataFrame, fits: bool) -> DataFrame:
     return F.broadcast(df) if fits else df
 
 
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
 def frequent_keys(
     df: DataFrame,
     keys: Sequence[str],
-    most: int = FREQUENT_KEYS,
     min_rows: int = FREQUENT_KEY_ROWS,
-) -> DataFrame:
-    """The ``most`` frequent keys with more than ``min_rows`` rows each.
+    most: int = FREQUENT_KEYS,
+) -> list[Row]:
+    """Up to ``most`` keys that have more than ``min_rows`` rows each.
 
-    Reads the key columns only and counts before the shuffle.
+    Every key with more than about a thousandth of the rows is found. Tasks
+    count the key columns in sketches of fixed size, and only these are
+    shuffled, merged in two steps so that no task receives all of them.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.where(F.col("_rows") > min_rows)
-        .orderBy(F.col("_rows").desc(), *keys)
-        .limit(most)
-        .select(*keys)
+    keyed = df.where(~_any_null(keys))
+    key_hash = F.xxhash64(*keys)
+    tracked = F.lit(_TRACKED_KEYS)
+    sketches = (
+        keyed.select(
+            key_hash.alias("hash"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("part")
+        )
+        .groupBy("part")
+        .agg(F.call_function("approx_top_k_accumulate", "hash", tracked).alias("sketch"))
     )
-
-
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    merged = F.call_function("approx_top_k_combine", "sketch", tracked)
+    # Grouped by a constant, since sketches of nothing cannot be merged.
+    top = sketches.groupBy(F.lit("all")).agg(
+        F.call_function("approx_top_k_estimate", merged, F.lit(most)).alias("top")
+    )
+    found = top.first()
+    frequent = [item["item"] for item in found["top"] if item["count"] > min_rows] if found else []
+    if not frequent:
+        return []
+    # The hashes stand for a few more keys if two share one; none is dropped.
+    return keyed.where(key_hash.isin(frequent)).select(*keys).distinct().limit(2 * most).collect()
 
 
 def _check_single_match(target: DataFrame, source: Staged, keys: Sequence[str]) -> bool:
@@ -177,14 +196,20 @@ def merge_update_insert(
     # NULL keys match nothing. Neither do repeated source keys, after the check,
     # so rows of very frequent ones are inserted without a join.
     unmatched = staged.df.where(_any_null(on))
-    if repeats:
-        frequent = F.broadcast(frequent_keys(matchable, on, min_rows=frequent_rows))
-        unmatched = unmatched.unionByName(matchable.join(frequent, list(on), "left_semi"))
-        matchable = matchable.join(frequent, list(on), "left_anti")
+    frequent = frequent_keys(matchable, on, frequent_rows) if repeats else []
+    if frequent:
+        keys = _broadcast_keys(frequent, matchable, on)
+        unmatched = unmatched.unionByName(matchable.join(keys, list(on), "left_semi"))
+        matchable = matchable.join(keys, list(on), "left_anti")
     merged = _merge_shuffled(target, matchable, on, update, frequent_rows)
     return merged.unionByName(unmatched).select(*target.columns)
 
 
+def _broadcast_keys(found: list[Row], df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A few keys as a broadcast side; both parts of a split use the same list."""
+    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
+
+
 def _merge_shuffled(
     target: DataFrame,
     source: DataFrame,
@@ -199,21 +224,17 @@ def _merge_shuffled(
     source rows they need in a broadcast join, and no task gathers them.
     """
     null_key = _any_null(keys)
-    # At most FREQUENT_KEYS rows, gathered once so that all parts agree.
-    frequent = frequent_keys(target.where(~null_key), keys, min_rows=frequent_rows).collect()
+    frequent = frequent_keys(target, keys, frequent_rows)
     if not frequent:
         rest, apart = target.where(~null_key), target.where(null_key)
     else:
-        key_schema = target.select(*keys).schema
-        singled_out = target.sparkSession.createDataFrame(frequent, key_schema)
-        marked = target.join(
-            F.broadcast(singled_out.withColumn("_frequent", F.lit(True))), list(keys), "left"
-        )
+        singled_out = _broadcast_keys(frequent, target, keys)
+        marked = target.join(singled_out.withColumn("_frequent", F.lit(True)), list(keys), "left")
         is_apart = F.col("_frequent").isNotNull() | null_key
         rest = marked.where(~is_apart).drop("_frequent")
         # The check has passed, so there is one source row per key at most.
-        matching = source.join(F.broadcast(singled_out), list(keys), "left_semi")
-        source = source.join(F.broadcast(singled_out), list(keys), "left_anti")
+        matching = source.join(singled_out, list(keys), "left_semi")
+        source = source.join(singled_out, list(keys), "left_anti")
         apart = _apply_updates(
             marked.where(is_apart).drop("_frequent"), matching, keys, update, fits=True
         )

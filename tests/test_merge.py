@@ -196,12 +196,22 @@ def test_small_source_is_broadcast(spark, plan_of, sf_dir):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
-def test_frequent_keys_are_counted_on_key_columns_only(spark, rows, plan_of, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    plan = plan_of(frequent_keys(lines, ["l_returnflag"], min_rows=10))
-    assert "ReadSchema: struct<l_returnflag:string>" in plan
-    df = frame(spark, [(1, 0, "")] * 5 + [(2, 0, "")] * 3 + [(3, 0, "")])
-    assert rows(frequent_keys(df, ["id"], most=1, min_rows=2)) == [(1,)]
+def test_frequent_keys(spark):
+    df = frame(spark, [(1, 0, "")] * 5 + [(2, 0, "")] * 3 + [(3, 0, "")] + [(None, 0, "")] * 9)
+    assert sorted(r["id"] for r in frequent_keys(df, ["id"], 2)) == [1, 2]
+    assert [r["id"] for r in frequent_keys(df, ["id"], 2, most=1)] == [1]
+    assert frequent_keys(df, ["id"], 5) == []
+    assert frequent_keys(frame(spark, []), ["id"], 0) == []
+
+
+def test_frequent_keys_among_many(spark):
+    """Each key with a hundredth of the rows is found among 50,000 others."""
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(F.col("id")).alias("a"),
+        F.lit("x").alias("b"),
+    )
+    found = {r["a"] for r in frequent_keys(df, ["a", "b"], 500)}
+    assert found == set(range(0, 100, 10))
 
 
 def test_a_hot_key_in_target_and_source(spark, rows):
@@ -226,6 +236,14 @@ def test_a_hot_key_in_target_and_source(spark, rows):
         assert rows(merged) == expected
 
 
+def test_merge_with_keys_of_other_types(spark, rows):
+    target = frame(spark, [(1, 0, "t")] * 3 + [(2, 0, "t")])
+    source = spark.createDataFrame([(1, 5, "s"), (2**40, 5, "s")], "id bigint, v int, note string")
+    for limit, frequent in ((1 << 30, 10), (0, 10), (0, 1)):
+        merged = merge_update_insert(target, source, ["id"], ["v"], limit, frequent_rows=frequent)
+        assert rows(merged) == [(1, 5, "t")] * 3 + [(1 << 40, 5, "s"), (2, 0, "t")]
+
+
 def test_merge_into_needs_a_table_with_row_level_changes(spark, tmp_path):
     spark.sql(f"CREATE TABLE plain_files (id int, v int) USING parquet LOCATION '{tmp_path}'")
     source = spark.createDataFrame([(1, 2)], "id int, v int")
