@@ -5,6 +5,7 @@ from millrace.operators.envelope import (
     decode_envelope,
     decode_tagged,
     encode_envelope,
+    event_frame,
     explode_records,
     quarantine,
 )
@@ -33,6 +34,7 @@ __all__ = [
     "dedup_latest",
     "dedup_latest_grouped",
     "encode_envelope",
+    "event_frame",
     "explode_records",
     "merge_into",
     "merge_update_insert",

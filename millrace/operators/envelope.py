@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Mapping
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +45,14 @@ def encode_envelope(df: DataFrame, column: str = "value") -> DataFrame:
     return df.select(F.to_json(F.struct(records.alias("Records"))).alias(column))
 
 
+def event_frame(
+    spark: SparkSession, event: str | Mapping[str, Any], column: str = "value"
+) -> DataFrame:
+    """One envelope that a job was started with, as a line to decode."""
+    line = event if isinstance(event, str) else json.dumps(event)
+    return spark.createDataFrame([(line,)], T.StructType().add(column, T.StringType()))
+
+
 def explode_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
     """One row per record: its base64 ``data`` and the text of a bad envelope.
 

@@ -2,6 +2,7 @@
 
 from millrace.plans.loads import (
     load_append,
+    load_event,
     load_insert_select,
     load_overwrite,
     load_overwrite_keyed,
@@ -16,6 +17,7 @@ __all__ = [
     "JobParams",
     "join_uri",
     "load_append",
+    "load_event",
     "load_insert_select",
     "load_overwrite",
     "load_overwrite_keyed",

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions.codec import decode_base64
 from millrace.operators.dedup import dedup_latest
+from millrace.operators.envelope import decode_envelope, event_frame, explode_records
 from millrace.operators.quality import (
     Analyzer,
     Check,
@@ -24,6 +29,7 @@ from millrace.sinks.tables import (
     write_counted,
 )
 from millrace.sources.files import scan_csv
+from millrace.sources.records import infer_record_schema
 
 
 def load_append(
@@ -86,6 +92,30 @@ def load_upsert(
     return upsert_table(rows, table, root, keys, [LOAD_TIME_COLUMN], ties)
 
 
+def load_event(
+    spark: SparkSession,
+    event: str | Mapping[str, Any],
+    schema: T.StructType | None,
+    table: str,
+    root: str,
+    keys: Sequence[str],
+    ties: Sequence[str],
+    at: datetime | Column | None = None,
+) -> str:
+    """Upsert the records of one event into a keyed catalog table.
+
+    Without a schema the fields are the union of those in the records. The
+    load time replaces the one that a record may carry. Records that do not
+    decode are left out; ``quarantine`` shows them.
+    """
+    lines = event_frame(spark, event)
+    if schema is None:
+        texts = explode_records(lines).select(decode_base64(F.col("data")).alias("data"))
+        schema = infer_record_schema(texts)
+    rows = stamp_load_time(decode_envelope(lines, schema), at=at)
+    return upsert_table(rows, table, root, keys, [LOAD_TIME_COLUMN], ties)
+
+
 def load_insert_select(
     spark: SparkSession,
     source: str,

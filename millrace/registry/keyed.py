@@ -206,38 +206,33 @@ def merge_large_source(spark, sf_dir):
 
 @query(
     "merge_shared_key",
-    """WITH t AS (SELECT * FROM orders
-                  WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'),
-            s AS (SELECT o_custkey, max(o_orderkey) AS o_orderkey, 'N' AS o_orderstatus,
-                         max(o_totalprice) AS o_totalprice, max(o_orderdate) AS o_orderdate,
-                         'MERGED' AS o_orderpriority
-                  FROM orders GROUP BY o_custkey)
-       SELECT t.o_orderkey, t.o_custkey, s.o_orderstatus, t.o_totalprice, t.o_orderdate,
-              s.o_orderpriority
-       FROM t JOIN s ON t.o_custkey = s.o_custkey
+    """SELECT event_id, ts, user_id, coalesce(c_mktsegment, event_type) AS event_type, value,
+              coalesce(c_name, props) AS props
+       FROM events LEFT JOIN customer ON user_id = c_custkey
        UNION ALL
-       SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-       FROM s WHERE o_custkey NOT IN (SELECT o_custkey FROM t)""",
+       SELECT -1 - c_custkey, TIMESTAMP '2024-02-01 00:00:00', c_custkey, c_mktsegment,
+              c_acctbal, c_name
+       FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)""",
 )
 def merge_shared_key(spark, sf_dir):
-    """Merge on a key that many target rows share, as with a name column.
+    """Merge customers into events on the user, a key that many events share.
 
     The limits are set so low that the way for large sources and frequent
     keys is taken at any scale.
     """
-    orders = table(spark, sf_dir, "orders")
-    source = orders.groupBy("o_custkey").agg(
-        F.max("o_orderkey").alias("o_orderkey"),
-        F.lit("N").alias("o_orderstatus"),
-        F.max("o_totalprice").alias("o_totalprice"),
-        F.max("o_orderdate").alias("o_orderdate"),
-        F.lit("MERGED").alias("o_orderpriority"),
+    source = table(spark, sf_dir, "customer").select(
+        (-1 - F.col("c_custkey")).alias("event_id"),
+        F.lit("2024-02-01").cast("timestamp_ntz").alias("ts"),
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_mktsegment").alias("event_type"),
+        F.col("c_acctbal").alias("value"),
+        F.col("c_name").alias("props"),
     )
     return merge_update_insert(
-        orders.where((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")),
+        table(spark, sf_dir, "events"),
         source,
-        ["o_custkey"],
-        ["o_orderstatus", "o_orderpriority"],
+        ["user_id"],
+        ["event_type", "props"],
         broadcast_bytes=0,
-        frequent_rows=3,
+        frequent_rows=70,
     )

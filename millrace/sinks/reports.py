@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from millrace.workspace import stage
+
+
+# Up to this many rows are gathered in one file.
+REPORT_ROWS = 100_000
+
 
 def csv_report(report: DataFrame, path: str, sep: str = ",") -> None:
     """Write a report as a single CSV file with a header.
 
     Meant for metric and check tables, which have one row per metric or
-    constraint however large the data is. Only the report rows move to the
-    writing task; what computes them keeps its parallelism.
+    constraint however large the data is. The report is computed once and
+    counted; one that turns out large is written in several files, so that no
+    task gathers it.
     """
-    report.repartition(1).write.mode("overwrite").csv(path, sep=sep, header=True)
+    staged = stage(report, "report", measure=[])
+    rows = staged.df.coalesce(1) if staged.rows <= REPORT_ROWS else staged.df
+    rows.write.mode("overwrite").csv(path, sep=sep, header=True)
 
 
 def csv_new(df: DataFrame, path: str, sep: str = ",") -> None:

@@ -9,7 +9,9 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions.names import location_clause, quoted
 from millrace.operators.merge import upsert_latest
 from millrace.sources.catalog import table_metadata
 from millrace.workspace import BROADCAST_BYTES, stage
@@ -68,16 +70,6 @@ def overwrite_partitions(
     )
 
 
-def quoted(name: str) -> str:
-    """A dotted table name with every part quoted for SQL."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
-
-
-def _location(path: str) -> str:
-    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
-    return f"LOCATION '{escaped}'"
-
-
 def create_table_like(
     df: DataFrame,
     name: str,
@@ -91,15 +83,15 @@ def create_table_like(
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         return
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
-    clauses = [f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING {fmt}"]
+    columns = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+    clauses = [f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns.toDDL()}) USING {fmt}"]
     if partition_by:
         clauses.append(f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})")
     if buckets:
         by = ", ".join(map(quoted, bucket_by))
         clauses.append(f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS")
     if location is not None:
-        clauses.append(_location(location))
+        clauses.append(location_clause(location))
     spark.sql(" ".join(clauses))
 
 
@@ -142,7 +134,7 @@ def write_snapshot(
 
 def publish_snapshot(spark: SparkSession, table: str, path: str) -> None:
     """Let a catalog table show a snapshot from now on."""
-    spark.sql(f"ALTER TABLE {quoted(table)} SET {_location(path)}")
+    spark.sql(f"ALTER TABLE {quoted(table)} SET {location_clause(path)}")
     spark.catalog.refreshTable(table)
 
 

@@ -12,6 +12,7 @@ from millrace.functions.catalog_types import (
     catalog_to_struct,
     storage_descriptor,
 )
+from millrace.functions.names import quoted
 from millrace.functions.uri import rewrite_path_scheme
 from millrace.sources.files import scan_table
 
@@ -25,7 +26,7 @@ def table_metadata(spark: SparkSession, name: str) -> dict[str, Any]:
     if not spark.catalog.tableExists(name):
         raise MissingMetadataError(f"no table or view named {name}")
     columns = spark.catalog.listColumns(name)
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(name)}").collect()
     details = {row["col_name"]: row["data_type"] for row in described}
     descriptor: dict[str, Any] = {
         "Columns": [

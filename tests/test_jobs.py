@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import base64
 import json
 import os
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import types as T
 
-from millrace.plans import JobParams, join_uri, sql_job
+from millrace.plans import JobParams, join_uri, load_event, sql_job
 
 
 def test_flat_event_body_and_environment():
@@ -37,6 +39,31 @@ def test_join_uri():
     assert join_uri("s3a://bucket/", "/a/b.csv") == "s3a://bucket/a/b.csv"
 
 
+def records_event(*records):
+    data = [base64.b64encode(json.dumps(r).encode()).decode() for r in records]
+    return {"Records": [{"kinesis": {"data": d}} for d in data]}
+
+
+def test_event_load_upserts_and_replaces_the_load_time(spark, tmp_path):
+    first = records_event(
+        {"id": "1", "name": "großzügig", "last_upd_timestamp": "2023-04-03T23:57:11.802Z"},
+        {"id": "2", "name": "b", "price": "125"},
+    )
+    options = dict(root=str(tmp_path), keys=["id"], ties=["name"])
+    load_event(spark, first, None, "event_loads", **options)
+    stored = spark.table("event_loads")
+    assert dict(stored.dtypes) == {
+        "id": "string", "name": "string", "price": "string", "last_upd_timestamp": "timestamp"
+    }
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "name", "price")])
+    second = json.dumps(records_event({"id": "2", "name": "c"}, {"id": "3"}))
+    load_event(spark, second, schema, "event_loads", **options)
+    found = {r["id"]: (r["name"], r["price"]) for r in spark.table("event_loads").collect()}
+    assert found == {"1": ("großzügig", None), "2": ("c", None), "3": (None, None)}
+    times = spark.table("event_loads").select("last_upd_timestamp").distinct()
+    assert times.count() == 2 and times.where("last_upd_timestamp < '2025-01-01'").count() == 0
+
+
 def test_sql_job_binds_values_and_leaves_no_view(spark, rows):
     df = spark.createDataFrame([(1, "x"), (2, "it's")], "id int, name string")
     text = "SELECT id FROM source_table WHERE name = :name"

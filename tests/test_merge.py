@@ -107,7 +107,7 @@ def test_small_batch_does_not_shuffle_the_target(spark, plan_of):
 batches = st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9), st.text("ab", max_size=2)), max_size=8)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(batches, batches)
 def test_upsert_in_one_step_or_two(spark, rows, first, second):
     def upsert(target, batch):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import Check, upsert_latest
 from millrace.operators.quality import WARNING, size
 from millrace.plans import load_insert_select, load_overwrite, load_warehouse, quality_report
-from millrace.sinks import tables
+from millrace.sinks import reports, tables
 from millrace.sinks import (
     create_table_like,
     csv_new,
@@ -112,6 +112,14 @@ def test_report_is_one_file_with_a_header(spark, df, tmp_path, rows):
     assert rows(scan_csv(spark, str(tmp_path / "r"))) == [("1", "a", "1.5"), ("2", "b", "2.5")]
 
 
+def test_large_report_is_not_gathered(spark, df, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr(reports, "REPORT_ROWS", 1)
+    many = df.unionByName(df).repartition(3)
+    csv_report(many, str(tmp_path / "r"))
+    assert len(files(tmp_path / "r")) > 1
+    assert scan_csv(spark, str(tmp_path / "r")).count() == 4
+
+
 def test_snapshot_swap(spark, df, tmp_path, rows):
     first = write_snapshot(df, str(tmp_path))
     create_table_like(df, "swapped", first)
