@@ -117,7 +117,9 @@ def frequent_keys(
     return keyed.where(key_hash.isin(frequent)).select(*keys).distinct().limit(2 * most).collect()
 
 
-def _check_single_match(target: DataFrame, source: Staged, keys: Sequence[str]) -> bool:
+def _check_single_match(
+    target: DataFrame, source: Staged, keys: Sequence[str], fits: bool
+) -> bool:
     """Raise if a source key occurs twice and is in the target.
 
     Only repeated source keys are looked up, so the target is not read in the
@@ -132,7 +134,11 @@ def _check_single_match(target: DataFrame, source: Staged, keys: Sequence[str])
     )
     if repeated.isEmpty():
         return False
-    matched = repeated.join(target.select(*keys).distinct(), list(keys), "left_semi").first()
+    known = target.select(*keys)
+    if fits:
+        matched = known.join(F.broadcast(repeated), list(keys), "left_semi").first()
+    else:
+        matched = repeated.join(known.distinct(), list(keys), "left_semi").first()
     if matched is not None:
         raise DuplicateSourceKeyError(
             f"several source rows match target rows with key {matched.asDict()}"
@@ -183,10 +189,11 @@ def merge_update_insert(
         raise ValueError("source and target need the same columns")
     update = [c for c in update if c not in on]
     staged = stage(source, "merge-source", measure=[*on, *update])
-    repeats = _check_single_match(target, staged, on)
+    fits = staged.fits(broadcast_bytes)
+    repeats = _check_single_match(target, staged, on, fits)
 
     matchable = staged.df.where(~_any_null(on))
-    if staged.fits(broadcast_bytes):
+    if fits:
         updated = _apply_updates(target, matchable, on, update, fits=True)
         hits = target.select(*on).join(F.broadcast(matchable.select(*on)), list(on), "left_semi")
         # Distinct hits are some of the source keys, so the same bound holds.

@@ -74,6 +74,13 @@ def test_sql_job_binds_values_and_leaves_no_view(spark, rows):
     assert rows(injected) == []
 
 
+def test_sql_job_brings_a_former_view_back(spark, rows):
+    spark.range(3).createOrReplaceTempView("shared_name")
+    assert sql_job(spark, "SELECT * FROM shared_name", {"shared_name": spark.range(1)}).count() == 1
+    assert spark.table("shared_name").count() == 3
+    spark.catalog.dropTempView("shared_name")
+
+
 def test_sql_job_is_one_statement(spark):
     with pytest.raises(PySparkException):
         sql_job(spark, "SELECT 1; SELECT 2")
