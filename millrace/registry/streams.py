@@ -39,3 +39,31 @@ def stream_upsert_latest(spark, sf_dir):
             spark, source, events.schema, root, name, ["user_id"], ["ts"], ["event_id"]
         )
     return spark.table(name)
+
+
+@query(
+    "stream_upsert_partitioned",
+    """SELECT event_id, ts, user_id, event_type, value, props FROM events
+       QUALIFY row_number() OVER (PARTITION BY event_type, user_id
+                                  ORDER BY ts DESC, event_id DESC) = 1""",
+)
+def stream_upsert_partitioned(spark, sf_dir):
+    """Errors and the other events arrive apart; each touches its own partitions."""
+    events = table(spark, sf_dir, "events")
+    source, root = fresh_path(spark, "arrivals"), fresh_path(spark, "keyed-events")
+    name = f"latest_events_{uuid.uuid4().hex}"
+    errors = F.col("event_type") == "error"
+    for arrival in (events.where(errors), events.where(~errors)):
+        encode_envelope(arrival).write.mode("append").text(source)
+        ingest_available(
+            spark,
+            source,
+            events.schema,
+            root,
+            name,
+            ["event_type", "user_id"],
+            ["ts"],
+            ["event_id"],
+            partition_by=["event_type"],
+        )
+    return spark.table(name).select(*events.columns)

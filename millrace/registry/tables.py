@@ -244,7 +244,8 @@ def quality_report_query(spark, sf_dir):
     source = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
     check = Check(WARNING, "customer file").is_unique("c_custkey").is_non_negative("c_acctbal")
     output = fresh_path(spark, "quality")
-    results = quality_report(scan_csv(spark, source, ";"), output, [check])
+    text = scan_csv(spark, source, ";")
+    results = quality_report(text, output, [check], land=["c_custkey", "c_acctbal"])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in results.columns])
     report = scan_csv(spark, f"{output}/verification-results", schema=schema)
     return report.drop("constraint_message")

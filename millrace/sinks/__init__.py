@@ -6,6 +6,7 @@ from millrace.sinks.tables import (
     insert_by_name,
     overwrite_partitions,
     publish_snapshot,
+    upsert_partitioned_table,
     upsert_partitions,
     upsert_table,
     write,
@@ -20,6 +21,7 @@ __all__ = [
     "insert_by_name",
     "overwrite_partitions",
     "publish_snapshot",
+    "upsert_partitioned_table",
     "upsert_partitions",
     "upsert_table",
     "write",

@@ -191,19 +191,22 @@ def upsert_partitions(
     ties: Sequence[str],
     keep_later: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    target: DataFrame | None = None,
 ) -> None:
     """Latest-wins upsert that rewrites only the partitions the batch touches.
 
     The partition columns must be part of the key, so that a key never moves
     to another partition. The work grows with those partitions and not with
-    the table.
+    the table. ``target`` is the stored table; by default it is read from
+    ``path``, which must exist then.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be key columns")
-    spark = batch.sparkSession
+    if target is None:
+        target = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    target = target.select(*batch.columns)
     staged = stage(batch, "partition-batch", measure=keys)
     touched = staged.df.select(*partition_by).distinct()
-    target = spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
     named = touched.limit(NAMED_PARTITIONS + 1).collect()
     if not named:
         return
@@ -215,6 +218,35 @@ def upsert_partitions(
     overwrite_partitions(merged.select(*batch.columns), path, partition_by)
 
 
+def upsert_partitioned_table(
+    batch: DataFrame,
+    table: str,
+    path: str,
+    partition_by: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    ties: Sequence[str],
+    keep_later: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> None:
+    """``upsert_partitions`` for a catalog table, created if it does not exist."""
+    spark = batch.sparkSession
+    create_table_like(batch, table, path, partition_by=partition_by)
+    upsert_partitions(
+        batch,
+        path,
+        partition_by,
+        keys,
+        order,
+        ties,
+        keep_later,
+        broadcast_bytes,
+        target=spark.table(table),
+    )
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:
     """Filter on partition columns that prunes all other partitions unread."""
     if len(columns) == 1:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.functions.names import quoted
 from millrace.operators.dedup import dedup_latest_grouped
 from millrace.operators.envelope import (
     OK,
@@ -19,12 +20,13 @@ from millrace.operators.envelope import (
     decode_tagged,
 )
 from millrace.operators.stamp import LOAD_TIME_COLUMN, stamp_load_time
-from millrace.sinks.tables import upsert_table
+from millrace.sinks.tables import upsert_partitioned_table, upsert_table
 from millrace.sources.catalog import table_metadata
 from millrace.workspace import BROADCAST_BYTES
 
 RUN_COLUMN = "_run"
 _SNAPSHOT_PREFIX = "through-"
+_MERGED_PROPERTY = "millrace.merged_through"
 
 
 def read_envelopes(
@@ -79,12 +81,21 @@ def stream_latest(
 
 
 def _merged_through(spark: SparkSession, table: str) -> str:
-    """Last run that is part of the published snapshot; empty if there is none."""
+    """Last run that the table holds; empty if there is none.
+
+    A snapshot names it in its folder, a partitioned table in a property.
+    """
     if not spark.catalog.tableExists(table):
         return ""
+    properties = {
+        row["key"]: row["value"]
+        for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()
+    }
     location = table_metadata(spark, table)["Table"]["StorageDescriptor"].get("Location", "")
     name = location.rstrip("/").rsplit("/", 1)[-1]
-    return name.removeprefix(_SNAPSHOT_PREFIX) if name.startswith(_SNAPSHOT_PREFIX) else ""
+    if name.startswith(_SNAPSHOT_PREFIX):
+        return name.removeprefix(_SNAPSHOT_PREFIX)
+    return properties.get(_MERGED_PROPERTY, "")
 
 
 def ingest_available(
@@ -100,6 +111,7 @@ def ingest_available(
     stamp: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     buckets: int | None = None,
+    partition_by: Sequence[str] = (),
     fmt: str = "text",
     options: Mapping[str, str] | None = None,
 ) -> str | None:
@@ -113,10 +125,16 @@ def ingest_available(
        batch into a new snapshot, whose folder names the last run in it.
 
     A failure between the steps leaves a run unmerged, and the next call picks
-    it up. With ``stamp`` rows carry the time they were landed. ``options`` go
-    to the source, such as how many files to take in one micro-batch. Returns
-    the folder of the snapshot, or None if there was nothing to merge.
+    it up. With ``partition_by``, which must be key columns, only the
+    partitions that the new rows touch are rewritten, in place of a snapshot;
+    this needs ``keep_later``, so that a merge can be repeated.
+
+    With ``stamp`` rows carry the time they were landed. ``options`` go to the
+    source, such as how many files to take in one micro-batch. Returns the
+    folder of the table, or None if there was nothing to merge.
     """
+    if partition_by and not keep_later:
+        raise ValueError("a partitioned ingest needs keep_later")
     base = root.rstrip("/")
     run = f"{time.time_ns():020d}"
     tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
@@ -137,6 +155,15 @@ def ingest_available(
     ).select(*fields)
     if pending.isEmpty():
         return None
+    if partition_by:
+        path = f"{base}/table"
+        upsert_partitioned_table(
+            pending, table, path, partition_by, keys, order, ties, keep_later, broadcast_bytes
+        )
+        spark.sql(
+            f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ('{_MERGED_PROPERTY}' = '{run}')"
+        )
+        return path
     return upsert_table(
         pending,
         table,

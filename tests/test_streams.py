@@ -116,6 +116,35 @@ def test_stamped_ingest_lets_the_later_arrival_win(spark, arrive, tmp_path):
     assert row["last_upd_timestamp"] > datetime(2020, 1, 1)
 
 
+def test_partitioned_ingest_rewrites_touched_partitions_only(
+    spark, arrive, tmp_path, rows, monkeypatch
+):
+    options = dict(keys=["n", "id"], order=["v"], ties=[], partition_by=["n"])
+    root = str(tmp_path / "root")
+
+    def run(*data):
+        ingest_available(spark, arrive(*data), SCHEMA, root, "stream_e", **options)
+        return rows(spark.table("stream_e").select("id", "v", "n"))
+
+    assert run((1, 5, "a"), (2, 5, "b")) == [(1, 5, "a"), (2, 5, "b")]
+    untouched = sorted((tmp_path / "root" / "table" / "n=b").glob("part-*"))
+    assert run((1, 4, "a"), (3, 1, "a"), (4, 1, "c")) == [
+        (1, 5, "a"), (2, 5, "b"), (3, 1, "a"), (4, 1, "c")
+    ]
+    assert sorted((tmp_path / "root" / "table" / "n=b").glob("part-*")) == untouched
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(envelopes, "upsert_partitioned_table", fail)
+        with pytest.raises(RuntimeError):
+            run((5, 1, "a"))
+    assert run((1, 9, "a")) == [(1, 9, "a"), (2, 5, "b"), (3, 1, "a"), (4, 1, "c"), (5, 1, "a")]
+    with pytest.raises(ValueError, match="keep_later"):
+        ingest_available(spark, "x", SCHEMA, root, "stream_e", keep_later=False, **options)
+
+
 def test_stream_and_batch_agree(spark, sf_dir, tmp_path, rows):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     source = str(tmp_path / "source")
