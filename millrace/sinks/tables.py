@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from millrace.functions.names import location_clause, quoted
 from millrace.operators.merge import upsert_latest
 from millrace.sources.catalog import table_metadata
-from millrace.workspace import BROADCAST_BYTES, stage
+from millrace.workspace import BROADCAST_BYTES, sql_settings, stage
 
 # Up to this many partitions are named in a filter; more are found by a join.
 NAMED_PARTITIONS = 1000
@@ -191,31 +191,19 @@ def upsert_partitions(
     ties: Sequence[str],
     keep_later: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
-    target: DataFrame | None = None,
 ) -> None:
     """Latest-wins upsert that rewrites only the partitions the batch touches.
 
     The partition columns must be part of the key, so that a key never moves
     to another partition. The work grows with those partitions and not with
-    the table. ``target`` is the stored table; by default it is read from
-    ``path``, which must exist then.
+    the table.
     """
-    if not set(partition_by) <= set(keys):
-        raise ValueError("partition columns must be key columns")
-    if target is None:
-        target = batch.sparkSession.read.schema(batch.schema).parquet(path)
-    target = target.select(*batch.columns)
-    staged = stage(batch, "partition-batch", measure=keys)
-    touched = staged.df.select(*partition_by).distinct()
-    named = touched.limit(NAMED_PARTITIONS + 1).collect()
-    if not named:
-        return
-    if len(named) <= NAMED_PARTITIONS:
-        target = target.where(_in_partitions(named, partition_by))
-    else:
-        target = target.join(touched, list(partition_by), "left_semi")
-    merged = upsert_latest(target, staged.df, keys, order, ties, keep_later, broadcast_bytes)
-    overwrite_partitions(merged.select(*batch.columns), path, partition_by)
+    target = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    merged = _merge_touched(
+        batch, target, partition_by, keys, order, ties, keep_later, broadcast_bytes
+    )
+    if merged is not None:
+        overwrite_partitions(merged, path, partition_by)
 
 
 def upsert_partitioned_table(
@@ -229,22 +217,49 @@ def upsert_partitioned_table(
     keep_later: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    """``upsert_partitions`` for a catalog table, created if it does not exist."""
+    """``upsert_partitions`` for a catalog table, created if it does not exist.
+
+    The catalog finds the stored partitions and learns of new ones, so that no
+    folder tree is listed.
+    """
     spark = batch.sparkSession
     create_table_like(batch, table, path, partition_by=partition_by)
-    upsert_partitions(
-        batch,
-        path,
-        partition_by,
-        keys,
-        order,
-        ties,
-        keep_later,
-        broadcast_bytes,
-        target=spark.table(table),
+    target = spark.table(table)
+    merged = _merge_touched(
+        batch, target, partition_by, keys, order, ties, keep_later, broadcast_bytes
     )
-    spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
+    if merged is None:
+        return
+    with sql_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        balanced = merged.select(*target.columns).hint("rebalance", *partition_by)
+        balanced.write.mode("overwrite").insertInto(table)
+
+
+def _merge_touched(
+    batch: DataFrame,
+    target: DataFrame,
+    partition_by: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str],
+    ties: Sequence[str],
+    keep_later: bool,
+    broadcast_bytes: int,
+) -> DataFrame | None:
+    """New content of the partitions in the batch; None if there are none."""
+    if not set(partition_by) <= set(keys):
+        raise ValueError("partition columns must be key columns")
+    staged = stage(batch, "partition-batch", measure=keys)
+    touched = staged.df.select(*partition_by).distinct()
+    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if not named:
+        return None
+    target = target.select(*batch.columns)
+    if len(named) <= NAMED_PARTITIONS:
+        target = target.where(_in_partitions(named, partition_by))
+    else:
+        target = target.join(touched, list(partition_by), "left_semi")
+    merged = upsert_latest(target, staged.df, keys, order, ties, keep_later, broadcast_bytes)
+    return merged.select(*batch.columns)
 
 
 def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:

@@ -15,6 +15,7 @@ from millrace.sinks import (
     insert_by_name,
     overwrite_partitions,
     publish_snapshot,
+    upsert_partitioned_table,
     upsert_partitions,
     upsert_table,
     write,
@@ -204,8 +205,22 @@ def test_more_partitions_than_a_filter_names(spark, df, tmp_path, rows, monkeypa
 
 
 def test_partition_columns_must_be_key_columns(df, tmp_path):
+    write(df, str(tmp_path / "t"), partition_by=["kind"])
     with pytest.raises(ValueError, match="key columns"):
-        upsert_partitions(df, str(tmp_path), ["kind"], ["id"], ["v"], [])
+        upsert_partitions(df, str(tmp_path / "t"), ["kind"], ["id"], ["v"], [])
+
+
+def test_partitioned_table(spark, df, tmp_path, rows, plan_of):
+    place = (str(tmp_path / "t"), ["kind"], ["kind", "id"], ["v"], [])
+    upsert_partitioned_table(df, "in_parts", *place)
+    batch = spark.createDataFrame([(1, "a", 9.0), (5, "c", 5.0)], df.schema)
+    upsert_partitioned_table(batch, "in_parts", *place)
+    upsert_partitioned_table(batch.limit(0), "in_parts", *place)
+    stored = spark.table("in_parts").select(*df.columns)
+    assert rows(stored) == [(1, "a", 9.0), (2, "b", 2.5), (5, "c", 5.0)]
+    assert "PartitionFilters: [isnotnull(kind" in plan_of(stored.where("kind = 'c'"))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    assert mode.lower() == "static"
 
 
 def test_partition_upsert_by_two_columns(spark, tmp_path, rows):
