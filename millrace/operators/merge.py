@@ -52,7 +52,28 @@ def upsert_latest(
     many ``buckets`` by key the target is stored, and a large batch is sent to
     those buckets while the target stays where it is.
     """
-    latest = stage(dedup_latest(batch, keys, order, ties), "upsert-batch", measure=keys)
+    latest = stage_latest(batch, keys, order, ties)
+    return upsert_staged(target, latest, keys, order, ties, keep_later, broadcast_bytes, buckets)
+
+
+def stage_latest(
+    batch: DataFrame, keys: Sequence[str], order: Sequence[str], ties: Sequence[str]
+) -> Staged:
+    """The latest row of each key in a batch, written once with its keys measured."""
+    return stage(dedup_latest(batch, keys, order, ties), "upsert-batch", measure=keys)
+
+
+def upsert_staged(
+    target: DataFrame,
+    latest: Staged,
+    keys: Sequence[str],
+    order: Sequence[str],
+    ties: Sequence[str],
+    keep_later: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    buckets: int | None = None,
+) -> DataFrame:
+    """``upsert_latest`` for a batch that is staged already."""
     fits = latest.fits(broadcast_bytes)
     batch_keys = _side(latest.df.select(*keys), fits)
     stored = target.withColumn("_incoming", F.lit(0))

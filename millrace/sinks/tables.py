@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import location_clause, quoted
-from millrace.operators.merge import upsert_latest
+from millrace.operators.merge import stage_latest, upsert_latest, upsert_staged
 from millrace.sources.catalog import table_metadata
-from millrace.workspace import BROADCAST_BYTES, sql_settings, stage
+from millrace.workspace import BROADCAST_BYTES, sql_settings
 
 # Up to this many partitions are named in a filter; more are found by a join.
 NAMED_PARTITIONS = 1000
@@ -248,8 +248,8 @@ def _merge_touched(
     """New content of the partitions in the batch; None if there are none."""
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be key columns")
-    staged = stage(batch, "partition-batch", measure=keys)
-    touched = staged.df.select(*partition_by).distinct()
+    latest = stage_latest(batch, keys, order, ties)
+    touched = latest.df.select(*partition_by).distinct()
     named = touched.limit(NAMED_PARTITIONS + 1).collect()
     if not named:
         return None
@@ -258,8 +258,7 @@ def _merge_touched(
         target = target.where(_in_partitions(named, partition_by))
     else:
         target = target.join(touched, list(partition_by), "left_semi")
-    merged = upsert_latest(target, staged.df, keys, order, ties, keep_later, broadcast_bytes)
-    return merged.select(*batch.columns)
+    return upsert_staged(target, latest, keys, order, ties, keep_later, broadcast_bytes)
 
 
 def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:
