@@ -30,7 +30,9 @@ HEADLINE = [
     "upsert_latest",
     "upsert_large_batch",
     "upsert_keep_later",
+    "upsert_partitions",
     "merge_update_insert",
+    "merge_large_source",
     "merge_shared_key",
     "dq_metrics",
     "dq_verification",

@@ -204,7 +204,8 @@ def merge_update_insert(
 
     The source is staged and measured. If it fits ``broadcast_bytes`` the
     target is not shuffled. Otherwise the two sides are shuffled by key once,
-    with NULL and very frequent target keys joined apart from the rest.
+    with NULL and very frequent target keys joined apart from the rest. The
+    target is read more than once, so give a stored table.
     """
     if set(source.columns) != set(target.columns):
         raise ValueError("source and target need the same columns")

@@ -27,7 +27,8 @@ ERROR = "Error"
 SUCCESS = "Success"
 FAILURE = "Failure"
 
-METRICS_SCHEMA = "entity string, instance string, name string, value double"
+# Fixed value: message of a constraint that does not hold, around its value.
+MESSAGE = ("Value: ", " does not meet the constraint requirement!")
 
 _GROUP_ROWS = "_rows"
 
@@ -373,11 +374,7 @@ def _result(check: Check, constraint: Constraint, measured: _Measured) -> list[C
         F.when(passed, "")
         .when(value.isNull(), "No value: there were no rows to measure")
         .otherwise(
-            F.concat(
-                F.lit("Value: "),
-                value.cast("string"),
-                F.lit(" does not meet the constraint requirement!"),
-            )
+            F.concat(F.lit(MESSAGE[0]), value.cast("string"), F.lit(MESSAGE[1]))
         )
     )
     return [
