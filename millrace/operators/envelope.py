@@ -19,9 +19,13 @@ from millrace.functions.codec import (
     utf8_text,
 )
 
-# Fixed value: shape of the stream envelope.
-RECORD_SCHEMA = T.StructType().add("kinesis", T.StructType().add("data", T.StringType()))
-ENVELOPE_SCHEMA = T.StructType().add("Records", T.ArrayType(RECORD_SCHEMA))
+# Field names of the stream envelope.
+RECORDS_FIELD = "Records"
+RECORD_FIELD = "kinesis"
+DATA_FIELD = "data"
+
+RECORD_SCHEMA = T.StructType().add(RECORD_FIELD, T.StructType().add(DATA_FIELD, T.StringType()))
+ENVELOPE_SCHEMA = T.StructType().add(RECORDS_FIELD, T.ArrayType(RECORD_SCHEMA))
 
 STATUS_COLUMN = "_status"
 RAW_COLUMN = "_raw"
@@ -40,9 +44,13 @@ def encode_envelope(df: DataFrame, column: str = "value") -> DataFrame:
     No grouping is needed, so there is no shuffle. Fields that are NULL are
     left out of the record and come back as NULL.
     """
-    data = encode_base64(to_json_text(F.struct("*")))
-    records = F.array(F.struct(F.struct(data.alias("data")).alias("kinesis")))
-    return df.select(F.to_json(F.struct(records.alias("Records"))).alias(column))
+    return df.select(one_record(encode_base64(to_json_text(F.struct("*")))).alias(column))
+
+
+def one_record(data: Column) -> Column:
+    """Envelope line around one base64 payload."""
+    record = F.struct(F.struct(data.alias(DATA_FIELD)).alias(RECORD_FIELD))
+    return F.to_json(F.struct(F.array(record).alias(RECORDS_FIELD)))
 
 
 def event_frame(
@@ -61,13 +69,13 @@ def explode_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
     """
     line = F.col(column).cast("string")
     parsed = envelopes.select(
-        line.alias("line"), F.from_json(line, ENVELOPE_SCHEMA)["Records"].alias("records")
+        line.alias("line"), F.from_json(line, ENVELOPE_SCHEMA)[RECORDS_FIELD].alias("records")
     )
     one_null = F.array(F.lit(None).cast(RECORD_SCHEMA))
     return parsed.select(
         F.when(F.col("records").isNull(), F.coalesce("line", F.lit(""))).alias("bad_envelope"),
         F.explode(F.coalesce("records", one_null)).alias("record"),
-    ).select("bad_envelope", F.col("record")["kinesis"]["data"].alias("data"))
+    ).select("bad_envelope", F.col("record")[RECORD_FIELD][DATA_FIELD].alias("data"))
 
 
 def _decoded(envelopes: DataFrame, schema: T.StructType, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from millrace.functions import decode_base64, encode_base64, to_json_text
 from millrace.operators import decode_envelope, decode_tagged, encode_envelope, quarantine
+from millrace.operators.envelope import one_record
 from millrace.operators.stamp import stamp_load_time
 from millrace.registry.base import query, table
 from millrace.sources import records_to_rows
@@ -32,9 +33,7 @@ def with_cut_errors(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     payload = to_json_text(F.struct("*"))
     cut = F.when(F.col("event_type") == "error", payload.substr(F.lit(1), F.length(payload) - 5))
-    data = encode_base64(F.coalesce(cut, payload))
-    records = F.array(F.struct(F.struct(data.alias("data")).alias("kinesis")))
-    return events.select(F.to_json(F.struct(records.alias("Records"))).alias("value"))
+    return events.select(one_record(encode_base64(F.coalesce(cut, payload))).alias("value"))
 
 
 @query(
