@@ -6,7 +6,6 @@ Everything here works on the shared folder the cluster names in
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -24,23 +23,23 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Headers and hash-table slots of one row in a broadcast relation.
 _ROW_OVERHEAD_BYTES = 64
 
-_local_dir: str | None = None
+_named_dir: str | None = None
+
+
+def use_folder(path: str) -> None:
+    """Name the shared folder for sessions that have none, such as tests on one machine."""
+    global _named_dir
+    _named_dir = path.rstrip("/")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by the session; a local one only for a local master."""
-    global _local_dir
+    """The folder that the session names, or else the caller of ``use_folder``."""
     configured = spark.conf.get(SHARED_DIR_CONF, None)
     if configured:
         return configured.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError(
-            f"{SHARED_DIR_CONF} is not set: a cluster job needs a folder that all executors share"
-        )
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="millrace-")
-    return _local_dir
+    if _named_dir is None:
+        raise ValueError(f"{SHARED_DIR_CONF} is not set: jobs need a folder that all executors share")
+    return _named_dir
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
