@@ -9,6 +9,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm.text import map_batches
 from millrace.llm.words_once import Block, gather, tokenised_once
@@ -76,7 +77,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     return map_batches(encoded.drop("decoded"), decoded, schema)
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
 def unpacked(ids: pa.Array) -> pa.Array:
     """Packed ids as an array column."""
     lists = [None if x is None else np.frombuffer(x, "<u4") for x in ids.to_pylist()]

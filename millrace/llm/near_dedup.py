@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from millrace.llm.components import smallest_reachable
@@ -76,7 +77,7 @@ def set_digest(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def set_id(texts: pa.Array) -> pa.Array:
     return pa.array([set_digest(shingle_set(t)) for t in as_bytes(texts)], pa.binary())
 
@@ -138,7 +139,7 @@ def index_keys(nodes: DataFrame) -> DataFrame:
     return map_batches(nodes.select("node", "signature"), keyed, "key bigint, node bigint")
 
 
-@arrow_udf("int")
+@arrow_udf(T.IntegerType())
 def differences(first: pa.Array, second: pa.Array) -> pa.Array:
     """Places in which two signatures differ."""
     x, y = (
@@ -184,7 +185,7 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, percent: int = SIMILARITY_PER
     return map_batches(joined, compared, "a bigint, b bigint")
 
 
-@arrow_udf("binary")
+@arrow_udf(T.BinaryType())
 def packed(texts: pa.Array) -> pa.Array:
     return pa.array([zlib.compress(t, 1) for t in as_bytes(texts)], pa.binary())
 

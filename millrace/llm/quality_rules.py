@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from millrace.llm.text import as_bytes, quoted_col, whole_row
@@ -75,7 +76,7 @@ def _occurrences(body: bytes, of: bytes) -> int:
     return len(body) - len(body.translate(None, of))
 
 
-@arrow_udf("struct<" + ",".join(f"{name}:bigint" for name in MEASURES) + ">")
+@arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
 def measured(texts: pa.Array) -> pa.Array:
     values = np.array([measure(t) for t in as_bytes(texts)], np.int64).reshape(-1, len(MEASURES))
     return pa.StructArray.from_arrays([pa.array(c) for c in values.T], list(MEASURES))
