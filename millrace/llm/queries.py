@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules, token_counts
+from millrace.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dedup,
+    quality_model,
+    quality_rules,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +29,8 @@ ORACLES: dict[str, str] = {}
 ENCODING_RANKS = "byte_bpe_multi_50k.tiktoken"
 COUNTING_TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+# A score from here on is a prediction of label 1.
+THRESHOLD = 0.3
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -38,6 +51,29 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _predicted(scores: DataFrame) -> DataFrame:
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        "held_out",
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query()
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the passages it shares with others, and its class."""
+    marked = substring_dedup.mark_repeats(documents(spark, sf_dir))
+    return marked.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs = documents(spark, sf_dir)
+    return _predicted(quality_model.score(docs, quality_model.train(docs, labels(spark, sf_dir))))
+
+
 MIXING_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(COALESCE(CAST(doc_id AS VARCHAR), '')) AS digest,
@@ -187,6 +223,13 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
+    docs = documents(spark, sf_dir)
+    return _predicted(toxicity.score(docs, toxicity.train(docs, labels(spark, sf_dir))))
+
+
 NEAR_DEDUP_SQL = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all(
@@ -233,6 +276,12 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match of a license template in a document."""
+    return licenses.scan(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes and tokens."""
