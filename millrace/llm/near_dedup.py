@@ -12,12 +12,13 @@ index key. Links are confirmed on the full sets.
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
@@ -45,6 +46,9 @@ MOST_DIFFERENCES = CHUNKS * (CHUNK_ERRORS + 1) - 1
 # Rows of a bucket that a row is compared with after the bucket's first row.
 NEIGHBOURS = 8
 
+# Bits of each symbol that travel with the index rows.
+SKETCH_BITS = 2
+
 _U64 = np.uint64
 _RANDOM = np.random.default_rng(8)
 _FACTORS = _RANDOM.integers(1, 1 << 63, SYMBOLS, dtype=np.uint64) * _U64(2) + _U64(1)
@@ -112,9 +116,22 @@ def sign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     )
 
 
+def sketched(symbols: np.ndarray) -> list[np.ndarray]:
+    """The lowest bits of a signature's symbols, one number for each bit's place."""
+    places = _U64(1) << np.arange(SYMBOLS, dtype=np.uint64)
+    return [((symbols >> _U64(bit) & _U64(1)) * places).sum(axis=1, dtype=np.uint64) for bit in range(SKETCH_BITS)]
+
+
+def may_be_near(first: Column, second: Column) -> Column:
+    """False only if the sketches show more than ``MOST_DIFFERENCES`` differing symbols."""
+    apart = [first[f"bits{n}"].bitwiseXOR(second[f"bits{n}"]) for n in range(SKETCH_BITS)]
+    return F.bit_count(reduce(Column.bitwiseOR, apart)) <= MOST_DIFFERENCES
+
+
 def index_keys(nodes: DataFrame) -> DataFrame:
-    """key and node: each node under all keys of its signature."""
+    """key, node and sketch: each node under all keys of its signature."""
     choices = chunk_choices()
+    bits = [f"bits{n}" for n in range(SKETCH_BITS)]
 
     def keyed(batch):
         symbols = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16)
@@ -128,15 +145,17 @@ def index_keys(nodes: DataFrame) -> DataFrame:
                 for place in places:
                     key = mixed(key + _U64(1) + part[:, place])
                 keys[:, number] = key
+            columns = [node[start : start + 1024], *(b.view(np.int64) for b in sketched(part))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(keys.ravel().view(np.int64)),
-                    pa.array(np.repeat(node[start : start + 1024], len(choices))),
+                    *[pa.array(np.repeat(c, len(choices))) for c in columns],
                 ],
-                ["key", "node"],
+                ["key", "node", *bits],
             )
 
-    return map_batches(nodes.select("node", "signature"), keyed, "key bigint, node bigint")
+    schema = "key bigint, node bigint, " + ", ".join(f"{b} bigint" for b in bits)
+    return map_batches(nodes.select("node", "signature"), keyed, schema)
 
 
 @arrow_udf(T.IntegerType())
@@ -239,16 +258,19 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     ).df
-    by_key = Window.partitionBy("key").orderBy("node")
-    buckets = (
+    by_key = Window.partitionBy("key").orderBy("member")
+    shared = stage(
         index_keys(nodes)
-        .withColumn("first", F.first("node").over(by_key))
-        .withColumn("next", F.lead("node").over(by_key))
-        .where("first <> node OR next IS NOT NULL")
-        .select("key", "node", "first")
-    )
-    shared = stage(buckets, "buckets").df
-    starred = shared.where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+        .select("key", F.struct("node", *[f"bits{n}" for n in range(SKETCH_BITS)]).alias("member"))
+        .withColumn("first", F.first("member").over(by_key))
+        .withColumn("next", F.lead("member").over(by_key))
+        .where("first.node <> member.node OR next IS NOT NULL")
+        .select("key", "member", "first"),
+        "buckets",
+    ).df
+    starred = shared.where(
+        (F.col("first.node") != F.col("member.node")) & may_be_near(F.col("first"), F.col("member"))
+    ).select(F.col("first.node").alias("a"), F.col("member.node").alias("b"))
     pairs = stage(within_distance(starred.distinct(), nodes), "pairs").df
     links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text)), "links").df
     labels = smallest_reachable(links)
@@ -280,25 +302,27 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 def _other_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Distinct pairs of near neighbours in buckets that hold several components."""
     placed = (
-        shared.select("key", "node")
+        shared.select("key", "member", F.col("member.node").alias("node"))
         .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
+        .select("key", "member", F.coalesce("label", "node").alias("label"))
     )
     whole = Window.partitionBy("key")
     mixed_up = placed.withColumn("low", F.min("label").over(whole)).withColumn(
         "high", F.max("label").over(whole)
     )
-    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "node"), "node")
-    member = F.struct("node", "label")
-    following = F.array(*[F.lead(member, n).over(order) for n in range(1, NEIGHBOURS + 1)])
-    other = F.explode(F.filter("following", lambda x: x["label"] != F.col("label")))
+    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "member.node"), "member")
+    other = F.struct("member", "label")
+    following = F.array(*[F.lead(other, n).over(order) for n in range(1, NEIGHBOURS + 1)])
+    worth = F.filter(
+        "following",
+        lambda x: (x["label"] != F.col("label")) & may_be_near(F.col("member"), x["member"]),
+    )
+    node, near = F.col("member.node"), F.col("other.member.node")
     return (
         mixed_up.where("low <> high")
         .withColumn("following", following)
-        .select("node", other.alias("other"))
-        .select(
-            F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")
-        )
+        .select("member", F.explode(worth).alias("other"))
+        .select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b"))
         .distinct()
     )
 
