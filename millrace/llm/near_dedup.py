@@ -209,27 +209,34 @@ def packed(texts: pa.Array) -> pa.Array:
     return pa.array([zlib.compress(t, 1) for t in as_bytes(texts)], pa.binary())
 
 
-def _bodies(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+def _bodies(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """The packed text of one document of every node in the pairs.
 
-    Copies collapse in the task that reads them. The wanted sets are broadcast
-    if they measure small; then only their texts are packed and shuffled.
+    A node's smallest id finds its text; where no document of it has an id,
+    those without one are searched. Copies collapse in the task that reads
+    them. If the wanted ids measure small they are broadcast, and other texts
+    are neither hashed nor shuffled.
     """
     wanted = stage(
         pairs.select(F.col("a").alias("node"))
         .unionByName(pairs.select(F.col("b").alias("node")))
         .distinct()
         .join(nodes, "node")
-        .select("node", "set_id"),
+        .select("node", "set_id", "least"),
         "wanted",
     )
-    texts = docs.select(quoted_col(text).alias("text")).withColumn("set_id", set_id("text"))
+    fits = wanted.fits(BROADCAST_BYTES)
+    chosen = F.broadcast(wanted.df) if fits else wanted.df
+    texts = docs.select(quoted_col(doc_id).alias("id"), quoted_col(text).alias("text"))
+    known = texts.join(chosen.select(F.col("least").alias("id")), "id", "left_semi")
+    unknown = texts.where("id IS NULL")
     # All documents of a node have one and the same set, so any of them will do.
-    if wanted.fits(BROADCAST_BYTES):
-        found = texts.join(F.broadcast(wanted.df), "set_id")
-        return found.groupBy("node").agg(F.min(packed("text")).alias("body"))
-    bodies = texts.groupBy("set_id").agg(F.min(packed("text")).alias("body"))
-    return bodies.join(wanted.df, "set_id").select("node", "body")
+    found = known.unionByName(unknown).withColumn("set_id", set_id("text"))
+    return (
+        found.join(chosen.select("node", "set_id"), "set_id")
+        .groupBy("node")
+        .agg(F.min(packed("text")).alias("body"))
+    )
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -272,7 +279,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         (F.col("first.node") != F.col("member.node")) & may_be_near(F.col("first"), F.col("member"))
     ).select(F.col("first.node").alias("a"), F.col("member.node").alias("b"))
     pairs = stage(within_distance(starred.distinct(), nodes), "pairs").df
-    links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text)), "links").df
+    links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text, doc_id)), "links").df
     labels = smallest_reachable(links)
 
     rest = _other_components(shared, labels)
@@ -280,7 +287,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         within_distance(rest, nodes).join(pairs, ["a", "b"], "left_anti"), "pairs"
     )
     if pairs.rows:
-        more = stage(confirmed(pairs.df, _bodies(docs, nodes, pairs.df, text)), "links").df
+        more = stage(confirmed(pairs.df, _bodies(docs, nodes, pairs.df, text, doc_id)), "links").df
         labels = smallest_reachable(links.unionByName(more))
 
     placed = (

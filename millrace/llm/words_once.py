@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from millrace.llm.text import quoted_col
 
 # The characters with the Unicode property White_Space.
-WHITE_SPACE = "\t-\r \x85\xa0  -     　"
+WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
 # Words after which a block ends; a longer text is a block of its own.
