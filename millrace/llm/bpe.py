@@ -44,7 +44,7 @@ def encode(
 
     def answer(block: Block, flat, starts, counts):
         tokens, packed = [], []
-        for numbers in block.texts:
+        for (numbers,) in block.texts:
             ids = gather(flat, starts[numbers], counts[numbers])
             tokens.append(len(ids))
             packed.append(ids.astype("<u4").tobytes())

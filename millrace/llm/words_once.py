@@ -34,7 +34,7 @@ WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
 # Words after which a block ends; a longer text is a block of its own.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 500_000
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -45,18 +45,33 @@ def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1])]
 
 
+def pack_bytes(body: bytes) -> bytes:
+    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def unpack_bytes(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True)
+
+
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Small numbers, byte by byte of their places, compressed."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return len(numbers).to_bytes(8, "little") + pa.compress(
-        np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True
-    )
+    """Numbers below 2 ** 32, first all lowest bytes, then all next ones, compressed."""
+    return pack_bytes(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def unpack_numbers(packed: bytes) -> np.ndarray:
-    n = int.from_bytes(packed[:8], "little")
-    planes = pa.decompress(packed[8:], decompressed_size=4 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").ravel()
+    planes = np.frombuffer(unpack_bytes(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def pack_words(words: Sequence[bytes]) -> tuple[bytes, bytes]:
+    """The words' bytes one after another, and how many each has."""
+    return pack_bytes(b"".join(words)), pack_numbers(np.fromiter(map(len, words), np.int64, len(words)))
+
+
+def unpack_words(body: bytes, sizes: bytes) -> list[bytes]:
+    text, ends = unpack_bytes(body), np.cumsum(unpack_numbers(sizes), dtype=np.int64).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 @dataclass
@@ -75,19 +90,15 @@ class Block:
         self.ids.append(doc_id)
         self.lengths.append(len((text or "").encode()))
         self.texts.append(
-            np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+            np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.uint32, len(words))
         )
         self.size += len(words)
 
-    def dealt(self, buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words in order of bucket, the bucket of each, and the new number of each old one."""
+    def dealt(self, buckets: int) -> tuple[list[bytes], np.ndarray]:
+        """Distinct words in order of their numbers, and the bucket of each."""
         words = [w.encode() for w in self.numbers]
-        bucket = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        bucket = (bucket % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        renumbered = np.empty_like(order)
-        renumbered[order] = np.arange(len(order))
-        return [words[i] for i in order], bucket[order], renumbered
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        return words, (hashes % np.uint64(buckets)).astype(np.int64)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Block]:
@@ -119,9 +130,9 @@ def tokenised_once(
     ``tokenise()`` is called in a task and returns a function from distinct
     words to the numbers wanted for each. ``answer`` gets a block's numbers of
     all words as one array with the start and count of each word, and returns
-    the columns of its documents. The block has its documents as word numbers
-    in text order or, with ``by_frequency``, as two rows: distinct word
-    numbers and how often each occurs.
+    the columns of its documents. The block has each document as one row of
+    word numbers in text order or, with ``by_frequency``, as two rows: distinct
+    word numbers and how often each occurs.
 
     Both sides of the final join read the documents, in the same way; a block
     is named by its place and a hash of its content, and a block that does not
@@ -132,129 +143,125 @@ def tokenised_once(
     rows = docs.select(quoted_col(doc_id).alias("id"), quoted_col(text).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     id_type = _arrow_type(rows, "id")
+    names = ["id", *[part.split()[0] for part in answer_schema.split(", ")]]
     block_schema = pa.schema(
         [
             ("block", pa.string()),
             ("ids", pa.list_(id_type)),
-            ("lengths", pa.list_(pa.int64())),
-            ("n_words", pa.int64()),
-            ("sizes", pa.list_(pa.int32())),
+            ("lengths", pa.binary()),
+            ("buckets", pa.binary()),
+            ("sizes", pa.binary()),
             ("numbers", pa.binary()),
             ("repeats", pa.binary()),
         ]
     )
-    names = ["id", *[part.split()[0] for part in answer_schema.split(", ")]]
 
     def read(batches):
         place = TaskContext.get().partitionId()
         for number, block in enumerate(_blocks(batches, block_words)):
-            words, bucket, renumbered = block.dealt(buckets)
+            words, bucket = block.dealt(buckets)
             content = xxhash.xxh3_128()
             for w in words:
                 content.update(w)
             content.update(np.array([len(words), block.size, *block.lengths], np.int64).tobytes())
-            yield f"{place}-{number}-{content.hexdigest()}", block, words, bucket, renumbered
+            yield f"{place}-{number}-{content.hexdigest()}", block, words, bucket
 
     def asked(batches):
-        for name, _, words, bucket, _ in read(batches):
-            edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-            flat = pa.array(words, pa.binary()).cast(pa.string())
-            offsets = pa.array([*edges.tolist(), len(words)], pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, flat)
+        for name, _, words, bucket in read(batches):
+            order = np.argsort(bucket, kind="stable")
+            edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+            parts = [
+                pack_words([words[i] for i in order[a:b]])
+                for a, b in zip(edges[:-1], edges[1:], strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([name] * len(edges), pa.string()),
-                    pa.array(bucket[edges].astype(np.int32), pa.int32()),
-                    lists,
+                    pa.array([name] * len(parts), pa.string()),
+                    pa.array(bucket[order][edges[:-1]], pa.int32()),
+                    pa.array([body for body, _ in parts], pa.binary()),
+                    pa.array([sizes for _, sizes in parts], pa.binary()),
                 ],
-                ["block", "bucket", "words"],
+                ["block", "bucket", "body", "sizes"],
             )
 
     def sequences(batches):
-        for name, block, words, _, renumbered in read(batches):
-            texts = [renumbered[t] for t in block.texts]
+        for name, block, _, bucket in read(batches):
+            texts, repeats = block.texts, None
             if by_frequency:
                 counted = [np.unique(t, return_counts=True) for t in texts]
                 texts = [u for u, _ in counted]
                 repeats = pack_numbers(np.concatenate([n for _, n in counted]))
-            else:
-                repeats = None
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "block": name,
-                        "ids": block.ids,
-                        "lengths": block.lengths,
-                        "n_words": len(words),
-                        "sizes": [len(t) for t in texts],
-                        "numbers": pack_numbers(np.concatenate(texts)),
-                        "repeats": repeats,
-                    }
-                ],
-                schema=block_schema,
-            )
+            row = {
+                "block": name,
+                "ids": block.ids,
+                "lengths": pack_numbers(np.array(block.lengths)),
+                "buckets": pack_numbers(bucket),
+                "sizes": pack_numbers(np.fromiter(map(len, texts), np.int64, len(texts))),
+                "numbers": pack_numbers(np.concatenate(texts)),
+                "repeats": repeats,
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=block_schema)
 
     function = None
 
     def answered(table: pa.Table) -> pa.Table:
         nonlocal function
         function = function or tokenise()
-        words = table["words"].combine_chunks()
-        words = words if isinstance(words, pa.ListArray) else words.chunk(0)
-        coded = words.flatten().dictionary_encode()
-        found = function(coded.dictionary.to_pylist())
+        parts = [unpack_words(*row) for row in zip(table["body"].to_pylist(), table["sizes"].to_pylist(), strict=True)]
+        distinct = {}
+        codes = [
+            np.fromiter((distinct.setdefault(w, len(distinct)) for w in part), np.int64, len(part))
+            for part in parts
+        ]
+        del parts
+        found = function([w.decode() for w in distinct])
         counts = np.fromiter(map(len, found), np.int64, len(found))
         flat = np.fromiter((n for f in found for n in f), np.int64, counts.sum())
         starts = np.cumsum(counts) - counts
-        codes = coded.indices.to_numpy()
-        sizes = np.diff(words.offsets.to_numpy())
-        per_word = counts[codes]
-        ends = np.concatenate([[0], np.cumsum(per_word)])
-        edges = np.concatenate([[0], np.cumsum(sizes)])
         return pa.table(
             {
                 "block": table["block"],
                 "bucket": table["bucket"],
-                "counts": pa.ListArray.from_arrays(
-                    pa.array(edges, pa.int32()), pa.array(per_word, pa.int32())
-                ),
-                "numbers": pa.ListArray.from_arrays(
-                    pa.array(ends[edges], pa.int32()),
-                    pa.array(gather(flat, starts[codes], per_word), pa.int32()),
+                "counts": pa.array([pack_numbers(counts[c]) for c in codes], pa.binary()),
+                "numbers": pa.array(
+                    [pack_numbers(gather(flat, starts[c], counts[c])) for c in codes], pa.binary()
                 ),
             }
         )
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("bucket")
-        counts = _flat(right["counts"])
-        flat = _flat(right["numbers"])
+        found = {row["bucket"]: row for row in right.to_pylist()}
         columns = [[] for _ in names]
         for row in left.to_pylist():
-            if row["n_words"] != len(counts):
-                raise ValueError(
-                    f"block {row['block']} asked for {row['n_words']} words, got {len(counts)}"
-                )
-            block = Block(ids=row["ids"], lengths=row["lengths"])
-            numbers = unpack_numbers(row["numbers"]).astype(np.int64)
+            bucket = unpack_numbers(row["buckets"])
+            order = np.argsort(bucket, kind="stable")
+            parts = [found[b] for b in np.unique(bucket).tolist()]
+            counts = _joined([unpack_numbers(p["counts"]) for p in parts])
+            if len(counts) != len(bucket):
+                raise ValueError(f"block {row['block']} asked for {len(bucket)} words, got {len(counts)}")
+            flat = _joined([unpack_numbers(p["numbers"]) for p in parts])
+            # From the order of the buckets back to the numbers of the words.
+            starts, own = np.empty_like(counts), np.empty_like(counts)
+            starts[order], own[order] = np.cumsum(counts) - counts, counts
+            block = Block(ids=row["ids"], lengths=unpack_numbers(row["lengths"]).tolist())
+            numbers = unpack_numbers(row["numbers"])[None]
             if by_frequency:
-                numbers = np.stack([numbers, unpack_numbers(row["repeats"]).astype(np.int64)])
-            edges = np.concatenate([[0], np.cumsum(row["sizes"], dtype=np.int64)])
-            block.texts = [numbers[..., a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            starts = np.cumsum(counts) - counts
-            found = [pa.array(block.ids, id_type), *answer(block, flat, starts, counts)]
-            for column, values in zip(columns, found, strict=True):
+                numbers = np.concatenate([numbers, unpack_numbers(row["repeats"])[None]])
+            edges = np.concatenate([[0], np.cumsum(unpack_numbers(row["sizes"]), dtype=np.int64)])
+            block.texts = [numbers[:, a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            answers = [pa.array(block.ids, id_type), *answer(block, flat, starts, own)]
+            for column, values in zip(columns, answers, strict=True):
                 column.append(values)
         return pa.table([pa.chunked_array(c) for c in columns], names)
 
-    words = rows.mapInArrow(asked, "block string, bucket int, words array<string>")
+    words = rows.mapInArrow(asked, "block string, bucket int, body binary, sizes binary")
     coded = words.groupBy("bucket").applyInArrow(
-        answered, "block string, bucket int, counts array<int>, numbers array<int>"
+        answered, "block string, bucket int, counts binary, numbers binary"
     )
     texts = rows.mapInArrow(
         sequences,
-        f"block string, ids array<{kind}>, lengths array<bigint>, n_words bigint, "
-        "sizes array<int>, numbers binary, repeats binary",
+        f"block string, ids array<{kind}>, lengths binary, buckets binary, "
+        "sizes binary, numbers binary, repeats binary",
     )
     return texts.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(
         put_together, f"id {kind}, {answer_schema}"
@@ -267,6 +274,5 @@ def _arrow_type(df: DataFrame, name: str) -> pa.DataType:
     return to_arrow_type(df.schema[name].dataType)
 
 
-def _flat(column: pa.ChunkedArray) -> np.ndarray:
-    parts = [chunk.flatten().to_numpy() for chunk in column.chunks]
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts).astype(np.int64) if parts else np.empty(0, np.int64)

@@ -92,7 +92,7 @@ def test_each_word_is_tokenised_once_over_many_blocks(spark):
     def answer(block, flat, starts, counts):
         import pyarrow as pa
 
-        return [pa.array([int(flat[starts[n]].sum()) for n in block.texts], pa.int64())]
+        return [pa.array([int(flat[starts[n]].sum()) for (n,) in block.texts], pa.int64())]
 
     got = tokenised_once(df, "text", "doc_id", tokenise, answer, "n bigint", block_words=100).collect()
     assert {r.id: r.n for r in got} == {i: len(t) for i, t in rows}
