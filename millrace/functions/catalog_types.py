@@ -36,7 +36,22 @@ def catalog_type(text: str | None) -> T.DataType:
     # A column list such as "a int, b int" also parses, but is not one type.
     if isinstance(parsed, T.StructType) and not name.startswith("struct"):
         return T.StringType()
-    return parsed
+    return _readable(parsed)
+
+
+def _readable(kind: T.DataType) -> T.DataType:
+    """The type with text of fixed or limited length as plain text, as readers need it."""
+    if isinstance(kind, (T.CharType, T.VarcharType)):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_readable(kind.elementType), kind.containsNull)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_readable(kind.keyType), _readable(kind.valueType), kind.valueContainsNull)
+    if isinstance(kind, T.StructType):
+        return T.StructType(
+            [T.StructField(f.name, _readable(f.dataType), f.nullable, f.metadata) for f in kind.fields]
+        )
+    return kind
 
 
 def storage_descriptor(metadata: Mapping[str, Any] | None) -> Mapping[str, Any]:

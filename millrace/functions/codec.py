@@ -44,10 +44,11 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
 
     That field holds the raw text if the text is not one object of the
     declared types, and NULL otherwise. Missing fields are NULL, unknown
-    fields are dropped.
+    fields are dropped. The whole struct is NULL if the text is no JSON, or
+    has anything after the object.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_FIELD, T.StringType())])
-    return F.from_json(
+    parsed = F.from_json(
         text,
         with_corrupt,
         {
@@ -56,3 +57,9 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
             "columnNameOfCorruptRecord": CORRUPT_FIELD,
         },
     )
+    return F.when(is_one_json(text), parsed)
+
+
+def is_one_json(text: Column) -> Column:
+    """Whether the text is one JSON value from its first to its last character."""
+    return F.try_parse_json(text).isNotNull()

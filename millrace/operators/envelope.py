@@ -14,6 +14,7 @@ from millrace.functions.codec import (
     CORRUPT_FIELD,
     base64_bytes,
     encode_base64,
+    is_one_json,
     parse_json,
     to_json_text,
     utf8_text,
@@ -64,12 +65,14 @@ def event_frame(
 def explode_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
     """One row per record: its base64 ``data`` and the text of a bad envelope.
 
-    An envelope that does not parse, or has no ``Records``, gives one row
-    with its text in ``bad_envelope``. An empty list gives no row.
+    An envelope that does not parse, has no ``Records`` or is followed by
+    anything on its line, gives one row with its text in ``bad_envelope``. An
+    empty list gives no row.
     """
     line = F.col(column).cast("string")
+    records = F.from_json(line, ENVELOPE_SCHEMA)[RECORDS_FIELD]
     parsed = envelopes.select(
-        line.alias("line"), F.from_json(line, ENVELOPE_SCHEMA)[RECORDS_FIELD].alias("records")
+        line.alias("line"), F.when(is_one_json(line), records).alias("records")
     )
     one_null = F.array(F.lit(None).cast(RECORD_SCHEMA))
     return parsed.select(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.sources.files import EXACT_TEXT, scan_csv
 from millrace.workspace import sql_settings
 
 # Fixed value: size of one chunk of a split file.
@@ -20,11 +21,15 @@ def rechunk_csv(
     chunk_bytes: int = CHUNK_BYTES,
     sep: str = ",",
     max_records: int | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Cut delimited text into files of about ``chunk_bytes`` of input each.
 
     Each scan task writes the split it reads, so nothing is shuffled and no
-    row is cut. Every file has the header line.
+    row is cut. Every file has the header line. Values keep all their
+    characters; quotes in them are doubled, in the source as in the target
+    (``options`` of the source can say otherwise). A field must not hold a
+    line break, since splits are cut at these.
     """
     # A file smaller than a chunk must not be packed with others, and one
     # larger must not be cut finer than asked to keep idle cores busy.
@@ -33,8 +38,9 @@ def rechunk_csv(
         "spark.sql.files.openCostInBytes": str(chunk_bytes),
     }
     with sql_settings(spark, settings):
-        rows = spark.read.csv(source, header=True, sep=sep)
-        writer = rows.write.mode("errorifexists").option("header", True).option("sep", sep)
+        rows = scan_csv(spark, source, sep, options={**EXACT_TEXT, **(options or {})})
+        writer = rows.write.mode("errorifexists").options(**EXACT_TEXT)
+        writer = writer.option("header", True).option("sep", sep)
         if max_records is not None:
             writer = writer.option("maxRecordsPerFile", max_records)
         writer.csv(target)

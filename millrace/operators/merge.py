@@ -9,20 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.dedup import dedup_latest
-from millrace.workspace import BROADCAST_BYTES, Staged, stage
-
-# A target key with more rows than this is joined apart from the others.
-FREQUENT_KEY_ROWS = 1_000_000
-# How many such keys are singled out. Those beyond them go through the ordinary
-# shuffle join; each holds less than about a thousandth of the rows.
-FREQUENT_KEYS = 1000
-
-_TRACKED_KEYS = 4096
-_SKETCH_GROUPS = 256
+from millrace.workspace import BROADCAST_BYTES, Staged, measured_bytes, stage
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -103,58 +94,23 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def frequent_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    min_rows: int = FREQUENT_KEY_ROWS,
-    most: int = FREQUENT_KEYS,
-) -> list[Row]:
-    """Up to ``most`` keys that have more than ``min_rows`` rows each.
-
-    Every key with more than about a thousandth of the rows is found. Tasks
-    count the key columns in sketches of fixed size, and only these are
-    shuffled, merged in two steps so that no task receives all of them.
-    """
-    keyed = df.where(~_any_null(keys))
-    key_hash = F.xxhash64(*keys)
-    tracked = F.lit(_TRACKED_KEYS)
-    sketches = (
-        keyed.select(
-            key_hash.alias("hash"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("part")
-        )
-        .groupBy("part")
-        .agg(F.call_function("approx_top_k_accumulate", "hash", tracked).alias("sketch"))
-    )
-    merged = F.call_function("approx_top_k_combine", "sketch", tracked)
-    # Grouped by a constant, since sketches of nothing cannot be merged.
-    top = sketches.groupBy(F.lit("all")).agg(
-        F.call_function("approx_top_k_estimate", merged, F.lit(most)).alias("top")
-    )
-    found = top.first()
-    frequent = [item["item"] for item in found["top"] if item["count"] > min_rows] if found else []
-    if not frequent:
-        return []
-    # The hashes stand for a few more keys if two share one; none is dropped.
-    return keyed.where(key_hash.isin(frequent)).select(*keys).distinct().limit(2 * most).collect()
-
-
 def _check_single_match(
-    target: DataFrame, source: Staged, keys: Sequence[str], fits: bool
-) -> bool:
+    target: DataFrame, source: DataFrame, keys: Sequence[str], fits: bool
+) -> None:
     """Raise if a source key occurs twice and is in the target.
 
     Only repeated source keys are looked up, so the target is not read in the
-    usual case that there are none. Returns whether there were any.
+    usual case that there are none.
     """
     repeated = (
-        source.df.where(~_any_null(keys))
+        source.where(~_any_null(keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > 1)
         .select(*keys)
     )
     if repeated.isEmpty():
-        return False
+        return
     known = target.select(*keys)
     if fits:
         matched = known.join(F.broadcast(repeated), list(keys), "left_semi").first()
@@ -164,7 +120,6 @@ def _check_single_match(
         raise DuplicateSourceKeyError(
             f"several source rows match target rows with key {matched.asDict()}"
         )
-    return True
 
 
 def _apply_updates(
@@ -192,7 +147,7 @@ def merge_update_insert(
     on: Sequence[str],
     update: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
-    frequent_rows: int = FREQUENT_KEY_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """MERGE with WHEN MATCHED UPDATE and WHEN NOT MATCHED INSERT.
 
@@ -202,92 +157,36 @@ def merge_update_insert(
     target; two source rows for one target row raise
     ``DuplicateSourceKeyError``.
 
-    The source is staged and measured. If it fits ``broadcast_bytes`` the
-    target is not shuffled. Otherwise the two sides are shuffled by key once,
-    with NULL and very frequent target keys joined apart from the rest. The
-    target is read more than once, so give a stored table.
+    The keys and update columns of the source are measured. If they fit
+    ``broadcast_bytes`` the target is not shuffled. Otherwise updates are a
+    left join of the target and inserts a left anti join of the source with
+    the distinct target keys. Adaptive execution splits the left side of both,
+    so any number of keys, NULL among them, may hold any share of the rows.
+
+    The source is staged first, unless ``stored`` says that it is a stored
+    table, which is cheap to read again. The target is read more than once, so
+    give a stored table.
     """
     if set(source.columns) != set(target.columns):
         raise ValueError("source and target need the same columns")
     update = [c for c in update if c not in on]
-    staged = stage(source, "merge-source", measure=[*on, *update])
-    fits = staged.fits(broadcast_bytes)
-    repeats = _check_single_match(target, staged, on, fits)
-
-    matchable = staged.df.where(~_any_null(on))
+    needed = [*on, *update]
+    if stored:
+        fits = measured_bytes(source, needed) <= broadcast_bytes
+    else:
+        staged = stage(source, "merge-source", measure=needed)
+        source, fits = staged.df, staged.fits(broadcast_bytes)
+    _check_single_match(target, source, on, fits)
+    updated = _apply_updates(target, source.where(~_any_null(on)), on, update, fits)
+    known = target.select(*on)
     if fits:
-        updated = _apply_updates(target, matchable, on, update, fits=True)
-        hits = target.select(*on).join(F.broadcast(matchable.select(*on)), list(on), "left_semi")
         # Distinct hits are some of the source keys, so the same bound holds.
-        inserted = staged.df.join(F.broadcast(hits.distinct()), list(on), "left_anti")
-        return updated.unionByName(inserted)
-
-    # NULL keys match nothing. Neither do repeated source keys, after the check,
-    # so rows of very frequent ones are inserted without a join.
-    unmatched = staged.df.where(_any_null(on))
-    frequent = frequent_keys(matchable, on, frequent_rows) if repeats else []
-    if frequent:
-        keys = _broadcast_keys(frequent, matchable, on)
-        unmatched = unmatched.unionByName(matchable.join(keys, list(on), "left_semi"))
-        matchable = matchable.join(keys, list(on), "left_anti")
-    merged = _merge_shuffled(target, matchable, on, update, frequent_rows)
-    return merged.unionByName(unmatched).select(*target.columns)
-
-
-def _broadcast_keys(found: list[Row], df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A few keys as a broadcast side; both parts of a split use the same list."""
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema))
-
-
-def _merge_shuffled(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    update: Sequence[str],
-    frequent_rows: int,
-) -> DataFrame:
-    """Merge a source that is too large to broadcast.
-
-    One full join updates and inserts, so both sides are shuffled once. Target
-    rows with NULL or very frequent keys stay out of it: they meet the few
-    source rows they need in a broadcast join, and no task gathers them.
-    """
-    null_key = _any_null(keys)
-    frequent = frequent_keys(target, keys, frequent_rows)
-    if not frequent:
-        rest, apart = target.where(~null_key), target.where(null_key)
+        hits = known.join(F.broadcast(source.select(*on)), list(on), "left_semi")
+        known = F.broadcast(hits.distinct())
     else:
-        singled_out = _broadcast_keys(frequent, target, keys)
-        marked = target.join(singled_out.withColumn("_frequent", F.lit(True)), list(keys), "left")
-        is_apart = F.col("_frequent").isNotNull() | null_key
-        rest = marked.where(~is_apart).drop("_frequent")
-        # The check has passed, so there is one source row per key at most.
-        matching = source.join(singled_out, list(keys), "left_semi")
-        source = source.join(singled_out, list(keys), "left_anti")
-        apart = _apply_updates(
-            marked.where(is_apart).drop("_frequent"), matching, keys, update, fits=True
-        )
-    joined = rest.withColumn("_stored", F.lit(True)).join(
-        source.select(
-            *keys,
-            *[F.col(c).alias(f"_new_{c}") for c in source.columns if c not in keys],
-            F.lit(True).alias("_matched"),
-        ),
-        list(keys),
-        "full",
-    )
-    merged = joined.select(*[_merged_column(c, keys, update) for c in target.columns])
-    return merged.unionByName(apart)
-
-
-def _merged_column(name: str, keys: Sequence[str], update: Sequence[str]) -> Column:
-    stored = F.col(name)
-    if name in keys:
-        return stored
-    new = F.col(f"_new_{name}")
-    if name in update:
-        return F.when(F.col("_matched"), new).otherwise(stored).alias(name)
-    return F.when(F.col("_stored"), stored).otherwise(new).alias(name)
+        known = known.distinct()
+    inserted = source.join(known, list(on), "left_anti")
+    return updated.unionByName(inserted)
 
 
 def merge_into(

@@ -97,8 +97,9 @@ def approx_count_distinct(column: str, rsd: float = 0.05) -> Analyzer:
 
 
 def number(column: str) -> Column:
-    """Value as a double, NULL for text that is not a number."""
-    return F.col(column).try_cast("double")
+    """Value as a double, NULL for text that is not a finite number."""
+    value = F.col(column).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def mean(column: str) -> Analyzer:
@@ -140,8 +141,11 @@ def count_distinct(*columns: str) -> Analyzer:
 
 
 def non_negative(column: str) -> Column:
-    """Predicate: the number is not below zero; NULL and non-numbers count as 0."""
-    return F.coalesce(F.col(column).try_cast("decimal(20,10)"), F.lit(0)) >= 0
+    """Predicate: the number is not below zero; NULL and non-numbers count as 0.
+
+    The sign survives the cast to double at any magnitude and scale.
+    """
+    return F.coalesce(number(column), F.lit(0.0)) >= 0
 
 
 @lru_cache(maxsize=None)

@@ -20,6 +20,8 @@ from millrace.operators.quality import (
     run_verification,
 )
 from millrace.operators.stamp import LOAD_TIME_COLUMN, stamp_load_time
+from millrace.plans.params import JobParams
+from millrace.plans.sqljob import sql_job
 from millrace.sinks.reports import csv_report
 from millrace.sinks.tables import (
     create_table_like,
@@ -28,6 +30,7 @@ from millrace.sinks.tables import (
     write,
     write_counted,
 )
+from millrace.sources.catalog import catalog_scan, table_metadata
 from millrace.sources.files import scan_csv
 from millrace.sources.records import infer_record_schema
 from millrace.workspace import stage
@@ -105,18 +108,33 @@ def load_event(
 ) -> str:
     """Upsert the records of one event into a keyed catalog table.
 
-    Without a schema the fields are the union of those in the records. The
-    load time replaces the one that a record may carry. Records that do not
-    decode are left out; ``quarantine`` shows them.
+    Without a schema the fields are the union of those in the records, with
+    the types of the table's columns where it has them. Fields of the table
+    that the event lacks are NULL in its rows; fields that the table lacks
+    raise an error, and nothing is loaded. The load time replaces the one that
+    a record may carry. Records that do not decode are left out;
+    ``quarantine`` shows them. An event is one value in the driver, and one
+    task decodes it; for larger input see ``ingest_available``.
     """
     lines = event_frame(spark, event)
     if schema is None:
         texts = explode_records(lines).select(decode_base64(F.col("data")).alias("data"))
         schema = infer_record_schema(texts)
+    if spark.catalog.tableExists(table):
+        schema = _fitted(schema, spark.table(table).schema)
     rows = stamp_load_time(decode_envelope(lines, schema), at=at)
     return upsert_table(rows, table, root, keys, [LOAD_TIME_COLUMN], ties)
 
 
+def _fitted(event: T.StructType, stored: T.StructType) -> T.StructType:
+    """The fields to decode from an event for the rows of a stored table."""
+    fields = T.StructType([f for f in stored.fields if f.name != LOAD_TIME_COLUMN])
+    unknown = set(event.names) - set(stored.names)
+    if unknown:
+        raise ValueError(f"the table has no columns for the fields {sorted(unknown)}")
+    return fields
+
+
 def load_insert_select(
     spark: SparkSession,
     source: str,
@@ -172,3 +190,18 @@ def quality_report(
     if analyzers:
         csv_report(run_metrics(df, analyzers), f"{base}/metrics")
     return done.results
+
+
+def custom_sql_job(
+    spark: SparkSession,
+    params: JobParams,
+    inputs: Mapping[str, DataFrame] | None = None,
+    args: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Run the SQL statement that a job was given as a parameter."""
+    return sql_job(spark, params.require("custom_sql").custom_sql, inputs, args)
+
+
+def table_job(spark: SparkSession, params: JobParams, fmt: str = "parquet") -> DataFrame:
+    """Scan the table that a job was given by name, as the catalog describes it."""
+    return catalog_scan(spark, table_metadata(spark, params.qualified_table), fmt)

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.sources.files import EXACT_TEXT
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -33,7 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> str:
     """Delimited input file for the queries that read one."""
     (
-        df.write.option("header", True)
+        df.write.options(**EXACT_TEXT)
+        .option("header", True)
         .option("sep", sep)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)

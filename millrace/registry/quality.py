@@ -71,9 +71,40 @@ def dq_completeness(spark, sf_dir):
     return run_metrics(labelled_documents(spark, sf_dir), [completeness("quality")])
 
 
-@query("dq_approx_count_distinct")
+RSD = 0.05
+
+
+@query(
+    "dq_approx_count_distinct",
+    """SELECT o_orderpriority, true AS within_bounds, count(DISTINCT o_custkey) AS exact
+       FROM orders GROUP BY o_orderpriority""",
+)
 def dq_approx_count_distinct(spark, sf_dir):
-    return run_metrics(table(spark, sf_dir, "orders"), [approx_count_distinct("o_custkey")])
+    """Whether the estimate is within three standard deviations of the exact count."""
+    orders = table(spark, sf_dir, "orders")
+    estimate = approx_count_distinct("o_custkey", RSD)
+    counted = orders.groupBy("o_orderpriority").agg(
+        estimate.aggregate().alias("estimate"), F.count_distinct("o_custkey").alias("exact")
+    )
+    within = F.abs(F.col("estimate") - F.col("exact")) <= 3 * RSD * F.col("exact")
+    return counted.select("o_orderpriority", within.alias("within_bounds"), "exact")
+
+
+_SCALED = "(o_totalprice - 150000) * 1e9"
+
+
+@query(
+    "dq_non_negative_large",
+    f"""SELECT o_orderkey, {_SCALED} AS amount, 'amount is non-negative' AS violated
+        FROM orders WHERE {_SCALED} < 0""",
+)
+def dq_non_negative_large(spark, sf_dir):
+    """Amounts far beyond 1e12 on both sides of zero."""
+    amounts = table(spark, sf_dir, "orders").select(
+        "o_orderkey", ((F.col("o_totalprice") - 150000) * 1e9).alias("amount")
+    )
+    broken = violating_rows(amounts, {"amount is non-negative": non_negative("amount")})
+    return broken.withColumn("violated", F.concat_ws(",", "violated"))
 
 
 @query(
@@ -259,7 +290,8 @@ def dq_is_non_negative(spark, sf_dir):
 
 @query(
     "dq_violating_rows",
-    """SELECT c_custkey, c_name, c_acctbal, 'c_acctbal is non-negative' AS violated
+    """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+              'c_acctbal is non-negative' AS violated
        FROM customer WHERE c_acctbal < 0""",
 )
 def dq_violating_rows(spark, sf_dir):
@@ -267,8 +299,7 @@ def dq_violating_rows(spark, sf_dir):
         "c_name is complete": is_present("c_name"),
         "c_acctbal is non-negative": non_negative("c_acctbal"),
     }
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
-    broken = violating_rows(customer, rules)
+    broken = violating_rows(table(spark, sf_dir, "customer"), rules)
     return broken.withColumn("violated", F.concat_ws(",", "violated"))
 
 

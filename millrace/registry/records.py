@@ -96,6 +96,47 @@ def decode_quarantine(spark, sf_dir):
     return quarantine(with_cut_errors(spark, sf_dir), schema)
 
 
+_TRAILING = {"error": " xyz", "view": '{"event_id":1}'}
+
+
+@query(
+    "decode_quarantine_trailing",
+    """SELECT CASE WHEN event_type IN ('error', 'view') THEN 'bad_json' ELSE 'ok' END AS status,
+              event_type, count(*) AS records
+       FROM events GROUP BY ALL""",
+)
+def decode_quarantine_trailing(spark, sf_dir):
+    """Payloads with more text, or a second object, behind the first are rejected whole."""
+    events = table(spark, sf_dir, "events")
+    payload = to_json_text(F.struct("*"))
+    tail = F.create_map(*[F.lit(x) for item in _TRAILING.items() for x in item])[F.col("event_type")]
+    text = F.concat(payload, F.coalesce(tail, F.lit("")))
+    lines = events.select(one_record(encode_base64(text)).alias("value"))
+    tagged = decode_tagged(lines, events.schema)
+    raw = decode_base64(F.col("_raw"))
+    kind = F.coalesce("event_type", F.regexp_extract(raw, '"event_type":"([^"]*)"', 1))
+    return tagged.groupBy(F.col("_status").alias("status"), kind.alias("event_type")).agg(
+        F.count(F.lit(1)).alias("records")
+    )
+
+
+@query(
+    "records_inferred_odd_names",
+    """SELECT event_id AS "VOID", event_type AS "DECIMAL(1,2)",
+              CAST(event_id AS DECIMAL(38,0)) + CAST('90071992547409930000' AS DECIMAL(38,0)) AS big
+       FROM events""",
+)
+def records_inferred_odd_names(spark, sf_dir):
+    """Names that look like types, and integers beyond 64 bits."""
+    big = F.col("event_id").cast("decimal(38,0)") + F.lit("90071992547409930000").cast("decimal(38,0)")
+    record = F.struct(
+        F.col("event_id").alias("VOID"),
+        F.col("event_type").alias("DECIMAL(1,2)"),
+        big.cast("decimal(38,0)").alias("big"),
+    )
+    return records_to_rows(table(spark, sf_dir, "events").select(F.to_json(record).alias("data")))
+
+
 @query(
     "decode_status_counts",
     """SELECT CASE WHEN event_type = 'error' THEN 'bad_json' ELSE 'ok' END AS status,

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cast_to_schema, catalog_to_struct, rewrite_uri_scheme
 from millrace.operators import preview_rows
+from millrace.functions.names import location_clause
+from millrace.plans import JobParams, table_job
 from millrace.registry.base import query, table, write_csv
 from millrace.sources import (
     catalog_scan,
@@ -18,6 +20,7 @@ from millrace.sources import (
     table_metadata,
     view_scan,
 )
+from millrace.sinks import insert_by_name
 from millrace.workspace import fresh_path, stage
 
 CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -123,6 +126,29 @@ def catalog_scan_query(spark, sf_dir):
     return catalog_scan(spark, metadata)
 
 
+@query(
+    "catalog_scan_limited_text",
+    """SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal
+       FROM customer""",
+)
+def catalog_scan_limited_text(spark, sf_dir):
+    """A catalog table with char, varchar and decimal columns."""
+    name = f"customer_{uuid.uuid4().hex}"
+    where = location_clause(fresh_path(spark, "customer"))
+    spark.sql(
+        f"""CREATE TABLE {name} (c_custkey BIGINT, c_name VARCHAR(40), c_mktsegment VARCHAR(12),
+            c_acctbal DECIMAL(12,2)) USING parquet {where}"""
+    )
+    customer = table(spark, sf_dir, "customer")
+    insert_by_name(
+        customer.select(
+            "c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal")
+        ),
+        name,
+    )
+    return table_job(spark, JobParams(table_name=name))
+
+
 @query("catalog_table_scan", CUSTOMER)
 def catalog_table_scan(spark, sf_dir):
     name = f"customer_{uuid.uuid4().hex}"

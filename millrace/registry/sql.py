@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import sql_job
+from millrace.plans import JobParams, custom_sql_job, sql_job
 from millrace.registry.base import query, table
 
 BY_SEGMENT = """
@@ -19,6 +19,14 @@ def sql_job_query(spark, sf_dir):
     return sql_job(spark, BY_SEGMENT.format(floor=":floor"), inputs, {"floor": 100000})
 
 
+@query("custom_sql_job", BY_SEGMENT.format(floor=50000))
+def custom_sql_job_query(spark, sf_dir):
+    """The statement comes from the job's parameters, as an event would hold them."""
+    params = JobParams.resolve({"CUSTOM_SQL": BY_SEGMENT.format(floor=":floor")})
+    inputs = {name: table(spark, sf_dir, name) for name in ("orders", "customer")}
+    return custom_sql_job(spark, params, inputs, {"floor": 50000})
+
+
 def _same_text(name: str, text: str, *tables: str, args: dict | None = None) -> None:
     """Register one statement that both engines read alike."""
     oracle = text

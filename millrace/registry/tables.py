@@ -29,6 +29,7 @@ from millrace.sinks import (
     write_counted,
 )
 from millrace.sources import scan_csv
+from millrace.sources.files import EXACT_TEXT
 from millrace.workspace import fresh_path
 
 ORDERS = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
@@ -142,14 +143,23 @@ def load_row_count(spark, sf_dir):
     return spark.createDataFrame([("lineitem", rows)], "table_name string, row_count bigint")
 
 
-@query("rechunk", ORDERS)
+@query(
+    "rechunk",
+    """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+              '  "' || o_orderpriority || '\\", a; ''b\\ ' AS o_orderpriority
+       FROM orders""",
+)
 def rechunk(spark, sf_dir):
-    """Small chunks, so that the file is cut in several at any scale."""
-    orders = table(spark, sf_dir, "orders")
+    """Small chunks, so that the file is cut in several at any scale.
+
+    The text holds blanks at both ends, quotes, separators and backslashes.
+    """
+    priority = F.concat(F.lit('  "'), "o_orderpriority", F.lit('\\", a; \'b\\ '))
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", priority)
     whole = write_csv(orders, fresh_path(spark, "orders-csv"))
     chunks = fresh_path(spark, "orders-chunks")
     rechunk_csv(spark, whole, chunks, chunk_bytes=256 * 1024)
-    return cast_to_schema(scan_csv(spark, chunks), orders.schema)
+    return cast_to_schema(scan_csv(spark, chunks, options=EXACT_TEXT), orders.schema)
 
 
 @query(
@@ -178,6 +188,7 @@ def load_csv_overwrite(spark, sf_dir):
 @query(
     "load_csv_overwrite_keyed",
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+               o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, o_orderpriority,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate,
                {LOADED_SQL} AS last_upd_timestamp
         FROM orders
@@ -186,8 +197,7 @@ def load_csv_overwrite(spark, sf_dir):
             ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1""",
 )
 def load_csv_overwrite_keyed(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    source = write_csv(orders, fresh_path(spark, "orders-csv"))
+    source = write_csv(table(spark, sf_dir, "orders"), fresh_path(spark, "orders-csv"))
     target = fresh_path(spark, "orders")
     load_overwrite_keyed(
         spark, source, target, ["o_custkey"], ["o_orderdate", "o_orderkey"], at=loaded_at()
@@ -199,7 +209,8 @@ def load_csv_overwrite_keyed(spark, sf_dir):
     "load_csv_upsert",
     f"""SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
                CASE WHEN c_acctbal < 0 THEN upper(c_name) ELSE c_name END AS c_name,
-               CAST(c_acctbal AS VARCHAR) AS c_acctbal,
+               CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+               CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment,
                CASE WHEN c_acctbal < 0 THEN TIMESTAMP '2024-02-02 00:00:00'
                     ELSE {LOADED_SQL} END AS last_upd_timestamp
         FROM customer""",
@@ -207,7 +218,7 @@ def load_csv_overwrite_keyed(spark, sf_dir):
 def load_csv_upsert(spark, sf_dir):
     name = f"customer_{uuid.uuid4().hex}"
     root = fresh_path(spark, "customer")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    customer = table(spark, sf_dir, "customer")
     overdrawn = customer.where(F.col("c_acctbal") < 0).withColumn("c_name", F.upper("c_name"))
     first = write_csv(customer, fresh_path(spark, "customer-csv"), ";")
     second = write_csv(overdrawn, fresh_path(spark, "overdrawn-csv"), ";")
@@ -231,12 +242,18 @@ def load_csv_insert_select(spark, sf_dir):
     """SELECT 'customer file' AS "check", 'Warning' AS check_level, 'Warning' AS check_status,
               'UniquenessConstraint(Uniqueness(c_custkey))' AS "constraint",
               CASE WHEN count(DISTINCT c_custkey) = count(*) THEN 'Success' ELSE 'Failure' END
-                  AS constraint_status
+                  AS constraint_status,
+              CASE WHEN count(DISTINCT c_custkey) < count(*) THEN 'Value: ' || CAST(
+                  count(DISTINCT c_custkey) / count(*) AS VARCHAR)
+                  || ' does not meet the constraint requirement!' END AS constraint_message
        FROM customer
        UNION ALL
        SELECT 'customer file', 'Warning', 'Warning',
               'ComplianceConstraint(Compliance(c_acctbal is non-negative))',
-              CASE WHEN min(c_acctbal) >= 0 THEN 'Success' ELSE 'Failure' END
+              CASE WHEN min(c_acctbal) >= 0 THEN 'Success' ELSE 'Failure' END,
+              CASE WHEN min(c_acctbal) < 0 THEN 'Value: ' || CAST(
+                  CAST(count(*) FILTER (WHERE c_acctbal >= 0) AS DOUBLE) / count(*) AS VARCHAR)
+                  || ' does not meet the constraint requirement!' END
        FROM customer""",
 )
 def quality_report_query(spark, sf_dir):
@@ -247,5 +264,6 @@ def quality_report_query(spark, sf_dir):
     text = scan_csv(spark, source, ";")
     results = quality_report(text, output, [check], land=["c_custkey", "c_acctbal"])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in results.columns])
-    report = scan_csv(spark, f"{output}/verification-results", schema=schema)
-    return report.drop("constraint_message")
+    report = scan_csv(spark, f"{output}/verification-results", schema=schema, options=EXACT_TEXT)
+    # A constraint that holds has no message.
+    return report.withColumn("constraint_message", F.nullif("constraint_message", F.lit("")))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from millrace.workspace import sql_settings, stored_bytes
+
 # Data one shuffle task should handle; several fit in an executor's memory.
 SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
-# More tasks than this cost more in block bookkeeping than they save in spill.
-MAX_SHUFFLE_TASKS = 100_000
 
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -29,10 +30,24 @@ def shuffle_settings(shuffled_bytes: int) -> dict[str, str]:
     tasks = -(-max(shuffled_bytes, 1) // SHUFFLE_TASK_BYTES)
     return {
         **ADAPTIVE_SETTINGS,
-        "spark.sql.shuffle.partitions": str(min(max(tasks, 8), MAX_SHUFFLE_TASKS)),
+        "spark.sql.shuffle.partitions": str(max(tasks, 8)),
     }
 
 
+@contextmanager
+def sized_for(spark: SparkSession, *paths: str, factor: int = 4) -> Iterator[None]:
+    """Shuffle in as many tasks as the stored inputs of a job call for.
+
+    ``factor`` is how much larger rows are in a shuffle than in their files.
+    The session's own number stands if it is larger.
+    """
+    settings = shuffle_settings(factor * stored_bytes(spark, *paths))
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = max(own, int(settings["spark.sql.shuffle.partitions"]))
+    with sql_settings(spark, {"spark.sql.shuffle.partitions": str(asked)}):
+        yield
+
+
 def build_session(app_name: str, settings: Mapping[str, str] | None = None) -> SparkSession:
     """Session with adaptive execution; other settings come from the caller."""
     builder = SparkSession.builder.appName(app_name)

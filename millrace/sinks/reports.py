@@ -4,26 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from millrace.sources.files import EXACT_TEXT
 from millrace.workspace import stage
 
 
-# Up to this many rows are gathered in one file.
-REPORT_ROWS = 100_000
-
-
 def csv_report(report: DataFrame, path: str, sep: str = ",") -> None:
     """Write a report as a single CSV file with a header.
 
-    Meant for metric and check tables, which have one row per metric or
-    constraint however large the data is. The report is computed once and
-    counted; one that turns out large is written in several files, so that no
-    task gathers it.
+    For metric and check tables only: they have one row per metric or
+    constraint, however large the data is, and one task writes them all.
     """
-    staged = stage(report, "report", measure=[])
-    rows = staged.df.coalesce(1) if staged.rows <= REPORT_ROWS else staged.df
-    rows.write.mode("overwrite").csv(path, sep=sep, header=True)
+    # Staged, so that the one task only writes rows that are there already.
+    _write(stage(report, "report", measure=[]).df.coalesce(1), path, sep, "overwrite")
 
 
 def csv_new(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write delimited text with a header; fail if the path exists."""
-    df.write.mode("errorifexists").csv(path, sep=sep, header=True)
+    _write(df, path, sep, "errorifexists")
+
+
+def _write(df: DataFrame, path: str, sep: str, mode: str) -> None:
+    df.write.mode(mode).options(**EXACT_TEXT).csv(path, sep=sep, header=True)

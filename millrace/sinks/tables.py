@@ -6,18 +6,20 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import location_clause, quoted
-from millrace.operators.merge import stage_latest, upsert_latest, upsert_staged
+from millrace.operators.merge import stage_latest, upsert_staged
+from millrace.session import sized_for
 from millrace.sources.catalog import table_metadata
-from millrace.workspace import BROADCAST_BYTES, sql_settings
+from millrace.workspace import BROADCAST_BYTES, Staged, names_in, remove
 
-# Up to this many partitions are named in a filter; more are found by a join.
-NAMED_PARTITIONS = 1000
+# Folder of a table that holds merged partitions until they are in place.
+_PENDING = "_pending_merge"
 
 
 def write(
@@ -96,11 +98,17 @@ def create_table_like(
 
 
 def insert_by_name(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> None:
-    """INSERT INTO … SELECT, matching columns by name and not by position."""
+    """INSERT INTO … SELECT, matching columns by name and not by position.
+
+    Rows for a partitioned table are first gathered by partition, so that few
+    files are written per partition.
+    """
     selected = df if columns is None else df.select(*columns)
-    selected.sparkSession.sql(
-        f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=selected
-    )
+    spark = selected.sparkSession
+    by = [k["Name"] for k in table_metadata(spark, table)["Table"]["PartitionKeys"]]
+    if by:
+        selected = selected.hint("rebalance", *by)
+    spark.sql(f"INSERT INTO {quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=selected)
 
 
 def write_snapshot(
@@ -143,9 +151,12 @@ def _check_buckets(
 ) -> None:
     """A snapshot in other buckets than the table declares would be misread."""
     descriptor = table_metadata(spark, table)["Table"]["StorageDescriptor"]
-    declared = (descriptor.get("NumberOfBuckets"), set(descriptor.get("BucketColumns", ())))
-    if declared != (buckets or None, set(keys) if buckets else set()):
-        raise ValueError(f"table {table} is not stored in {buckets} buckets by {list(keys)}")
+    declared = (descriptor.get("NumberOfBuckets"), list(descriptor.get("BucketColumns", ())))
+    if declared != (buckets or None, list(keys) if buckets else []):
+        raise ValueError(
+            f"table {table} is stored in {declared[0]} buckets by {declared[1]}, "
+            f"not in {buckets} buckets by {list(keys)}"
+        )
 
 
 def upsert_table(
@@ -164,21 +175,32 @@ def upsert_table(
 
     The table is created from the batch if it does not exist, in ``buckets``
     by key if that is set, which spares it the shuffle when a large batch
-    comes in. Returns the folder of the new snapshot.
+    comes in. The keys must then be given in the table's order of bucket
+    columns. Returns the folder of the new snapshot.
+
+    Every call writes the whole table anew, so use it for tables that a batch
+    changes much of; ``upsert_partitioned_table`` rewrites parts.
     """
     spark = batch.sparkSession
     exists = spark.catalog.tableExists(table)
+    inputs = []
     if exists:
         _check_buckets(spark, table, buckets, keys)
         target = spark.table(table)
+        inputs.append(table_metadata(spark, table)["Table"]["StorageDescriptor"]["Location"])
     else:
         target = spark.createDataFrame([], batch.schema)
-    merged = upsert_latest(target, batch, keys, order, ties, keep_later, broadcast_bytes, buckets)
-    path = write_snapshot(merged, root, name=name, buckets=buckets, bucket_by=keys)
+    latest = stage_latest(batch, keys, order, ties)
+    with sized_for(spark, latest.path, *inputs):
+        merged = upsert_staged(
+            target, latest, keys, order, ties, keep_later, broadcast_bytes, buckets
+        )
+        path = write_snapshot(merged, root, name=name, buckets=buckets, bucket_by=keys)
     if exists:
         publish_snapshot(spark, table, path)
     else:
         create_table_like(batch, table, path, buckets=buckets, bucket_by=keys)
+    latest.drop()
     return path
 
 
@@ -195,15 +217,38 @@ def upsert_partitions(
     """Latest-wins upsert that rewrites only the partitions the batch touches.
 
     The partition columns must be part of the key, so that a key never moves
-    to another partition. The work grows with those partitions and not with
-    the table.
+    to another partition. The batch must have the columns of the stored table.
+    The work grows with the touched partitions and not with the table.
+
+    The merged partitions are first written whole beside the table and only
+    then put in place, from there. If that is cut short, the next call, or
+    ``finish_pending``, puts them in place again, so no stored row is lost.
     """
-    target = batch.sparkSession.read.schema(batch.schema).parquet(path)
-    merged = _merge_touched(
-        batch, target, partition_by, keys, order, ties, keep_later, broadcast_bytes
-    )
+    spark = batch.sparkSession
+    finish_pending(spark, path, batch.schema, partition_by)
+    stored = set(spark.read.parquet(path).columns)
+    if stored != set(batch.columns):
+        raise ValueError(
+            f"the batch has the columns {sorted(batch.columns)}, the table {sorted(stored)}"
+        )
+    target = spark.read.schema(batch.schema).parquet(path)
+    latest = stage_latest(batch, keys, order, ties)
+    merged = _merge_touched(target, latest, partition_by, keys, order, ties, keep_later, broadcast_bytes)
     if merged is not None:
-        overwrite_partitions(merged, path, partition_by)
+        with sized_for(spark, latest.path):
+            write(merged, f"{path.rstrip('/')}/{_PENDING}", mode="overwrite")
+        finish_pending(spark, path, batch.schema, partition_by)
+    latest.drop()
+
+
+def finish_pending(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]
+) -> None:
+    """Put merged partitions in place that an earlier call wrote completely."""
+    pending = f"{path.rstrip('/')}/{_PENDING}"
+    if "_SUCCESS" in names_in(spark, pending):
+        overwrite_partitions(spark.read.schema(schema).parquet(pending), path, partition_by)
+    remove(spark, pending)
 
 
 def upsert_partitioned_table(
@@ -219,25 +264,64 @@ def upsert_partitioned_table(
 ) -> None:
     """``upsert_partitions`` for a catalog table, created if it does not exist.
 
-    The catalog finds the stored partitions and learns of new ones, so that no
-    folder tree is listed.
+    The catalog finds the stored partitions, so that no folder tree is listed.
+    New partition folders are written below ``path`` and the catalog is then
+    pointed at them, one by one; former folders stay until they are removed.
+    A call that is cut short leaves each partition whole, old or new. The
+    batch must have the columns of the table.
     """
     spark = batch.sparkSession
     create_table_like(batch, table, path, partition_by=partition_by)
     target = spark.table(table)
-    merged = _merge_touched(
-        batch, target, partition_by, keys, order, ties, keep_later, broadcast_bytes
+    if set(target.columns) != set(batch.columns):
+        raise ValueError(
+            f"the batch has the columns {sorted(batch.columns)}, "
+            f"the table {sorted(target.columns)}"
+        )
+    latest = stage_latest(batch, keys, order, ties)
+    merged = _merge_touched(target, latest, partition_by, keys, order, ties, keep_later, broadcast_bytes)
+    if merged is not None:
+        folder = f"{path.rstrip('/')}/version-{uuid.uuid4().hex}"
+        with sized_for(spark, latest.path):
+            write(merged.select(*target.columns), folder, partition_by=partition_by, balance=True)
+        _point_partitions(spark, table, folder, target.schema, partition_by)
+    latest.drop()
+
+
+def _point_partitions(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    schema: T.StructType,
+    partition_by: Sequence[str],
+) -> None:
+    """Let the catalog show the partitions that a folder holds from now on."""
+    file = F.col("_metadata.file_path")
+    # One row per partition, read from the names of the files.
+    found = (
+        spark.read.schema(schema)
+        .parquet(folder)
+        .select(*[F.col(f"`{c}`").cast("string") for c in partition_by], file.alias("_file"))
+        .groupBy(*[f"`{c}`" for c in partition_by])
+        .agg(F.min("_file").alias("_file"))
     )
-    if merged is None:
-        return
-    with sql_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        balanced = merged.select(*target.columns).hint("rebalance", *partition_by)
-        balanced.write.mode("overwrite").insertInto(table)
+    for row in found.collect():
+        values = ", ".join(
+            f"{quoted(c)} = '{_escaped(value)}'" for c, value in zip(partition_by, row, strict=False)
+        )
+        where = location_clause(unquote(row["_file"].rsplit("/", 1)[0]))
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS PARTITION ({values}) {where}")
+        spark.sql(f"ALTER TABLE {quoted(table)} PARTITION ({values}) SET {where}")
+    spark.catalog.refreshTable(table)
+
+
+def _escaped(value: str) -> str:
+    return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _merge_touched(
-    batch: DataFrame,
     target: DataFrame,
+    latest: Staged,
     partition_by: Sequence[str],
     keys: Sequence[str],
     order: Sequence[str],
@@ -245,20 +329,18 @@ def _merge_touched(
     keep_later: bool,
     broadcast_bytes: int,
 ) -> DataFrame | None:
-    """New content of the partitions in the batch; None if there are none."""
+    """New content of the partitions in the batch; None if there are none.
+
+    The touched partitions are named in the filter, however many they are, so
+    that the others are not read. Their names are metadata, like a listing.
+    """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be key columns")
-    latest = stage_latest(batch, keys, order, ties)
-    touched = latest.df.select(*partition_by).distinct()
-    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    named = latest.df.select(*partition_by).distinct().collect()
     if not named:
         return None
-    target = target.select(*batch.columns)
-    if len(named) <= NAMED_PARTITIONS:
-        target = target.where(_in_partitions(named, partition_by))
-    else:
-        target = target.join(touched, list(partition_by), "left_semi")
-    return upsert_staged(target, latest, keys, order, ties, keep_later, broadcast_bytes)
+    touched = target.select(*latest.df.columns).where(_in_partitions(named, partition_by))
+    return upsert_staged(touched, latest, keys, order, ties, keep_later, broadcast_bytes)
 
 
 def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:
@@ -266,4 +348,6 @@ def _in_partitions(values: Sequence[Row], columns: Sequence[str]) -> Column:
     if len(columns) == 1:
         return F.col(columns[0]).isin([row[0] for row in values])
     each = [reduce(and_, [F.col(c) == F.lit(row[c]) for c in columns]) for row in values]
-    return reduce(or_, each)
+    while len(each) > 1:  # a balanced tree, as deep chains are slow to plan
+        each = [reduce(or_, each[i : i + 2]) for i in range(0, len(each), 2)]
+    return each[0]

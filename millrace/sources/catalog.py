@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from typing import Any
 
@@ -35,9 +36,12 @@ def table_metadata(spark: SparkSession, name: str) -> dict[str, Any]:
     }
     if details.get("Location"):
         descriptor["Location"] = details["Location"]
-    bucketed = [c.name for c in columns if c.isBucket]
-    if bucketed:
-        descriptor["BucketColumns"] = bucketed
+    if any(c.isBucket for c in columns):
+        # Rows are hashed over the columns in their declared order.
+        declared = details["Bucket Columns"]
+        descriptor["BucketColumns"] = [
+            name.replace("``", "`") for name in re.findall(r"`((?:[^`]|``)*)`", declared)
+        ]
         descriptor["NumberOfBuckets"] = int(details["Num Buckets"])
     return {
         "Table": {

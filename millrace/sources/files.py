@@ -10,6 +10,14 @@ from pyspark.sql import types as T
 
 from millrace.workspace import sql_settings
 
+# Options that keep every character of a text when it is written and read: blanks
+# at its ends stay, quotes are doubled, and a backslash is like any other character.
+EXACT_TEXT = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 # Fixed value: bytes of input given to one task by the large-file reader.
 LARGE_FILE_SPLIT_BYTES = 400_000_000
 
@@ -24,7 +32,9 @@ def scan_csv(
     """Delimited text with a header line; every column is a string.
 
     Without a schema Spark reads one header line to name the columns and
-    does not look at the data. Empty fields are NULL.
+    does not look at the data. Empty fields are NULL. A backslash before a
+    quote escapes it; pass ``EXACT_TEXT`` as options for text whose quotes are
+    doubled, such as what this library writes.
     """
     reader = spark.read.options(**(options or {})).option("header", True).option("sep", sep)
     if schema is not None:

@@ -11,26 +11,67 @@ from pyspark.sql import types as T
 from millrace.functions.codec import CORRUPT_FIELD, parse_json
 
 
+# A name in backquotes, a word, or a single other character of a type's text.
+_PART = re.compile(r"`(?:[^`]|``)*`|\w+|\S")
+_WHOLE_NUMBER_DIGITS = 18
+
+
 def infer_record_schema(records: DataFrame, column: str = "data") -> T.StructType:
     """Union of the fields of all JSON objects in a string column.
 
     One distributed aggregate over the whole column; only its single result
-    reaches the driver. Integers become bigint, all other numbers double, and
-    a field that is NULL in every record a string. Text that is not JSON is
-    ignored here and left for the decoder to report.
+    reaches the driver. Integers become bigint, or decimal(38,0) if one has
+    more digits than that holds; other numbers double, and a field that is
+    NULL in every record a string. Text that is not JSON is ignored here and
+    left for the decoder to report. Names that differ only in case raise an
+    error, since columns could not be told apart.
     """
     merged = records.agg(
         F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("schema")
     ).first()["schema"]
-    ddl = re.sub(r"\bOBJECT<", "STRUCT<", merged)
-    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
-    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
-    schema = T.DataType.fromDDL(ddl)
+    schema = T.DataType.fromDDL(_column_types(merged))
     if not isinstance(schema, T.StructType):
         raise ValueError(f"records are not JSON objects of one shape: {merged}")
+    _check_names(schema)
     return schema
 
 
+def _column_types(text: str) -> str:
+    """The text of a variant's type with the types of a column; names are left alone."""
+    parts = _PART.findall(text)
+    out: list[str] = []
+    at = 0
+    while at < len(parts):
+        part = parts[at]
+        if at + 1 < len(parts) and parts[at + 1] == ":":
+            out.append(part if part.startswith("`") else f"`{part}`")
+        elif part == "OBJECT":
+            out.append("STRUCT")
+        elif part == "VOID":
+            out.append("STRING")
+        elif part == "DECIMAL":
+            digits, scale = int(parts[at + 2]), int(parts[at + 4])
+            whole = "BIGINT" if digits <= _WHOLE_NUMBER_DIGITS else "DECIMAL(38,0)"
+            out.append("DOUBLE" if scale else whole)
+            at += 5
+        else:
+            out.append(part)
+        at += 1
+    return " ".join(out)
+
+
+def _check_names(kind: T.DataType) -> None:
+    if isinstance(kind, T.ArrayType):
+        _check_names(kind.elementType)
+    elif isinstance(kind, T.StructType):
+        seen: dict[str, str] = {}
+        for field in kind.fields:
+            other = seen.setdefault(field.name.lower(), field.name)
+            if other != field.name:
+                raise ValueError(f"field names differ only in case: {other}, {field.name}")
+            _check_names(field.dataType)
+
+
 def records_to_rows(
     records: DataFrame, schema: T.StructType | None = None, column: str = "data"
 ) -> DataFrame:
@@ -43,7 +84,7 @@ def records_to_rows(
         schema = infer_record_schema(records, column)
     kept = [c for c in records.columns if c != column]
     parsed = records.withColumn(column, parse_json(F.col(column), schema))
-    usable = F.col(column)[CORRUPT_FIELD].isNull()
+    usable = F.col(column).isNotNull() & F.col(column)[CORRUPT_FIELD].isNull()
     return parsed.select(
         *kept,
         *[F.when(usable, F.col(column)[f.name]).alias(f.name) for f in schema.fields],

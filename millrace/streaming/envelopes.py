@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +21,7 @@ from millrace.operators.envelope import (
 from millrace.operators.stamp import LOAD_TIME_COLUMN, stamp_load_time
 from millrace.sinks.tables import upsert_partitioned_table, upsert_table
 from millrace.sources.catalog import table_metadata
-from millrace.workspace import BROADCAST_BYTES
+from millrace.workspace import BROADCAST_BYTES, names_in
 
 RUN_COLUMN = "_run"
 _SNAPSHOT_PREFIX = "through-"
@@ -98,6 +97,14 @@ def _merged_through(spark: SparkSession, table: str) -> str:
     return properties.get(_MERGED_PROPERTY, "")
 
 
+def _next_run(spark: SparkSession, base: str, table: str) -> str:
+    """A run later than all that the landing folder or the table knows of."""
+    prefix = f"{RUN_COLUMN}="
+    landed = [n.removeprefix(prefix) for n in names_in(spark, f"{base}/landed") if n.startswith(prefix)]
+    last = max([*landed, _merged_through(spark, table) or "0"], key=int)
+    return f"{int(last) + 1:020d}"
+
+
 def ingest_available(
     spark: SparkSession,
     source: str | None,
@@ -125,7 +132,8 @@ def ingest_available(
        batch into a new snapshot, whose folder names the last run in it.
 
     A failure between the steps leaves a run unmerged, and the next call picks
-    it up. With ``partition_by``, which must be key columns, only the
+    it up. Runs are numbered one up from the largest that is landed or merged,
+    so their order does not depend on any clock. With ``partition_by``, which must be key columns, only the
     partitions that the new rows touch are rewritten, in place of a snapshot;
     this needs ``keep_later``, so that a merge can be repeated.
 
@@ -136,7 +144,7 @@ def ingest_available(
     if partition_by and not keep_later:
         raise ValueError("a partitioned ingest needs keep_later")
     base = root.rstrip("/")
-    run = f"{time.time_ns():020d}"
+    run = _next_run(spark, base, table)
     tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
     if stamp:
         tagged = stamp_load_time(tagged, LOAD_TIME_COLUMN)

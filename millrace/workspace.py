@@ -91,6 +91,52 @@ class Staged:
     def fits(self, limit: int) -> bool:
         return self.bytes <= limit
 
+    def drop(self) -> None:
+        """Delete the files, once nothing reads the frame any more."""
+        remove(self.df.sparkSession, self.path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The store of a path, and the path in its terms."""
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, there = _file_system(spark, path)
+    store.delete(there, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, there = _file_system(spark, path)
+    return store.exists(there)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it does not exist."""
+    store, there = _file_system(spark, path)
+    return [status.getPath().getName() for status in store.listStatus(there)] if store.exists(there) else []
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of files or folders, from the store's own records."""
+    total = 0
+    for path in paths:
+        store, there = _file_system(spark, path)
+        total += store.getContentSummary(there).getLength() if store.exists(there) else 0
+    return total
+
+
+def measured_bytes(df: DataFrame, columns: Sequence[str]) -> int:
+    """Approximate in-memory width of some columns, in one scan of them."""
+    return int(df.agg(F.coalesce(F.sum(_row_width(df, columns)), F.lit(0))).first()[0])
+
+
+def _row_width(df: DataFrame, columns: Sequence[str]) -> Column:
+    return sum(
+        (column_bytes(df.schema, n) for n in columns), F.lit(_ROW_OVERHEAD_BYTES).cast("long")
+    )
+
 
 def stage(df: DataFrame, label: str, measure: Sequence[str] | None = None) -> Staged:
     """Write ``df`` to the shared folder and read it back.
@@ -102,7 +148,7 @@ def stage(df: DataFrame, label: str, measure: Sequence[str] | None = None) -> St
     """
     spark = df.sparkSession
     names = list(df.columns if measure is None else measure)
-    width = sum((column_bytes(df.schema, n) for n in names), F.lit(_ROW_OVERHEAD_BYTES).cast("long"))
+    width = _row_width(df, names)
     seen = Observation()
     path = fresh_path(spark, label)
     (

@@ -45,8 +45,11 @@ def metadata(*columns, location=None, partition_keys=()):
         ("smallint", T.ShortType()),
         ("tinyint", T.ByteType()),
         ("BIGINT", T.LongType()),
-        ("char(3)", T.CharType(3)),
-        ("varchar(10)", T.VarcharType(10)),
+        ("char(3)", T.StringType()),
+        ("varchar(10)", T.StringType()),
+        ("array<varchar(3)>", T.ArrayType(T.StringType())),
+        ("struct<a:char(2),b:map<string,varchar(4)>>", T.StructType().add("a", "string").add(
+            "b", T.MapType(T.StringType(), T.StringType()))),
         ("uniontype<int,string>", T.StringType()),
         ("a int, b int", T.StringType()),
         ("", T.StringType()),

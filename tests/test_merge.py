@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from millrace.workspace import sql_settings
 from millrace.operators import (
     DuplicateSourceKeyError,
     dedup_latest,
@@ -16,7 +17,6 @@ from millrace.operators import (
     merge_update_insert,
     upsert_latest,
 )
-from millrace.operators.merge import frequent_keys
 
 DDL = "id int, v int, note string"
 FORMS = [dedup_latest, dedup_latest_grouped]
@@ -130,8 +130,8 @@ def people(spark, *data):
     return spark.createDataFrame(list(data), MERGE_DDL)
 
 
-@pytest.mark.parametrize(("limit", "frequent"), [(1 << 30, 10), (0, 1_000_000), (0, 1)])
-def test_merge_updates_some_columns_and_inserts_the_rest(spark, rows, limit, frequent):
+@pytest.mark.parametrize(("limit", "stored"), [(1 << 30, False), (0, False), (0, True), (1 << 30, True)])
+def test_merge_updates_some_columns_and_inserts_the_rest(spark, rows, limit, stored):
     target = people(
         spark,
         ("1", "ann", "x", "t"),
@@ -149,9 +149,7 @@ def test_merge_updates_some_columns_and_inserts_the_rest(spark, rows, limit, fre
         ("10", "zed", "a", "s"),
         ("11", "zed", "b", "s"),
     )
-    merged = merge_update_insert(
-        target, source, ["first"], ["first", "city"], limit, frequent_rows=frequent
-    )
+    merged = merge_update_insert(target, source, ["first"], ["first", "city"], limit, stored)
     assert rows(merged) == rows(
         people(
             spark,
@@ -196,22 +194,42 @@ def test_small_source_is_broadcast(spark, plan_of, sf_dir):
     assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
 
 
-def test_frequent_keys(spark):
-    df = frame(spark, [(1, 0, "")] * 5 + [(2, 0, "")] * 3 + [(3, 0, "")] + [(None, 0, "")] * 9)
-    assert sorted(r["id"] for r in frequent_keys(df, ["id"], 2)) == [1, 2]
-    assert [r["id"] for r in frequent_keys(df, ["id"], 2, most=1)] == [1]
-    assert frequent_keys(df, ["id"], 5) == []
-    assert frequent_keys(frame(spark, []), ["id"], 0) == []
-
-
-def test_frequent_keys_among_many(spark):
-    """Each key with a hundredth of the rows is found among 50,000 others."""
-    df = spark.range(0, 200_000, 1, 8).select(
-        F.when(F.col("id") % 10 == 0, F.col("id") % 100).otherwise(F.col("id")).alias("a"),
-        F.lit("x").alias("b"),
+def test_any_number_of_hot_keys_is_split(spark, rows, tmp_path, plan_of):
+    """3,000 hot keys and NULL keys: no full join, and skewed sides are split."""
+    target = spark.range(60_000).select(
+        F.when(F.col("id") % 10 == 9, None)
+        .when(F.col("id") % 2 == 0, F.lit(7))
+        .otherwise(F.col("id") % 3000)
+        .cast("int")
+        .alias("id"),
+        F.lit(0).alias("v"),
+        F.concat(F.lit("a long note to make the rows wide "), F.col("id")).alias("note"),
+    )
+    target.repartition(8).write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.range(3100).select(
+        F.when(F.col("id") == 3099, None).otherwise(F.col("id")).cast("int").alias("id"),
+        F.lit(1).alias("v"),
+        F.lit("s").alias("note"),
     )
-    found = {r["a"] for r in frequent_keys(df, ["a", "b"], 500)}
-    assert found == set(range(0, 100, 10))
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    with sql_settings(spark, settings):
+        merged = merge_update_insert(target, source, ["id"], ["v"], 0)
+        merged.collect()
+        plan = plan_of(merged)
+    assert "FullOuter" not in plan and "LeftOuter" in plan and "skew=true" in plan
+    known = {r["id"] for r in target.select("id").distinct().collect()} - {None}
+    inserted = merged.where("note = 's'")
+    assert inserted.count() == sum(i not in known for i in range(3099)) + 1
+    assert merged.where("note <> 's' AND id IS NOT NULL AND v <> 1").isEmpty()
+    assert merged.where("note <> 's'").count() == 60_000
 
 
 def test_a_hot_key_in_target_and_source(spark, rows):
@@ -232,15 +250,15 @@ def test_a_hot_key_in_target_and_source(spark, rows):
         )
     )
     for limit in (0, 1 << 30):
-        merged = merge_update_insert(target, source, ["id"], ["v"], limit, frequent_rows=100)
+        merged = merge_update_insert(target, source, ["id"], ["v"], limit)
         assert rows(merged) == expected
 
 
 def test_merge_with_keys_of_other_types(spark, rows):
     target = frame(spark, [(1, 0, "t")] * 3 + [(2, 0, "t")])
     source = spark.createDataFrame([(1, 5, "s"), (2**40, 5, "s")], "id bigint, v int, note string")
-    for limit, frequent in ((1 << 30, 10), (0, 10), (0, 1)):
-        merged = merge_update_insert(target, source, ["id"], ["v"], limit, frequent_rows=frequent)
+    for limit in (1 << 30, 0):
+        merged = merge_update_insert(target, source, ["id"], ["v"], limit)
         assert rows(merged) == [(1, 5, "t")] * 3 + [(1 << 40, 5, "s"), (2, 0, "t")]
 
 

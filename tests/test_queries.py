@@ -16,6 +16,9 @@ SPARK_TO_SQL = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+    "decimal(12,2)": "DECIMAL(12,2)",
+    "decimal(38,0)": "DECIMAL(38,0)",
 }
 
 
@@ -59,5 +62,6 @@ def test_entry_points(spark):
     import __spark_entry__ as contract
 
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"dq_approx_count_distinct"}
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
     assert contract.entry(spark).count() > 0

@@ -8,7 +8,7 @@ from millrace.session import build_session, shuffle_settings
 
 @pytest.mark.parametrize(
     ("size", "tasks"),
-    [(0, "8"), (100 * 1024**3, "400"), (100 * 10**12, "100000")],
+    [(0, "8"), (100 * 1024**3, "400"), (100 * 10**12, "372530")],
 )
 def test_shuffle_tasks_grow_with_the_data(size, tasks):
     assert shuffle_settings(size)["spark.sql.shuffle.partitions"] == tasks
@@ -32,7 +32,10 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         def __init__(self, master):
             self.conf = Conf(master)
 
+    monkeypatch.setattr(workspace, "_named_dir", None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace.shared_dir(Session("yarn"))
-    monkeypatch.setattr(workspace, "_local_dir", None)
-    assert "millrace-" in workspace.shared_dir(Session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_dir(Session("local[2]"))
+    workspace.use_folder("/shared/here/")
+    assert workspace.shared_dir(Session("local[2]")) == "/shared/here"

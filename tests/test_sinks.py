@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import Row
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from millrace.operators import rechunk_csv
+from millrace.sources.files import EXACT_TEXT
+from millrace.workspace import remove
 from millrace.operators import Check, upsert_latest
 from millrace.operators.quality import WARNING, size
 from millrace.plans import load_insert_select, load_overwrite, load_warehouse, quality_report
@@ -113,12 +117,14 @@ def test_report_is_one_file_with_a_header(spark, df, tmp_path, rows):
     assert rows(scan_csv(spark, str(tmp_path / "r"))) == [("1", "a", "1.5"), ("2", "b", "2.5")]
 
 
-def test_large_report_is_not_gathered(spark, df, tmp_path, rows, monkeypatch):
-    monkeypatch.setattr(reports, "REPORT_ROWS", 1)
-    many = df.unionByName(df).repartition(3)
-    csv_report(many, str(tmp_path / "r"))
-    assert len(files(tmp_path / "r")) > 1
-    assert scan_csv(spark, str(tmp_path / "r")).count() == 4
+def test_text_keeps_its_blanks_quotes_and_backslashes(spark, tmp_path, rows):
+    odd = ["  padded  ", 'a "quoted" word', "back\\slash", "\\", '"', 'end\\"', "a,b;c", "\t"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(odd)], "id string, t string")
+    csv_new(df, str(tmp_path / "new"))
+    csv_report(df, str(tmp_path / "report"))
+    rechunk_csv(spark, str(tmp_path / "new"), str(tmp_path / "chunks"))
+    for name in ("new", "report", "chunks"):
+        assert rows(scan_csv(spark, str(tmp_path / name), options=EXACT_TEXT)) == rows(df)
 
 
 def test_snapshot_swap(spark, df, tmp_path, rows):
@@ -194,14 +200,69 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, df, tmp_path, row
     assert read.count() == 4
 
 
-def test_more_partitions_than_a_filter_names(spark, df, tmp_path, rows, monkeypatch):
-    monkeypatch.setattr(tables, "NAMED_PARTITIONS", 1)
+def test_many_touched_partitions_are_all_pruned(spark, tmp_path, plan_of):
+    names = [f"p{i}" for i in range(1500)]
+    stored = spark.createDataFrame([(n, "x", 1) for n in [*names, "untouched"]], "p string, k string, v int")
+    target = str(tmp_path / "t")
+    write(stored, target, partition_by=["p"], balance=True)
+    read = spark.read.schema(stored.schema).parquet(target)
+    values = [Row(p=n) for n in names]
+    plan = plan_of(read.where(tables._in_partitions(values, ["p"])))
+    assert "PartitionFilters: [" in plan and "p#" in plan.split("PartitionFilters: [")[1][:200]
+    both = tables._in_partitions([Row(p=n, k="x") for n in names], ["p", "k"])
+    assert read.where(both).count() == 1500
+
+
+def test_a_batch_with_other_columns_is_refused(spark, df, tmp_path, rows):
     target = str(tmp_path / "t")
     write(df, target, partition_by=["kind"])
-    batch = spark.createDataFrame([(1, "a", 9.0), (5, "c", 5.0)], df.schema)
-    upsert_partitions(batch, target, ["kind"], ["kind", "id"], ["v"], [])
+    with pytest.raises(ValueError, match="columns"):
+        upsert_partitions(df.drop("v"), target, ["kind"], ["kind", "id"], ["id"], [])
+    assert rows(spark.read.schema(df.schema).parquet(target).select(*df.columns)) == rows(df)
+
+
+def test_merge_that_is_cut_short_loses_nothing(spark, df, tmp_path, rows, monkeypatch):
+    target = str(tmp_path / "t")
+    write(df, target, partition_by=["kind"])
+    batch = spark.createDataFrame([(1, "a", 9.0)], df.schema)
+
+    def lost(*args, **more):
+        # The worst moment: the old partition is gone, the new one not there.
+        remove(spark, f"{target}/kind=a")
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "overwrite_partitions", lost)
+        with pytest.raises(RuntimeError):
+            upsert_partitions(batch, target, ["kind"], ["kind", "id"], ["v"], [])
+    tables.finish_pending(spark, target, df.schema, ["kind"])
     read = spark.read.schema(df.schema).parquet(target).select(*df.columns)
-    assert rows(read) == [(1, "a", 9.0), (2, "b", 2.5), (5, "c", 5.0)]
+    assert rows(read) == [(1, "a", 9.0), (2, "b", 2.5)]
+
+
+def test_partitioned_table_keeps_old_folders_until_new_ones_show(spark, df, tmp_path, rows, monkeypatch):
+    place = (str(tmp_path / "t"), ["kind"], ["kind", "id"], ["v"], [])
+    upsert_partitioned_table(df, "kept_parts", *place)
+    batch = spark.createDataFrame([(1, "a", 9.0), (5, "c'd", 5.0)], df.schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_point_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError()))
+        with pytest.raises(RuntimeError):
+            upsert_partitioned_table(batch, "kept_parts", *place)
+    assert rows(spark.table("kept_parts").select(*df.columns)) == rows(df)
+    upsert_partitioned_table(batch, "kept_parts", *place)
+    assert rows(spark.table("kept_parts").select(*df.columns)) == [
+        (1, "a", 9.0), (2, "b", 2.5), (5, "c'd", 5.0)]
+
+
+def test_bucketed_upsert_needs_the_table_s_key_order(spark, tmp_path):
+    make = lambda v: spark.createDataFrame(
+        [(i, i % 7, v) for i in range(400)], "a int, b int, v int")
+    place = ("bucket_order", str(tmp_path / "t"))
+    for v in (1, 2, 3):
+        upsert_table(make(v), *place, ["b", "a"], ["v"], [], broadcast_bytes=0, buckets=4)
+    assert spark.table("bucket_order").count() == 400
+    with pytest.raises(ValueError, match="buckets"):
+        upsert_table(make(4), *place, ["a", "b"], ["v"], [], broadcast_bytes=0, buckets=4)
 
 
 def test_partition_columns_must_be_key_columns(df, tmp_path):
