@@ -61,5 +61,12 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
 
 
 def is_one_json(text: Column) -> Column:
-    """Whether the text is one JSON value from its first to its last character."""
-    return F.try_parse_json(text).isNotNull()
+    """Whether the text is one JSON value from its first to its last character.
+
+    The parser stops after a value and does not look at what follows, so the
+    text is parsed as the only item of a list and as the only field of an
+    object: nothing that follows a value can close both.
+    """
+    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
+    return in_list.isNotNull() & in_object.isNotNull()

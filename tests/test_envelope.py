@@ -104,3 +104,23 @@ def test_inferred_schema_is_the_union_of_fields(spark, rows):
     assert infer_record_schema(records).simpleString() == "struct<a:double,b:string,c:string>"
     parsed = records_to_rows(records)
     assert rows(parsed.where(F.col("a").isNotNull())) == [(1.0, None, None), (2.5, "x", None)]
+
+
+def test_only_one_json_value_is_one(spark):
+    from millrace.functions.codec import is_one_json
+
+    good = ['{"id":1}', ' {"id": 1} ', '{"a":{"b":[1,2]}}', "{}"]
+    bad = [
+        '{"id":1}{"id":2}',
+        '{"id":1} xyz',
+        '{"id":1},{"id":2}',
+        '{"id":1}] [{"id":2}',
+        '{"id":1}} {"x":{"id":2}',
+        '{"id":1},"y":2',
+        '{"id":1',
+        "",
+        None,
+    ]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    found = df.select("t", is_one_json(df["t"]).alias("one")).collect()
+    assert [bool(r.one) for r in found] == [True] * len(good) + [False] * len(bad)
