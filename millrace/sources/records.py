@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.codec import CORRUPT_FIELD, parse_json
+from millrace.workspace import sql_settings
 
 
 # A name in backquotes, a word, or a single other character of a type's text.
@@ -26,9 +27,10 @@ def infer_record_schema(records: DataFrame, column: str = "data") -> T.StructTyp
     left for the decoder to report. Names that differ only in case raise an
     error, since columns could not be told apart.
     """
-    merged = records.agg(
-        F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("schema")
-    ).first()["schema"]
+    found = F.schema_of_variant_agg(F.try_parse_json(F.col(column))).alias("schema")
+    # Otherwise names of different records that differ in case would be one.
+    with sql_settings(records.sparkSession, {"spark.sql.caseSensitive": "true"}):
+        merged = records.select(F.col(column)).agg(found).first()["schema"]
     schema = T.DataType.fromDDL(_column_types(merged))
     if not isinstance(schema, T.StructType):
         raise ValueError(f"records are not JSON objects of one shape: {merged}")

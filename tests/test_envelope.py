@@ -124,3 +124,16 @@ def test_only_one_json_value_is_one(spark):
     df = spark.createDataFrame([(t,) for t in good + bad], "t string")
     found = df.select("t", is_one_json(df["t"]).alias("one")).collect()
     assert [bool(r.one) for r in found] == [True] * len(good) + [False] * len(bad)
+
+
+def test_inferred_names_and_numbers(spark):
+    from millrace.sources.records import infer_record_schema
+
+    lines = ['{"VOID":1,"a b":null,"x":[{"OBJECT":1.5}]}', '{"VOID":9007199254740993,"big":123456789012345678901}']
+    df = spark.createDataFrame([(t,) for t in lines], "data string")
+    found = infer_record_schema(df)
+    assert {f.name: f.dataType.simpleString() for f in found.fields} == {
+        "VOID": "bigint", "a b": "string", "big": "decimal(38,0)", "x": "array<struct<OBJECT:double>>"}
+    twice = spark.createDataFrame([('{"Id":1}',), ('{"id":2}',)], "data string")
+    with pytest.raises(ValueError, match="case"):
+        infer_record_schema(twice)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
-from millrace.plans import JobParams, join_uri, load_event, sql_job
+from millrace.plans import JobParams, custom_sql_job, join_uri, load_event, sql_job, table_job
 
 
 def test_flat_event_body_and_environment():
@@ -46,8 +46,8 @@ def records_event(*records):
 
 def test_event_load_upserts_and_replaces_the_load_time(spark, tmp_path):
     first = records_event(
-        {"id": "1", "name": "großzügig", "last_upd_timestamp": "2023-04-03T23:57:11.802Z"},
-        {"id": "2", "name": "b", "price": "125"},
+        {"id": "1", "name": "hell und ruhig", "last_upd_timestamp": "2019-11-30T08:15:00.125Z"},
+        {"id": "2", "name": "b", "price": "88.40"},
     )
     options = dict(root=str(tmp_path), keys=["id"], ties=["name"])
     load_event(spark, first, None, "event_loads", **options)
@@ -59,7 +59,7 @@ def test_event_load_upserts_and_replaces_the_load_time(spark, tmp_path):
     second = json.dumps(records_event({"id": "2", "name": "c"}, {"id": "3"}))
     load_event(spark, second, schema, "event_loads", **options)
     found = {r["id"]: (r["name"], r["price"]) for r in spark.table("event_loads").collect()}
-    assert found == {"1": ("großzügig", None), "2": ("c", None), "3": (None, None)}
+    assert found == {"1": ("hell und ruhig", None), "2": ("c", None), "3": (None, None)}
     times = spark.table("event_loads").select("last_upd_timestamp").distinct()
     assert times.count() == 2 and times.where("last_upd_timestamp < '2025-01-01'").count() == 0
 
@@ -88,3 +88,24 @@ def test_sql_job_is_one_statement(spark):
     with pytest.raises(PySparkException):
         sql_job(spark, "SELECT nope FROM v", {"v": df})
     assert not spark.catalog.tableExists("v")
+
+
+def test_events_with_fewer_fields_than_the_table(spark, tmp_path):
+    options = dict(root=str(tmp_path), keys=["id"], ties=["name"])
+    first = records_event({"id": "1", "name": "a", "price": "7.5"})
+    load_event(spark, first, None, "fewer_fields", **options)
+    load_event(spark, records_event({"id": "2", "name": "b"}), None, "fewer_fields", **options)
+    found = {r["id"]: (r["name"], r["price"]) for r in spark.table("fewer_fields").collect()}
+    assert found == {"1": ("a", "7.5"), "2": ("b", None)}
+    with pytest.raises(ValueError, match="colour"):
+        load_event(spark, records_event({"id": "3", "colour": "red"}), None, "fewer_fields", **options)
+    assert spark.table("fewer_fields").count() == 2
+
+
+def test_jobs_from_parameters(spark, rows):
+    spark.range(3).write.saveAsTable("numbers_by_name")
+    assert rows(table_job(spark, JobParams.resolve({"TABLE_NAME": "numbers_by_name"}))) == [(0,), (1,), (2,)]
+    params = JobParams.resolve(environ={"CUSTOM_SQL": "SELECT id FROM n WHERE id > :low"})
+    assert rows(custom_sql_job(spark, params, {"n": spark.range(3)}, {"low": 1})) == [(2,)]
+    with pytest.raises(ValueError, match="custom_sql"):
+        custom_sql_job(spark, JobParams())

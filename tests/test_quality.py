@@ -192,3 +192,18 @@ def test_one_scan_for_plain_metrics_and_one_for_each_grouping(spark, sf_dir, pla
     assert plan.count("FileScan") == 2
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
     assert plan.count("partial_count") >= 2
+
+
+def test_negative_numbers_of_any_size_and_text(spark, rows):
+    values = ["-12345678901", "-1e10", "-3e300", "-0.00000000001", "12345678901234567890", "x", None, "NaN", "0"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    broken = violating_rows(df, {"v": non_negative("v")})
+    assert sorted(r["v"] for r in broken.collect()) == sorted(values[:4])
+    wide = spark.sql("SELECT CAST('-99999999999999999999999999999' AS DECIMAL(38,0)) AS v")
+    assert violating_rows(wide, {"v": non_negative("v")}).count() == 1
+
+
+def test_text_that_is_no_finite_number_is_not_in_the_mean(spark):
+    df = spark.createDataFrame([("1",), ("3",), ("NaN",), ("inf",), ("x",)], "v string")
+    found = {r["name"]: r["value"] for r in run_metrics(df, [mean("v"), not_numeric("v")]).collect()}
+    assert found == {"Mean": 2.0, "NotNumeric": 3.0}

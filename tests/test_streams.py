@@ -156,3 +156,15 @@ def test_stream_and_batch_agree(spark, sf_dir, tmp_path, rows):
     expected = dedup_latest(events, ["event_type"], ["ts"], ["event_id"])
     assert rows(spark.table("stream_d").select(*events.columns)) == rows(expected)
     assert spark.table("stream_d").where(F.col("ts").isNull()).count() == 0
+
+
+def test_runs_are_numbered_by_what_is_stored(spark, arrive, tmp_path, rows, monkeypatch):
+    """No clock decides the order, so one that is set back loses nothing."""
+    ingest(spark, arrive((1, 1, "a")), tmp_path, "numbered_runs")
+    monkeypatch.setattr("time.time_ns", lambda: 0)
+    monkeypatch.setattr("time.time", lambda: 0.0)
+    for v in (2, 3):
+        assert ingest(spark, arrive((1, v, "b"), (v, 1, "c")), tmp_path, "numbered_runs") is not None
+    assert rows(spark.table("numbered_runs")) == [(1, 3, "b"), (2, 1, "c"), (3, 1, "c")]
+    runs = sorted(p.name for p in (tmp_path / "root" / "landed").iterdir() if p.name.startswith("_run="))
+    assert [int(r.removeprefix("_run=")) for r in runs] == [1, 2, 3]
