@@ -18,9 +18,8 @@ from millrace.operators.quality import (
     size,
     uniqueness,
 )
-from millrace.registry.base import query, table, write_csv
+from millrace.registry.base import csv_input, query, table
 from millrace.sources import scan_csv
-from millrace.workspace import fresh_path
 
 
 def _metric_sql(entity: str, instance: str, name: str, value: str, source: str) -> str:
@@ -138,7 +137,7 @@ def dq_mean(spark, sf_dir):
     + _metric_sql("Column", "c_mktsegment", "NotNumeric", _COUNT, "customer"),
 )
 def dq_mean_of_text(spark, sf_dir):
-    path = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
+    path = csv_input(spark, sf_dir, "customer", ";")
     metrics = run_metrics(
         scan_csv(spark, path, ";"),
         [mean("c_acctbal"), mean("c_mktsegment"), not_numeric("c_acctbal"), not_numeric("c_mktsegment")],

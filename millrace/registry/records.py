@@ -9,9 +9,8 @@ from millrace.functions import decode_base64, encode_base64, to_json_text
 from millrace.operators import decode_envelope, decode_tagged, encode_envelope, quarantine
 from millrace.operators.envelope import one_record
 from millrace.operators.stamp import stamp_load_time
-from millrace.registry.base import query, table
+from millrace.registry.base import input_file, query, table
 from millrace.sources import records_to_rows
-from millrace.workspace import fresh_path
 
 EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
@@ -21,11 +20,10 @@ PAYLOAD_SQL = r"""'{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m
     || ',"props":"' || replace(props, '"', '\"') || '"}'"""
 
 
-def envelope_files(df):
-    """Path of text files that hold ``df`` as envelopes."""
-    path = fresh_path(df.sparkSession, "envelopes")
-    encode_envelope(df).write.text(path)
-    return path
+def envelope_files(spark, sf_dir):
+    """Path of text files that hold all events as envelopes."""
+    lines = encode_envelope(table(spark, sf_dir, "events"))
+    return input_file(spark, sf_dir, "envelopes", lines.write.text)
 
 
 def with_cut_errors(spark, sf_dir):
@@ -80,7 +78,7 @@ def records_inferred(spark, sf_dir):
 @query("decode_envelope", EVENTS)
 def decode_envelope_query(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    return decode_envelope(spark.read.text(envelope_files(events)), events.schema)
+    return decode_envelope(spark.read.text(envelope_files(spark, sf_dir)), events.schema)
 
 
 @query(

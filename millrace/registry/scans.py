@@ -10,7 +10,7 @@ from millrace.functions import cast_to_schema, catalog_to_struct, rewrite_uri_sc
 from millrace.operators import preview_rows
 from millrace.functions.names import location_clause
 from millrace.plans import JobParams, table_job
-from millrace.registry.base import query, table, write_csv
+from millrace.registry.base import csv_input, input_file, query, table
 from millrace.sources import (
     catalog_scan,
     scan_csv,
@@ -51,7 +51,7 @@ LINEITEM_METADATA = {
        FROM customer""",
 )
 def scan_csv_semicolon(spark, sf_dir):
-    path = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
+    path = csv_input(spark, sf_dir, "customer", ";")
     return scan_csv(spark, path, sep=";")
 
 
@@ -63,7 +63,7 @@ def scan_csv_semicolon(spark, sf_dir):
        FROM orders""",
 )
 def scan_csv_comma(spark, sf_dir):
-    path = write_csv(table(spark, sf_dir, "orders"), fresh_path(spark, "orders-csv"))
+    path = csv_input(spark, sf_dir, "orders")
     return scan_csv(spark, path)
 
 
@@ -74,7 +74,7 @@ def scan_csv_comma(spark, sf_dir):
        FROM part""",
 )
 def scan_csv_inferred_query(spark, sf_dir):
-    path = write_csv(table(spark, sf_dir, "part"), fresh_path(spark, "part-csv"))
+    path = csv_input(spark, sf_dir, "part")
     with scan_splits(spark):
         return stage(scan_csv_inferred(spark, path), "part").df
 
@@ -90,8 +90,8 @@ def scan_parquet_schema(spark, sf_dir):
 
 @query("scan_table", CUSTOMER)
 def scan_table_query(spark, sf_dir):
-    path = fresh_path(spark, "customer-orc")
-    table(spark, sf_dir, "customer").write.orc(path)
+    customer = table(spark, sf_dir, "customer")
+    path = input_file(spark, sf_dir, "customer-orc", customer.write.orc)
     return scan_table(spark, path, "orc")
 
 
@@ -102,7 +102,7 @@ def scan_table_query(spark, sf_dir):
        FROM lineitem""",
 )
 def cast_to_schema_query(spark, sf_dir):
-    path = write_csv(table(spark, sf_dir, "lineitem"), fresh_path(spark, "lineitem-csv"))
+    path = csv_input(spark, sf_dir, "lineitem")
     return cast_to_schema(scan_csv(spark, path), catalog_to_struct(LINEITEM_METADATA))
 
 

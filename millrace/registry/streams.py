@@ -17,7 +17,7 @@ from millrace.workspace import fresh_path
 @query("stream_decode", EVENTS)
 def stream_decode_query(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    stream = read_envelopes(spark, envelope_files(events))
+    stream = read_envelopes(spark, envelope_files(spark, sf_dir))
     path = fresh_path(spark, "decoded")
     done = write_stream(
         stream_decode(stream, events.schema), path, fresh_path(spark, "stream-progress")

@@ -18,7 +18,7 @@ from millrace.plans import (
     load_upsert,
     quality_report,
 )
-from millrace.registry.base import query, table, write_csv
+from millrace.registry.base import csv_input, input_file, query, table, write_csv
 from millrace.sinks import (
     create_table_like,
     csv_new,
@@ -156,7 +156,7 @@ def rechunk(spark, sf_dir):
     """
     priority = F.concat(F.lit('  "'), "o_orderpriority", F.lit('\\", a; \'b\\ '))
     orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", priority)
-    whole = write_csv(orders, fresh_path(spark, "orders-csv"))
+    whole = input_file(spark, sf_dir, "odd-orders-csv", lambda p: write_csv(orders, p))
     chunks = fresh_path(spark, "orders-chunks")
     rechunk_csv(spark, whole, chunks, chunk_bytes=256 * 1024)
     return cast_to_schema(scan_csv(spark, chunks, options=EXACT_TEXT), orders.schema)
@@ -169,7 +169,7 @@ def rechunk(spark, sf_dir):
             AS loads(last_upd_timestamp)""",
 )
 def load_csv_append(spark, sf_dir):
-    source = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
+    source = csv_input(spark, sf_dir, "customer", ";")
     target = fresh_path(spark, "customer")
     load_append(spark, source, target, at=loaded_at())
     load_append(spark, source, target, at=loaded_at("2024-02-02 00:00:00"))
@@ -178,7 +178,7 @@ def load_csv_append(spark, sf_dir):
 
 @query("load_csv_overwrite", f"SELECT {CUSTOMER_TEXT}, {LOADED_SQL} AS last_upd_timestamp FROM customer")
 def load_csv_overwrite(spark, sf_dir):
-    source = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"))
+    source = csv_input(spark, sf_dir, "customer")
     target = fresh_path(spark, "customer")
     load_overwrite(spark, source, target, at=loaded_at("2024-01-01 00:00:00"))
     load_overwrite(spark, source, target, at=loaded_at())
@@ -197,7 +197,7 @@ def load_csv_overwrite(spark, sf_dir):
             ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC) = 1""",
 )
 def load_csv_overwrite_keyed(spark, sf_dir):
-    source = write_csv(table(spark, sf_dir, "orders"), fresh_path(spark, "orders-csv"))
+    source = csv_input(spark, sf_dir, "orders")
     target = fresh_path(spark, "orders")
     load_overwrite_keyed(
         spark, source, target, ["o_custkey"], ["o_orderdate", "o_orderkey"], at=loaded_at()
@@ -220,8 +220,10 @@ def load_csv_upsert(spark, sf_dir):
     root = fresh_path(spark, "customer")
     customer = table(spark, sf_dir, "customer")
     overdrawn = customer.where(F.col("c_acctbal") < 0).withColumn("c_name", F.upper("c_name"))
-    first = write_csv(customer, fresh_path(spark, "customer-csv"), ";")
-    second = write_csv(overdrawn, fresh_path(spark, "overdrawn-csv"), ";")
+    first = csv_input(spark, sf_dir, "customer", ";")
+    second = input_file(
+        spark, sf_dir, "overdrawn-csv", lambda p: write_csv(overdrawn, p, ";")
+    )
     load_upsert(spark, first, name, root, ["c_custkey"], ["c_name"], at=loaded_at())
     load_upsert(
         spark, second, name, root, ["c_custkey"], ["c_name"], at=loaded_at("2024-02-02 00:00:00")
@@ -232,7 +234,7 @@ def load_csv_upsert(spark, sf_dir):
 @query("load_csv_insert_select", f"SELECT {CUSTOMER_TEXT} FROM customer")
 def load_csv_insert_select(spark, sf_dir):
     name = f"customer_{uuid.uuid4().hex}"
-    source = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
+    source = csv_input(spark, sf_dir, "customer", ";")
     load_insert_select(spark, source, name, location=fresh_path(spark, "customer"))
     return spark.table(name)
 
@@ -258,7 +260,7 @@ def load_csv_insert_select(spark, sf_dir):
 )
 def quality_report_query(spark, sf_dir):
     """Checks on the all-string scan of a delimited file, reported as CSV."""
-    source = write_csv(table(spark, sf_dir, "customer"), fresh_path(spark, "customer-csv"), ";")
+    source = csv_input(spark, sf_dir, "customer", ";")
     check = Check(WARNING, "customer file").is_unique("c_custkey").is_non_negative("c_acctbal")
     output = fresh_path(spark, "quality")
     text = scan_csv(spark, source, ";")
