@@ -25,7 +25,6 @@ import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.llm.text import quoted_col
 
