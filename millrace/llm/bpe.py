@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.text import map_batches
@@ -53,32 +52,28 @@ def encode(
     return tokenised_once(docs, text, doc_id, tokenise, answer, "n_tokens bigint, ids binary")
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+def decode(encoded: DataFrame, ranks: dict[bytes, int], arrays: bool = False) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes its ids stand for; NULL ids give NULL.
 
     The ids are looked up in the table of token bytes, which is as large as
     the rank file and is sent to the tasks. An id that it lacks fails the job.
+    With ``arrays`` the ids are added as ``token_ids``, an array column, too.
     """
     table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         table[rank] = token
-    schema = encoded.drop("decoded").schema.add("decoded", "binary")
-    at = encoded.columns.index("ids")
+    kept = encoded.drop("decoded", "token_ids")
+    schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())])
+    if arrays:
+        schema = schema.add("token_ids", T.ArrayType(T.IntegerType()))
+    at = kept.columns.index("ids")
 
     def decoded(batch):
-        texts = [
-            None
-            if ids is None
-            else b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
-            for ids in batch.column(at).to_pylist()
-        ]
-        yield batch.append_column("decoded", pa.array(texts, pa.binary()))
-
-    return map_batches(encoded.drop("decoded"), decoded, schema)
-
-
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def unpacked(ids: pa.Array) -> pa.Array:
-    """Packed ids as an array column."""
-    lists = [None if x is None else np.frombuffer(x, "<u4") for x in ids.to_pylist()]
-    return pa.array(lists, pa.list_(pa.int32()))
+        ids = [None if x is None else np.frombuffer(x, "<u4") for x in batch.column(at).to_pylist()]
+        texts = [None if x is None else b"".join([table[i] for i in x.tolist()]) for x in ids]
+        batch = batch.append_column("decoded", pa.array(texts, pa.binary()))
+        if arrays:
+            batch = batch.append_column("token_ids", pa.array(ids, pa.list_(pa.int32())))
+        yield batch
+
+    return map_batches(kept, decoded, schema)

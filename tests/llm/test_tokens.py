@@ -50,8 +50,8 @@ def test_encoding_equals_the_library_and_decodes_to_the_text(spark):
 
 def test_ids_as_an_array(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
-    got = bpe.encode(df, RANKS, P.PATTERN).select("id", bpe.unpacked("ids").alias("ids")).collect()
-    assert {r.id: r.ids for r in got} == {1: ENCODING.encode_ordinary("a b"), 2: []}
+    got = bpe.decode(bpe.encode(df, RANKS, P.PATTERN), RANKS, arrays=True).collect()
+    assert {r.id: r.token_ids for r in got} == {1: ENCODING.encode_ordinary("a b"), 2: []}
 
 
 def test_unknown_id_fails(spark):
