@@ -250,12 +250,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     empty table gives an empty result.
 
     Buckets of the index are never expanded into all pairs. A row is compared
-    with the first of its bucket, and links so found join components. Where a
-    bucket then still holds several, a row is compared with the next
+    with the central one of its bucket, and links so found join components.
+    Where a bucket then still holds several, a row is compared with the next
     ``NEIGHBOURS`` rows of other components, in an order that differs between
     buckets. Two similar rows share dozens of buckets; a link is missed only
-    if in every one of them both a third row stands first that is similar to
-    neither, and more than ``NEIGHBOURS`` rows stand between the two.
+    if in every one of them a third row is central that is similar to neither,
+    and more than ``NEIGHBOURS`` rows stand between the two.
     """
     signed = stage(sign(docs, text, doc_id), "signatures").df
     nodes = stage(
@@ -266,23 +266,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         "nodes",
     ).df
     by_key = Window.partitionBy("key").orderBy("member")
-    shared = stage(
+    buckets = stage(
         index_keys(nodes)
         .select("key", F.struct("node", *[f"bits{n}" for n in range(SKETCH_BITS)]).alias("member"))
-        .withColumn("first", F.first("member").over(by_key))
-        .withColumn("next", F.lead("member").over(by_key))
-        .where("first.node <> member.node OR next IS NOT NULL")
-        .select("key", "member", "first"),
+        .withColumn("before", F.lag("member").over(by_key))
+        .withColumn("after", F.lead("member").over(by_key))
+        .where("before IS NOT NULL OR after IS NOT NULL")
+        .select("key", "member"),
         "buckets",
     ).df
-    starred = shared.where(
-        (F.col("first.node") != F.col("member.node")) & may_be_near(F.col("first"), F.col("member"))
-    ).select(F.col("first.node").alias("a"), F.col("member.node").alias("b"))
+    starred = _stars(buckets)
     pairs = stage(within_distance(starred.distinct(), nodes), "pairs").df
     links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text, doc_id)), "links").df
     labels = smallest_reachable(links)
 
-    rest = _other_components(shared, labels)
+    rest = _other_components(buckets, labels)
     pairs = stage(
         within_distance(rest, nodes).join(pairs, ["a", "b"], "left_anti"), "pairs"
     )
@@ -306,6 +304,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     )
 
 
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Pairs of each bucket's central member with the others.
+
+    The central member is the one that meets most others in all its buckets,
+    so of the edited copies of a text it is the text itself, which is more
+    similar to each copy than they are to one another.
+    """
+    node = F.col("member.node")
+    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    met = (
+        buckets.select(node.alias("node"), size.alias("size"))
+        .groupBy("node")
+        .agg(F.sum("size").alias("met"))
+    )
+    central = Window.partitionBy("key").orderBy(F.desc("met"), "member")
+    placed = buckets.withColumn("node", node).join(met, "node")
+    starred = placed.select("member", F.first("member").over(central).alias("first"))
+    return starred.where(
+        (F.col("first.node") != F.col("member.node")) & may_be_near(F.col("first"), F.col("member"))
+    ).select(
+        F.least("first.node", "member.node").alias("a"),
+        F.greatest("first.node", "member.node").alias("b"),
+    )
+
+
 def _other_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
     """Distinct pairs of near neighbours in buckets that hold several components."""
     placed = (
