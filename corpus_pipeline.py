@@ -16,11 +16,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from millrace.llm import bpe, exact_dedup, mixing, near_dedup, quality_rules  # noqa: E402
 from millrace.llm.queries import ENCODING_RANKS  # noqa: E402
+from millrace.llm.text import small_batches  # noqa: E402
 from millrace.workspace import fresh_path  # noqa: E402
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
+    small_batches(spark)
     return quality_rules.passing(docs)
 
 
@@ -31,6 +33,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return near_dedup.keep_one(docs)
 
 
@@ -41,6 +44,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row of the stream, with the bytes they decode to."""
+    small_batches(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(ENCODING_RANKS))
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return bpe.decode(encoded, ranks, arrays=True).selectExpr(

@@ -20,6 +20,7 @@ from millrace.llm import (
     token_counts,
     toxicity,
 )
+from millrace.llm.text import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

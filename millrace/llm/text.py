@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -81,6 +81,16 @@ def whole_row(docs: DataFrame, name: str = "doc") -> Column:
     return F.struct(*[quoted_col(c) for c in docs.columns]).alias(name)
 
 
+# Rows of an Arrow batch. Texts are long, and a batch is held several times over,
+# in the executor and in each Python worker of a task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session's jobs exchange few rows at a time with Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
