@@ -43,8 +43,10 @@ CHUNK_ERRORS = 2
 # A pair at the least similarity, 0.75, differs in 12 places on average and in
 # more than 20 with a probability of 0.3 %; one at 0.8 with less than 0.01 %.
 MOST_DIFFERENCES = CHUNKS * (CHUNK_ERRORS + 1) - 1
-# Rows of a bucket that a row is compared with after the bucket's first row.
+# Next rows of a mixed bucket that a row is compared with before all others are.
 NEIGHBOURS = 8
+# Rows of a bucket that one task holds to compare other rows with.
+BLOCK_ROWS = 1024
 
 # Bits of each symbol that travel with the index rows.
 SKETCH_BITS = 2
@@ -249,13 +251,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     has an id. Repeated rows and repeated ids are rows like any other. An
     empty table gives an empty result.
 
-    Buckets of the index are never expanded into all pairs. A row is compared
-    with the central one of its bucket, and links so found join components.
-    Where a bucket then still holds several, a row is compared with the next
-    ``NEIGHBOURS`` rows of other components, in an order that differs between
-    buckets. Two similar rows share dozens of buckets; a link is missed only
-    if in every one of them a third row is central that is similar to neither,
-    and more than ``NEIGHBOURS`` rows stand between the two.
+    No bucket is expanded into all pairs at once. A row is compared with the
+    central one of its bucket, and links so found join components. Where a
+    bucket then still holds several, a row is compared with those of the next
+    ``NEIGHBOURS`` rows that are of other components, in an order that differs
+    between buckets. In buckets that are mixed even then, every pair of rows
+    of different components is compared. So two rows with a bucket in common
+    are in one component in the end, or were compared.
     """
     signed = stage(sign(docs, text, doc_id), "signatures").df
     nodes = stage(
@@ -280,13 +282,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text, doc_id)), "links").df
     labels = smallest_reachable(links)
 
-    rest = _other_components(buckets, labels)
-    pairs = stage(
-        within_distance(rest, nodes).join(pairs, ["a", "b"], "left_anti"), "pairs"
-    )
-    if pairs.rows:
-        more = stage(confirmed(pairs.df, _bodies(docs, nodes, pairs.df, text, doc_id)), "links").df
-        labels = smallest_reachable(links.unionByName(more))
+    for others in (_near_others, _all_others):
+        rest = others(_mixed(buckets, labels)).join(pairs, ["a", "b"], "left_anti")
+        more = stage(within_distance(rest, nodes), "pairs")
+        if more.rows:
+            new = stage(confirmed(more.df, _bodies(docs, nodes, more.df, text, doc_id)), "links")
+            if new.rows:
+                links = links.unionByName(new.df)
+                labels = smallest_reachable(links)
+            pairs = pairs.unionByName(more.df)
 
     placed = (
         nodes.select("set_id", "node", "least")
@@ -329,17 +333,27 @@ def _stars(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _other_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct pairs of near neighbours in buckets that hold several components."""
-    placed = (
+def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, member and label of the rows of buckets that hold several components."""
+    whole = Window.partitionBy("key")
+    return (
         shared.select("key", "member", F.col("member.node").alias("node"))
         .join(labels, "node", "left")
         .select("key", "member", F.coalesce("label", "node").alias("label"))
+        .withColumn("low", F.min("label").over(whole))
+        .withColumn("high", F.max("label").over(whole))
+        .where("low <> high")
+        .select("key", "member", "label")
     )
-    whole = Window.partitionBy("key")
-    mixed_up = placed.withColumn("low", F.min("label").over(whole)).withColumn(
-        "high", F.max("label").over(whole)
-    )
+
+
+def _distinct_pairs(found: DataFrame) -> DataFrame:
+    node, near = F.col("member.node"), F.col("other.node")
+    return found.select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b")).distinct()
+
+
+def _near_others(mixed_up: DataFrame) -> DataFrame:
+    """Distinct pairs of rows of different components that are near in their bucket."""
     order = Window.partitionBy("key").orderBy(F.xxhash64("key", "member.node"), "member")
     other = F.struct("member", "label")
     following = F.array(*[F.lead(other, n).over(order) for n in range(1, NEIGHBOURS + 1)])
@@ -347,13 +361,46 @@ def _other_components(shared: DataFrame, labels: DataFrame) -> DataFrame:
         "following",
         lambda x: (x["label"] != F.col("label")) & may_be_near(F.col("member"), x["member"]),
     )
-    node, near = F.col("member.node"), F.col("other.member.node")
-    return (
-        mixed_up.where("low <> high")
-        .withColumn("following", following)
+    return _distinct_pairs(
+        mixed_up.withColumn("following", following)
         .select("member", F.explode(worth).alias("other"))
-        .select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b"))
-        .distinct()
+        .select("member", F.col("other.member").alias("other"))
+    )
+
+
+def _all_others(mixed_up: DataFrame) -> DataFrame:
+    """Distinct pairs of rows of different components that share a bucket.
+
+    A bucket's components stand one behind another, the largest last, and a
+    row meets all rows behind its own component. Buckets are cut into blocks
+    of ``BLOCK_ROWS``, each of which may be met in another task, so a large
+    component costs its rows once for every row outside it and a large bucket
+    is no single task's work.
+    """
+    whole = Window.partitionBy("key")
+    own = Window.partitionBy("key", "label")
+    by_label = whole.orderBy("own", "label")
+    placed = (
+        mixed_up.withColumn("size", F.count(F.lit(1)).over(whole))
+        .withColumn("own", F.count(F.lit(1)).over(own))
+        .withColumn("place", F.row_number().over(by_label.orderBy("own", "label", "member")) - 1)
+        # The default frame ends with the last row of the same component.
+        .withColumn("behind", F.count(F.lit(1)).over(by_label))
+    )
+    block = lambda place: F.floor(place / BLOCK_ROWS).cast("int")
+    first = placed.where("behind < size").select(
+        "key",
+        "member",
+        "behind",
+        F.explode(F.sequence(block(F.col("behind")), block(F.col("size") - 1))).alias("block"),
+    )
+    second = placed.select(
+        "key", F.col("member").alias("other"), "place", block(F.col("place")).alias("block")
+    )
+    return _distinct_pairs(
+        first.join(second, ["key", "block"]).where(
+            (F.col("place") >= F.col("behind")) & may_be_near(F.col("member"), F.col("other"))
+        )
     )
 
 

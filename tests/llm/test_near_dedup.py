@@ -95,6 +95,33 @@ def test_hot_group_makes_no_pairs_of_all(spark):
     assert {r.component_id for r in found(df).collect()} == {0}
 
 
+def test_all_pairs_of_other_components_in_a_bucket_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 7)
+    members = "struct<node:bigint,bits0:bigint,bits1:bigint>"
+    buckets = [(5, (n, 0, 0)) for n in range(60)] + [(6, (n, 0, 0)) for n in (1, 2, 3, 59)]
+    shared = spark.createDataFrame(buckets, f"key bigint, member {members}")
+    # 40 to 49 are one component, 2 and 3 another.
+    label = {n: n for n in range(60)} | {n: 40 for n in range(40, 50)} | {3: 2}
+    labels = spark.createDataFrame(
+        [(n, l) for n, l in label.items() if n in (2, 3) or 40 <= n < 50], "node bigint, label bigint"
+    )
+    got = [tuple(r) for r in N._all_others(N._mixed(shared, labels)).collect()]
+    want = {(a, b) for b in range(60) for a in range(b) if label[a] != label[b]}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_large_group_of_differently_edited_copies(spark):
+    words = prose(31, 100).split()
+    rows = []
+    for k in range(500):
+        picker, copy = random.Random(k), list(words)
+        for place in picker.sample(range(100), 3):
+            copy[place] = f"edit{k}x{place}"
+        rows.append((k, " ".join(copy), *[None] * 6))
+    got = found(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(components(rows))
+
+
 def test_empty_table(spark):
     assert found(nothing(spark)).count() == 0
     assert N.keep_one(nothing(spark)).count() == 0
