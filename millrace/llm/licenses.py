@@ -140,7 +140,8 @@ def aligned(template: list[bytes], text: list[bytes], band: int = BAND) -> tuple
     ``text`` begins ``band`` words before the diagonal, and only cells within
     ``band`` of it are filled. Words match or are passed over; the template may
     start and end anywhere. The most matched words win, then the shortest
-    stretch. Start and end are places in ``text``, end past the last match.
+    stretch, then the one that starts nearest to the diagonal, so that notices
+    one behind another are found from their own. Start and end are places in ``text``, end past the last match.
     """
     width = 2 * band + 1
     # Of each cell: matched words, minus the length of the stretch, its start and end.
@@ -159,7 +160,7 @@ def aligned(template: list[bytes], text: list[bytes], band: int = BAND) -> tuple
                 best = max(best, (matched + 1, start - at - 1, start, at + 1))
             here[offset] = best
         above = here
-    matched, _, start, end = max(above)
+    matched, _, start, end = max(above, key=lambda c: (c[0], c[1], -abs(c[2] - band), c))
     return matched, start, end
 
 
@@ -174,7 +175,7 @@ def matches(index: Index, text: bytes | None, percent: int = COVERAGE_PERCENT):
         # Neighbouring diagonals share a band; one stands for those it reaches.
         last = None
         for diagonal in sorted(set(diagonals)):
-            if last is not None and diagonal - last <= BAND // 2:
+            if last is not None and diagonal - last <= min(BAND // 2, len(template) - 1):
                 continue
             last = diagonal
             first = max(diagonal - BAND, 0)

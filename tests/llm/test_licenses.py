@@ -82,3 +82,12 @@ def test_awkward_rows(spark):
     assert len(awkward_rows()) == awkward(spark).count()
     assert scanned(nothing(spark)) == []
     assert scanned(df, templates={}) == []
+
+
+def test_short_notices_back_to_back_are_all_found():
+    for line in ("Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "One two three four"):
+        index = L.Index.of({"line": line})
+        size = len(line.split())
+        for copies in (2, 3, 5):
+            got = [m[2:4] for m in L.matches(index, " ".join([line] * copies).encode())]
+            assert got == [(n * size, n * size + size) for n in range(copies)]
