@@ -19,6 +19,7 @@ from millrace.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    vector_codes,
 )
 from millrace.llm.text import small_batches
 
@@ -295,3 +296,61 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
     )
+
+
+SQL_DISTANCE = " + ".join(f"(part[{i}] - centre[{i}]) * (part[{i}] - centre[{i}])" for i in range(1, 5))
+SQL_MEAN = ", ".join(f"CAST(floor(CAST(SUM(part[{i}]) AS DOUBLE) / COUNT(*)) AS BIGINT)" for i in range(1, 5))
+
+
+def _lloyd_round_sql(number: int) -> str:
+    """Assign parts to the codebook of the round before and move its entries."""
+    return f"""assigned{number} AS (
+  SELECT vec_id, position, ANY_VALUE(part) AS part, MIN([{SQL_DISTANCE}, entry]) AS best
+  FROM parts JOIN book{number} USING (position) GROUP BY vec_id, position
+), book{number + 1} AS (
+  SELECT b.position, b.entry, COALESCE(m.centre, b.centre) AS centre
+  FROM book{number} b LEFT JOIN (
+    SELECT position, best[2] AS entry, [{SQL_MEAN}] AS centre
+    FROM assigned{number} GROUP BY ALL
+  ) m ON m.position = b.position AND m.entry = b.entry
+)"""
+
+
+VECTOR_CODES_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS numbers
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS (
+  SELECT vec_id, position, numbers[4 * position + 1 : 4 * position + 4] AS part
+  FROM kept, range(16) AS p(position)
+), book0 AS (
+  SELECT position, entry, numbers[4 * position + 1 : 4 * position + 4] AS centre
+  FROM (SELECT numbers, ROW_NUMBER() OVER (ORDER BY vec_id) - 1 AS entry FROM kept
+    ORDER BY vec_id LIMIT 64), range(16) AS p(position)
+), {_lloyd_round_sql(0)}, {_lloyd_round_sql(1)}, {_lloyd_round_sql(2)}, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY position) AS code,
+    CAST(SUM(best[1]) AS BIGINT) AS error
+  FROM assigned2 GROUP BY vec_id
+), books AS (
+  SELECT sha256(string_agg(array_to_string(centre, ','), ',' ORDER BY position, entry)) AS digest FROM book2
+)
+SELECT c.vec_id, code, error,
+  CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded c JOIN kept k ON k.vec_id = c.vec_id, books
+"""
+
+
+@query(VECTOR_CODES_SQL)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept vector's product code, with errors and a digest of the codebooks."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    codes, books = vector_codes.compress(vectors)
+    return codes.select(
+        F.col("id").alias("vec_id"),
+        "code",
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
