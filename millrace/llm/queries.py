@@ -16,6 +16,7 @@ from millrace.llm import (
     near_dedup,
     quality_model,
     quality_rules,
+    spelling,
     substring_dedup,
     token_counts,
     toxicity,
@@ -354,3 +355,9 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label_error",
         F.lit(books.sha256()).alias("codebooks_sha256"),
     )
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with the form it is a variant of, after one typo in 199 runs."""
+    return spelling.spelling_variants(documents(spark, sf_dir), garble=spelling.one_typo_in(199))
