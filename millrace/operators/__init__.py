@@ -16,6 +16,7 @@ from millrace.operators.merge import (
     merge_update_insert,
     upsert_latest,
 )
+from millrace.operators.profile import profile
 from millrace.operators.quality import (
     Check,
     run_metrics,
@@ -25,6 +26,8 @@ from millrace.operators.quality import (
     violating_rows,
 )
 from millrace.operators.stamp import stamp_load_time
+from millrace.operators.states import merge_states, metric_states, metrics_of
+from millrace.operators.suggest import suggest_checks
 
 __all__ = [
     "Check",
@@ -37,13 +40,18 @@ __all__ = [
     "event_frame",
     "explode_records",
     "merge_into",
+    "merge_states",
     "merge_update_insert",
+    "metric_states",
+    "metrics_of",
     "preview_rows",
+    "profile",
     "quarantine",
     "rechunk_csv",
     "run_metrics",
     "run_verification",
     "stamp_load_time",
+    "suggest_checks",
     "upsert_latest",
     "verification_metrics",
     "verify",

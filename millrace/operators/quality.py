@@ -7,6 +7,7 @@ shuffle per set of columns, counted before it, and read those columns only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
@@ -48,6 +49,8 @@ class Analyzer:
     group_by: tuple[str, ...] = ()
     # Tells apart metrics that share a name, such as two rules or two precisions.
     detail: Any = None
+    # Aggregates whose results merge, by field of a metric state (see ``states``).
+    state: Callable[[], dict[str, Column]] | None = field(default=None, compare=False)
 
     @property
     def label(self) -> str:
@@ -61,7 +64,13 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 def size() -> Analyzer:
     """Number of rows."""
-    return Analyzer(DATASET, "*", "Size", lambda: F.count(F.lit(1)).cast("double"))
+    return Analyzer(
+        DATASET,
+        "*",
+        "Size",
+        lambda: F.count(F.lit(1)).cast("double"),
+        state=lambda: {"rows": F.count(F.lit(1))},
+    )
 
 
 def compliance(instance: str, predicate: Callable[[], Column]) -> Analyzer:
@@ -72,6 +81,7 @@ def compliance(instance: str, predicate: Callable[[], Column]) -> Analyzer:
         "Compliance",
         lambda: _ratio(F.count_if(predicate()), F.count(F.lit(1))),
         detail=predicate,
+        state=lambda: {"rows": F.count(F.lit(1)), "hits": F.count_if(predicate())},
     )
 
 
@@ -82,6 +92,7 @@ def completeness(column: str) -> Analyzer:
         column,
         "Completeness",
         lambda: _ratio(F.count(F.col(column)), F.count(F.lit(1))),
+        state=lambda: {"rows": F.count(F.lit(1)), "hits": F.count(F.col(column))},
     )
 
 
@@ -93,9 +104,15 @@ def approx_count_distinct(column: str, rsd: float = 0.05) -> Analyzer:
         "ApproxCountDistinct",
         lambda: F.approx_count_distinct(column, rsd).cast("double"),
         detail=rsd,
+        state=lambda: {"sketch": F.hll_sketch_agg(F.col(column).cast("string"), sketch_size(rsd))},
     )
 
 
+def sketch_size(rsd: float) -> int:
+    """Logarithm of the slots that a distinct sketch needs for a relative error."""
+    return min(max(math.ceil(2 * math.log2(1.04 / rsd)), 4), 21)
+
+
 def number(column: str) -> Column:
     """Value as a double, NULL for text that is not a finite number."""
     value = F.col(column).try_cast("double")
@@ -104,7 +121,35 @@ def number(column: str) -> Column:
 
 def mean(column: str) -> Analyzer:
     """Mean over the values that are numbers; text columns are cast."""
-    return Analyzer(COLUMN, column, "Mean", lambda: F.avg(number(column)))
+    return Analyzer(
+        COLUMN,
+        column,
+        "Mean",
+        lambda: F.avg(number(column)),
+        state=lambda: {"hits": F.count(number(column)), "total": F.sum(number(column))},
+    )
+
+
+def minimum(column: str) -> Analyzer:
+    """Smallest of the values that are numbers."""
+    return Analyzer(
+        COLUMN,
+        column,
+        "Minimum",
+        lambda: F.min(number(column)),
+        state=lambda: {"least": F.min(number(column))},
+    )
+
+
+def maximum(column: str) -> Analyzer:
+    """Largest of the values that are numbers."""
+    return Analyzer(
+        COLUMN,
+        column,
+        "Maximum",
+        lambda: F.max(number(column)),
+        state=lambda: {"most": F.max(number(column))},
+    )
 
 
 def not_numeric(column: str) -> Analyzer:
@@ -113,10 +158,15 @@ def not_numeric(column: str) -> Analyzer:
         COLUMN,
         column,
         "NotNumeric",
-        lambda: F.count_if(F.col(column).isNotNull() & number(column).isNull()).cast("double"),
+        lambda: F.count_if(_no_number(column)).cast("double"),
+        state=lambda: {"hits": F.count_if(_no_number(column))},
     )
 
 
+def _no_number(column: str) -> Column:
+    return F.col(column).isNotNull() & number(column).isNull()
+
+
 def uniqueness(*columns: str) -> Analyzer:
     """Share of the rows whose value occurs once, among rows with a value."""
     once = F.when(F.col(_GROUP_ROWS) == 1, 1).otherwise(0)
@@ -141,11 +191,12 @@ def count_distinct(*columns: str) -> Analyzer:
 
 
 def non_negative(column: str) -> Column:
-    """Predicate: the number is not below zero; NULL and non-numbers count as 0.
+    """Predicate: the number is not below zero; NULL and what is no number count as 0.
 
-    The sign survives the cast to double at any magnitude and scale.
+    The sign survives the cast to double at any magnitude and scale, and numbers
+    beyond its range become infinities of their sign.
     """
-    return F.coalesce(number(column), F.lit(0.0)) >= 0
+    return F.coalesce(F.col(column).try_cast("double"), F.lit(0.0)) >= 0
 
 
 @lru_cache(maxsize=None)
@@ -154,6 +205,47 @@ def non_negative_share(column: str) -> Analyzer:
     return compliance(f"{column} is non-negative", lambda: non_negative(column))
 
 
+# Shapes of text that is a value of another type, tested from the narrowest on.
+KINDS = ("Boolean", "Integral", "Fractional", "Date", "Timestamp")
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_TIME = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?"
+
+
+def is_kind(column: str, kind: str) -> Column:
+    """Predicate: the text of a value is one of a kind; NULL is of every kind.
+
+    Integral numbers are fractional ones too. Days and times must exist.
+    """
+    text = F.trim(F.col(column).cast("string"))
+    if kind == "Boolean":
+        holds = F.lower(text).isin("true", "false")
+    elif kind == "Integral":
+        holds = text.rlike("^[+-]?[0-9]+$")
+    elif kind == "Fractional":
+        holds = text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$")
+    elif kind == "Date":
+        holds = text.rlike(f"^{_DAY}$") & text.try_cast("date").isNotNull()
+    elif kind == "Timestamp":
+        holds = text.rlike(f"^{_DAY}[ T]{_TIME}$") & text.try_cast("timestamp_ntz").isNotNull()
+    else:
+        raise ValueError(f"kind must be one of {', '.join(KINDS)}")
+    return F.col(column).isNull() | holds
+
+
+@lru_cache(maxsize=None)
+def kind_share(column: str, kind: str) -> Analyzer:
+    """Share of the rows whose text is of a kind."""
+    return compliance(f"{column} is {kind}", lambda: is_kind(column, kind))
+
+
+@lru_cache(maxsize=None)
+def contained_share(column: str, values: tuple[str, ...]) -> Analyzer:
+    """Share of the rows whose text is one of some values, or NULL."""
+    listed = ", ".join(values)
+    text = lambda: F.col(column).cast("string")
+    return compliance(f"{column} in ({listed})", lambda: F.col(column).isNull() | text().isin(*values))
+
+
 def is_present(column: str) -> Column:
     """Predicate: not NULL."""
     return F.col(column).isNotNull()
@@ -211,6 +303,26 @@ class Check:
     def is_non_negative(self, column: str) -> Check:
         return self._with("ComplianceConstraint", non_negative_share(column), _is_one)
 
+    def is_contained_in(
+        self, column: str, values: Sequence[str], assertion: Assertion = _is_one
+    ) -> Check:
+        rule = contained_share(column, tuple(values))
+        return self._with("ComplianceConstraint", rule, assertion)
+
+    def has_kind(self, column: str, kind: str, assertion: Assertion = _is_one) -> Check:
+        return self._with("ComplianceConstraint", kind_share(column, kind), assertion)
+
+    def satisfies(
+        self, name: str, predicate: Callable[[], Column], assertion: Assertion = _is_one
+    ) -> Check:
+        return self._with("ComplianceConstraint", compliance(name, predicate), assertion)
+
+    def has_min(self, column: str, assertion: Assertion) -> Check:
+        return self._with("MinimumConstraint", minimum(column), assertion)
+
+    def has_max(self, column: str, assertion: Assertion) -> Check:
+        return self._with("MaximumConstraint", maximum(column), assertion)
+
     def has_mean(self, column: str, assertion: Assertion) -> Check:
         return self._with("MeanConstraint", mean(column), assertion)
 

@@ -1,12 +1,13 @@
 """All registered queries; importing the package fills the registry."""
 
-from millrace.registry import keyed, quality, records, scans, sql, streams, tables
+from millrace.registry import keyed, profiles, quality, records, scans, sql, streams, tables
 from millrace.registry.base import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES",
     "QUERIES",
     "keyed",
+    "profiles",
     "quality",
     "records",
     "scans",

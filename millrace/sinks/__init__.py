@@ -1,5 +1,6 @@
 """Table and report sinks."""
 
+from millrace.sinks.metrics import store_states, stored_states
 from millrace.sinks.reports import csv_new, csv_report
 from millrace.sinks.tables import (
     create_table_like,
@@ -21,6 +22,8 @@ __all__ = [
     "insert_by_name",
     "overwrite_partitions",
     "publish_snapshot",
+    "store_states",
+    "stored_states",
     "upsert_partitioned_table",
     "upsert_partitions",
     "upsert_table",
