@@ -14,6 +14,7 @@ from millrace.llm import (
     licenses,
     mixing,
     near_dedup,
+    neural_lm,
     quality_model,
     quality_rules,
     spelling,
@@ -22,6 +23,7 @@ from millrace.llm import (
     toxicity,
     vector_codes,
 )
+from millrace.llm.labelled import remainder
 from millrace.llm.text import small_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -361,3 +363,19 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every frequent word with the form it is a variant of, after one typo in 199 runs."""
     return spelling.spelling_variants(documents(spark, sf_dir), garble=spelling.one_typo_in(199))
+
+
+@query()
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the model and by word counts alone."""
+    docs = documents(spark, sf_dir)
+    model = neural_lm.train(docs, learnable=lambda doc_id: remainder(doc_id, 10) != 0)
+    return neural_lm.score(docs, model).select(
+        F.col("id").alias("doc_id"),
+        (remainder(F.col("id"), 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.vocabulary.total).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
