@@ -25,6 +25,7 @@ from millrace.operators.quality import (
     verify,
     violating_rows,
 )
+from millrace.operators.ranges import as_of_join, interval_join
 from millrace.operators.stamp import stamp_load_time
 from millrace.operators.states import merge_states, metric_states, metrics_of
 from millrace.operators.suggest import suggest_checks
@@ -32,6 +33,7 @@ from millrace.operators.suggest import suggest_checks
 __all__ = [
     "Check",
     "DuplicateSourceKeyError",
+    "as_of_join",
     "decode_envelope",
     "decode_tagged",
     "dedup_latest",
@@ -39,6 +41,7 @@ __all__ = [
     "encode_envelope",
     "event_frame",
     "explode_records",
+    "interval_join",
     "merge_into",
     "merge_states",
     "merge_update_insert",

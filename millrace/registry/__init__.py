@@ -1,6 +1,6 @@
 """All registered queries; importing the package fills the registry."""
 
-from millrace.registry import keyed, profiles, quality, records, scans, sql, streams, tables
+from millrace.registry import keyed, profiles, quality, ranges, records, scans, sql, streams, tables, windows
 from millrace.registry.base import ORACLES, QUERIES
 
 __all__ = [
@@ -9,9 +9,11 @@ __all__ = [
     "keyed",
     "profiles",
     "quality",
+    "ranges",
     "records",
     "scans",
     "sql",
     "streams",
     "tables",
+    "windows",
 ]

@@ -13,7 +13,14 @@ from millrace.operators import (
     upsert_latest,
 )
 from millrace.registry.base import query, table
-from millrace.sinks import overwrite_partitions, upsert_partitions, upsert_table, write
+from millrace.sinks import (
+    overwrite_partitions,
+    read_keys,
+    upsert_partitions,
+    upsert_slotted_table,
+    upsert_table,
+    write,
+)
 from millrace.workspace import fresh_path
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -146,6 +153,33 @@ def upsert_bucketed_key_order(spark, sf_dir):
     return spark.table(name)
 
 
+def _slotted_lines(spark, sf_dir):
+    name = f"lines_{uuid.uuid4().hex}"
+    path = fresh_path(spark, "lines")
+    stored, batch = stored_and_batch(spark, sf_dir)
+    for rows in (stored, batch):
+        upsert_slotted_table(
+            rows, name, path, 32, LINE_KEYS, LINE_ORDER, LINE_TIES, keep_later=True
+        )
+    return name
+
+
+@query("upsert_slotted_table", KEEP_LATER_SQL)
+def upsert_slotted_table_query(spark, sf_dir):
+    """Upsert into a table that is partitioned by a hash of its keys."""
+    return spark.table(_slotted_lines(spark, sf_dir)).drop("_slot")
+
+
+@query(
+    "read_slotted_keys",
+    f"""SELECT * FROM ({KEEP_LATER_SQL}) WHERE l_orderkey % 50 = 7 AND l_linenumber = 1""",
+)
+def read_slotted_keys(spark, sf_dir):
+    """Some lines of that table by key, from the slots of these keys."""
+    wanted = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 7 AND l_linenumber = 1")
+    return read_keys(spark, _slotted_lines(spark, sf_dir), wanted)
+
+
 @query(
     "upsert_partitions",
     """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority

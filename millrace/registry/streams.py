@@ -67,3 +67,18 @@ def stream_upsert_partitioned(spark, sf_dir):
             partition_by=["event_type"],
         )
     return spark.table(name).select(*events.columns)
+
+
+@query("stream_upsert_slotted", LATEST_EVENT_SQL)
+def stream_upsert_slotted(spark, sf_dir):
+    """As ``stream_upsert_latest``, into a table of slots: a run rewrites those of its users."""
+    events = table(spark, sf_dir, "events")
+    source, root = fresh_path(spark, "arrivals"), fresh_path(spark, "keyed-events")
+    name = f"latest_events_{uuid.uuid4().hex}"
+    few = F.col("user_id") % 10 == 3
+    for arrival in (events.where(~few), events.where(few)):
+        encode_envelope(arrival).write.mode("append").text(source)
+        ingest_available(
+            spark, source, events.schema, root, name, ["user_id"], ["ts"], ["event_id"], slots=16
+        )
+    return spark.table(name).select(*events.columns)

@@ -16,11 +16,24 @@ from millrace.functions.names import location_clause, quoted
 from millrace.operators.merge import stage_latest, upsert_staged
 from millrace.session import sized_for
 from millrace.sources.catalog import table_metadata
-from millrace.workspace import BROADCAST_BYTES, Staged, names_in, remove
+from millrace.workspace import (
+    BROADCAST_BYTES,
+    Staged,
+    exists,
+    files_below,
+    move_file,
+    names_in,
+    read_lines,
+    remove,
+    write_lines,
+)
 
 # Folder of a table that holds merged partitions until they are in place.
 _PENDING = "_pending_merge"
 
+# New partitions that one statement adds to the catalog.
+_PARTITIONS_ADDED = 200
+
 
 def write(
     df: DataFrame,
@@ -220,12 +233,15 @@ def upsert_partitions(
     to another partition. The batch must have the columns of the stored table.
     The work grows with the touched partitions and not with the table.
 
-    The merged partitions are first written whole beside the table and only
-    then put in place, from there. If that is cut short, the next call, or
-    ``finish_pending``, puts them in place again, so no stored row is lost.
+    The merged partitions are first written whole beside the table. Then their
+    files are moved into the table's folders, and the files that they replace,
+    which were noted before, are deleted. If that is cut short, the next call, or
+    ``finish_pending``, goes on with it, so no stored row is lost. Who reads a
+    partition between the two steps sees rows twice; ``upsert_partitioned_table``
+    switches each partition at once.
     """
     spark = batch.sparkSession
-    finish_pending(spark, path, batch.schema, partition_by)
+    finish_pending(spark, path)
     stored = set(spark.read.parquet(path).columns)
     if stored != set(batch.columns):
         raise ValueError(
@@ -235,19 +251,31 @@ def upsert_partitions(
     latest = stage_latest(batch, keys, order, ties)
     merged = _merge_touched(target, latest, partition_by, keys, order, ties, keep_later, broadcast_bytes)
     if merged is not None:
+        pending = f"{path.rstrip('/')}/{_PENDING}"
         with sized_for(spark, latest.path):
-            write(merged, f"{path.rstrip('/')}/{_PENDING}", mode="overwrite")
-        finish_pending(spark, path, batch.schema, partition_by)
+            write(merged, pending, mode="overwrite", partition_by=partition_by, balance=True)
+        finish_pending(spark, path)
     latest.drop()
 
 
-def finish_pending(
-    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]
-) -> None:
-    """Put merged partitions in place that an earlier call wrote completely."""
-    pending = f"{path.rstrip('/')}/{_PENDING}"
+def finish_pending(spark: SparkSession, path: str) -> None:
+    """Put merged partitions in place that a call has written completely.
+
+    Every step can be repeated: the names of the replaced files are stored before
+    the first file is moved, and these files go last.
+    """
+    base = path.rstrip("/")
+    pending = f"{base}/{_PENDING}"
     if "_SUCCESS" in names_in(spark, pending):
-        overwrite_partitions(spark.read.schema(schema).parquet(pending), path, partition_by)
+        arriving, replaced = files_below(spark, pending), f"{pending}/_replaced"
+        if not exists(spark, replaced):
+            folders = sorted({name.rsplit("/", 1)[0] for name in arriving})
+            old = [f"{f}/{n}" for f in folders for n in files_below(spark, f"{base}/{f}", deep=False)]
+            write_lines(spark, replaced, old)
+        for name in arriving:
+            move_file(spark, f"{pending}/{name}", f"{base}/{name}")
+        for name in read_lines(spark, replaced):
+            remove(spark, f"{base}/{name}")
     remove(spark, pending)
 
 
@@ -266,7 +294,8 @@ def upsert_partitioned_table(
 
     The catalog finds the stored partitions, so that no folder tree is listed.
     New partition folders are written below ``path`` and the catalog is then
-    pointed at them, one by one; former folders stay until they are removed.
+    pointed at them: new ones many at a time, others one by one, as each is
+    switched whole. Former folders stay until they are removed.
     A call that is cut short leaves each partition whole, old or new. The
     batch must have the columns of the table.
     """
@@ -305,13 +334,21 @@ def _point_partitions(
         .groupBy(*[f"`{c}`" for c in partition_by])
         .agg(F.min("_file").alias("_file"))
     )
+    known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {quoted(table)}").collect()}
+    added = []
     for row in found.collect():
         values = ", ".join(
             f"{quoted(c)} = '{_escaped(value)}'" for c, value in zip(partition_by, row, strict=False)
         )
-        where = location_clause(unquote(row["_file"].rsplit("/", 1)[0]))
-        spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS PARTITION ({values}) {where}")
-        spark.sql(f"ALTER TABLE {quoted(table)} PARTITION ({values}) SET {where}")
+        place = unquote(row["_file"].rsplit("/", 1)[0])
+        if "/".join(place.rsplit("/", len(partition_by))[1:]) in known:
+            where = location_clause(place)
+            spark.sql(f"ALTER TABLE {quoted(table)} PARTITION ({values}) SET {where}")
+        else:
+            added.append(f"PARTITION ({values}) {location_clause(place)}")
+    for at in range(0, len(added), _PARTITIONS_ADDED):
+        some = " ".join(added[at : at + _PARTITIONS_ADDED])
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD {some}")
     spark.catalog.refreshTable(table)
 
 

@@ -19,6 +19,7 @@ from millrace.operators.envelope import (
     decode_tagged,
 )
 from millrace.operators.stamp import LOAD_TIME_COLUMN, stamp_load_time
+from millrace.sinks.slots import upsert_slotted_table
 from millrace.sinks.tables import upsert_partitioned_table, upsert_table
 from millrace.sources.catalog import table_metadata
 from millrace.workspace import BROADCAST_BYTES, names_in
@@ -74,7 +75,8 @@ def stream_latest(
     """Latest row per key as streaming state.
 
     The state holds one row per key and never shrinks, like a keyed table.
-    ``ingest_available`` keeps the rows in a table instead.
+    ``ingest_available`` keeps the rows in a table instead, and in
+    ``windows.latest_until_idle`` the state of a key ends.
     """
     return dedup_latest_grouped(rows, keys, order, ties)
 
@@ -105,6 +107,34 @@ def _next_run(spark: SparkSession, base: str, table: str) -> str:
     return f"{int(last) + 1:020d}"
 
 
+def land_available(
+    spark: SparkSession,
+    source: str | None,
+    schema: T.StructType,
+    root: str,
+    run: str,
+    stamp: bool = False,
+    fmt: str = "text",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Land all new records below ``root/landed``, exactly once, by run and status.
+
+    Returns the stream that was landed, for its schema.
+    """
+    base = root.rstrip("/")
+    tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
+    if stamp:
+        tagged = stamp_load_time(tagged, LOAD_TIME_COLUMN)
+    landing = tagged.withColumn(RUN_COLUMN, F.lit(run))
+    write_stream(
+        landing,
+        f"{base}/landed",
+        f"{base}/progress",
+        partition_by=(RUN_COLUMN, STATUS_COLUMN),
+    ).awaitTermination()
+    return landing
+
+
 def ingest_available(
     spark: SparkSession,
     source: str | None,
@@ -119,6 +149,7 @@ def ingest_available(
     broadcast_bytes: int = BROADCAST_BYTES,
     buckets: int | None = None,
     partition_by: Sequence[str] = (),
+    slots: int | None = None,
     fmt: str = "text",
     options: Mapping[str, str] | None = None,
 ) -> str | None:
@@ -133,29 +164,22 @@ def ingest_available(
 
     A failure between the steps leaves a run unmerged, and the next call picks
     it up. Runs are numbered one up from the largest that is landed or merged,
-    so their order does not depend on any clock. With ``partition_by``, which must be key columns, only the
-    partitions that the new rows touch are rewritten, in place of a snapshot;
-    this needs ``keep_later``, so that a merge can be repeated.
+    so their order does not depend on any clock. With ``partition_by``, which
+    must be key columns, only the partitions that the new rows touch are
+    rewritten, in place of a snapshot, and with ``slots`` only the hash slots of
+    their keys; this needs ``keep_later``, so that a merge can be repeated.
 
     With ``stamp`` rows carry the time they were landed. ``options`` go to the
     source, such as how many files to take in one micro-batch. Returns the
     folder of the table, or None if there was nothing to merge.
     """
-    if partition_by and not keep_later:
-        raise ValueError("a partitioned ingest needs keep_later")
+    if (partition_by or slots) and not keep_later:
+        raise ValueError("a partitioned or slotted ingest needs keep_later")
+    if partition_by and slots:
+        raise ValueError("give either partition_by or slots")
     base = root.rstrip("/")
     run = _next_run(spark, base, table)
-    tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
-    if stamp:
-        tagged = stamp_load_time(tagged, LOAD_TIME_COLUMN)
-    landing = tagged.withColumn(RUN_COLUMN, F.lit(run))
-    write_stream(
-        landing,
-        f"{base}/landed",
-        f"{base}/progress",
-        partition_by=(RUN_COLUMN, STATUS_COLUMN),
-    ).awaitTermination()
-
+    landing = land_available(spark, source, schema, root, run, stamp, fmt, options)
     landed = landed_records(spark, root, landing.schema)
     fields = [c for c in landing.columns if c not in (RUN_COLUMN, STATUS_COLUMN, RAW_COLUMN)]
     pending = landed.where(
@@ -163,11 +187,16 @@ def ingest_available(
     ).select(*fields)
     if pending.isEmpty():
         return None
-    if partition_by:
+    if partition_by or slots:
         path = f"{base}/table"
-        upsert_partitioned_table(
-            pending, table, path, partition_by, keys, order, ties, keep_later, broadcast_bytes
-        )
+        if slots:
+            upsert_slotted_table(
+                pending, table, path, slots, keys, order, ties, keep_later, broadcast_bytes
+            )
+        else:
+            upsert_partitioned_table(
+                pending, table, path, partition_by, keys, order, ties, keep_later, broadcast_bytes
+            )
         spark.sql(
             f"ALTER TABLE {quoted(table)} SET TBLPROPERTIES ('{_MERGED_PROPERTY}' = '{run}')"
         )

@@ -118,6 +118,56 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in store.listStatus(there)] if store.exists(there) else []
 
 
+def files_below(spark: SparkSession, path: str, deep: bool = True) -> list[str]:
+    """Paths, relative to a folder, of the data files in it and in the folders below it.
+
+    Names that start with a dot or an underscore are no data, as for Spark's
+    readers. A folder that does not exist has none.
+    """
+    store, there = _file_system(spark, path)
+    if not store.exists(there):
+        return []
+    root = store.getFileStatus(there).getPath().toUri().getPath().rstrip("/") + "/"
+    found, listed = [], store.listFiles(there, deep)
+    while listed.hasNext():
+        name = listed.next().getPath().toUri().getPath().removeprefix(root)
+        if not any(part[0] in "._" for part in name.split("/")):
+            found.append(name)
+    return sorted(found)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file; if an earlier try has copied it already, the source just goes."""
+    store, start = _file_system(spark, source)
+    end = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    if store.exists(end):
+        store.delete(start, False)
+        return
+    store.mkdirs(end.getParent())
+    if not store.rename(start, end):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def write_lines(spark: SparkSession, path: str, lines: Sequence[str]) -> None:
+    """A small text file, there whole or not at all."""
+    store, draft = _file_system(spark, f"{path}.draft")
+    out = store.create(draft, True)
+    out.write("\n".join(lines).encode())
+    out.close()
+    move_file(spark, f"{path}.draft", path)
+
+
+def read_lines(spark: SparkSession, path: str) -> list[str]:
+    """The lines of a small text file that are not empty."""
+    store, there = _file_system(spark, path)
+    source = store.open(there)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+    return [line for line in text.split("\n") if line]
+
+
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
     """Size of files or folders, from the store's own records."""
     total = 0

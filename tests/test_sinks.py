@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import rechunk_csv
 from millrace.sources.files import EXACT_TEXT
-from millrace.workspace import remove
+from millrace.workspace import exists, remove
 from millrace.operators import Check, upsert_latest
 from millrace.operators.quality import WARNING, size
 from millrace.plans import load_insert_select, load_overwrite, load_warehouse, quality_report
@@ -227,17 +227,41 @@ def test_merge_that_is_cut_short_loses_nothing(spark, df, tmp_path, rows, monkey
     batch = spark.createDataFrame([(1, "a", 9.0)], df.schema)
 
     def lost(*args, **more):
-        # The worst moment: the old partition is gone, the new one not there.
-        remove(spark, f"{target}/kind=a")
         raise RuntimeError("driver lost")
 
+    # Before the first file is moved, between moving and deleting, and at the end.
+    for step in ("move_file", "read_lines", "remove"):
+        with monkeypatch.context() as patch:
+            patch.setattr(tables, step, lost)
+            with pytest.raises(RuntimeError):
+                upsert_partitions(batch, target, ["kind"], ["kind", "id"], ["v"], [])
+        tables.finish_pending(spark, target)
+        read = spark.read.schema(df.schema).parquet(target).select(*df.columns)
+        assert rows(read) == [(1, "a", 9.0), (2, "b", 2.5)]
+        assert not exists(spark, f"{target}/_pending_merge")
+
+
+def test_a_batch_without_a_column_does_not_finish_another_s_merge_without_it(spark, df, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    write(df, target, partition_by=["kind"])
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "overwrite_partitions", lost)
-        with pytest.raises(RuntimeError):
-            upsert_partitions(batch, target, ["kind"], ["kind", "id"], ["v"], [])
-    tables.finish_pending(spark, target, df.schema, ["kind"])
-    read = spark.read.schema(df.schema).parquet(target).select(*df.columns)
-    assert rows(read) == [(1, "a", 9.0), (2, "b", 2.5)]
+        patch.setattr(tables, "finish_pending", lambda *args: None)
+        upsert_partitions(spark.createDataFrame([(1, "a", 9.0)], df.schema), target, ["kind"], ["kind", "id"], ["v"], [])
+    with pytest.raises(ValueError, match="columns"):
+        upsert_partitions(df.drop("v"), target, ["kind"], ["kind", "id"], ["id"], [])
+    stored = spark.read.parquet(target).select(*df.columns)
+    assert sorted(map(tuple, stored.collect())) == [(1, "a", 9.0), (2, "b", 2.5)]
+
+
+def test_new_partitions_are_added_many_at_a_time(spark, tmp_path, monkeypatch):
+    ddl = "id int, kind string, day int, v int"
+    base = spark.createDataFrame([(i, f"k {i % 7}/=", i % 3, 1) for i in range(40)], ddl)
+    place = ("many_parts", str(tmp_path / "t"), ["kind", "day"], ["kind", "day", "id"], ["v"], [])
+    monkeypatch.setattr(tables, "_PARTITIONS_ADDED", 4)
+    for v in (1, 2):
+        upsert_partitioned_table(base.withColumn("v", F.lit(v)), *place)
+    stored = spark.table("many_parts").groupBy("v").count().collect()
+    assert [tuple(r) for r in stored] == [(2, 40)]
 
 
 def test_partitioned_table_keeps_old_folders_until_new_ones_show(spark, df, tmp_path, rows, monkeypatch):
