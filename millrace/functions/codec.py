@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,3 +72,16 @@ def is_one_json(text: Column) -> Column:
     in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
     return in_list.isNotNull() & in_object.isNotNull()
+
+
+def other_fields(text: Column, names: Sequence[str]) -> Column:
+    """The fields of a JSON object but for some, as one VARIANT; NULL if it is no object."""
+    fields = F.from_json(text, T.MapType(T.StringType(), T.VariantType()))
+    others = F.map_filter(fields, lambda name, _: ~name.isin(*names) if names else F.lit(True))
+    return F.to_variant_object(others)
+
+
+def field_of(variant: Column, name: str, kind: T.DataType) -> Column:
+    """A field of a VARIANT object as a type; NULL if it is absent or does not fit."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(variant, f"$['{quoted}']", kind.simpleString())

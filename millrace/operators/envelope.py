@@ -15,6 +15,7 @@ from millrace.functions.codec import (
     base64_bytes,
     encode_base64,
     is_one_json,
+    other_fields,
     parse_json,
     to_json_text,
     utf8_text,
@@ -81,8 +82,13 @@ def explode_records(envelopes: DataFrame, column: str = "value") -> DataFrame:
     ).select("bad_envelope", F.col("record")[RECORD_FIELD][DATA_FIELD].alias("data"))
 
 
-def _decoded(envelopes: DataFrame, schema: T.StructType, column: str) -> DataFrame:
-    """One row per record: ``status``, ``raw`` and the parsed ``row``."""
+def _decoded(
+    envelopes: DataFrame, schema: T.StructType, column: str, rest: str | None = None
+) -> DataFrame:
+    """One row per record: ``status``, ``raw`` and the parsed ``row``.
+
+    The row ends with the fields that the schema lacks if ``rest`` names them.
+    """
     steps = (
         explode_records(envelopes, column)
         .withColumn("bytes", base64_bytes(F.col("data")))
@@ -97,25 +103,32 @@ def _decoded(envelopes: DataFrame, schema: T.StructType, column: str) -> DataFra
         .when(F.col("row").isNull() | F.col("row")[CORRUPT_FIELD].isNotNull(), BAD_JSON)
         .otherwise(OK)
     )
+    row = F.col("row")
+    if rest is not None:
+        others = other_fields(F.col("text"), schema.names)
+        row = F.when(row.isNotNull(), row.withField(rest, others))
     return steps.select(
-        status.alias("status"), F.coalesce("bad_envelope", "data").alias("raw"), "row"
+        status.alias("status"), F.coalesce("bad_envelope", "data").alias("raw"), row.alias("row")
     )
 
 
-def _fields(row: str, schema: T.StructType) -> list[Column]:
-    return [F.col(row)[f.name].alias(f.name) for f in schema.fields]
+def _fields(row: str, schema: T.StructType, rest: str | None = None) -> list[Column]:
+    names = [*schema.names, *([rest] if rest is not None else [])]
+    return [F.col(row)[name].alias(name) for name in names]
 
 
 def decode_tagged(
-    envelopes: DataFrame, schema: T.StructType, column: str = "value"
+    envelopes: DataFrame, schema: T.StructType, column: str = "value", rest: str | None = None
 ) -> DataFrame:
     """Every record with the declared fields, a status and its raw text.
 
     One pass serves both outputs: write it partitioned by ``_status`` to
-    split rows from rejects. ``_raw`` is NULL for good rows.
+    split rows from rejects. ``_raw`` is NULL for good rows. ``rest`` names a
+    VARIANT column for the fields that are not declared; without it they are
+    dropped.
     """
-    return _decoded(envelopes, schema, column).select(
-        *_fields("row", schema),
+    return _decoded(envelopes, schema, column, rest).select(
+        *_fields("row", schema, rest),
         F.col("status").alias(STATUS_COLUMN),
         F.when(F.col("status") != OK, F.col("raw")).alias(RAW_COLUMN),
     )
@@ -127,12 +140,15 @@ def decode_tagged(
 
 
 def decode_envelope(
-    envelopes: DataFrame, schema: T.StructType, column: str = "value"
+    envelopes: DataFrame, schema: T.StructType, column: str = "value", rest: str | None = None
 ) -> DataFrame:
-    """The rows of all records that decode; see ``quarantine`` for the rest."""
+    """The rows of all records that decode; see ``quarantine`` for the others.
+
+    ``rest`` names a VARIANT column for the fields that are not declared.
+    """
     picked = F.when(F.col("status") == OK, F.array("row"))
-    good = _decoded(envelopes, schema, column).select(F.explode(picked).alias("row"))
-    return good.select(*_fields("row", schema))
+    good = _decoded(envelopes, schema, column, rest).select(F.explode(picked).alias("row"))
+    return good.select(*_fields("row", schema, rest))
 
 
 def quarantine(envelopes: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:

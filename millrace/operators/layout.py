@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.files import EXACT_TEXT, scan_csv
+from millrace.sources.multiline import scan_csv_multiline
 from millrace.workspace import sql_settings
 
 # Fixed value: size of one chunk of a split file.
@@ -22,6 +23,7 @@ def rechunk_csv(
     sep: str = ",",
     max_records: int | None = None,
     options: Mapping[str, str] | None = None,
+    line_breaks: bool = False,
 ) -> None:
     """Cut delimited text into files of about ``chunk_bytes`` of input each.
 
@@ -29,7 +31,9 @@ def rechunk_csv(
     row is cut. Every file has the header line. Values keep all their
     characters; quotes in them are doubled, in the source as in the target
     (``options`` of the source can say otherwise). A field must not hold a
-    line break, since splits are cut at these.
+    line break, since splits are cut at these, unless ``line_breaks`` is set:
+    then records are put together from the lines of all splits, of which those
+    with such fields are shuffled.
     """
     # A file smaller than a chunk must not be packed with others, and one
     # larger must not be cut finer than asked to keep idle cores busy.
@@ -38,7 +42,8 @@ def rechunk_csv(
         "spark.sql.files.openCostInBytes": str(chunk_bytes),
     }
     with sql_settings(spark, settings):
-        rows = scan_csv(spark, source, sep, options={**EXACT_TEXT, **(options or {})})
+        scan = scan_csv_multiline if line_breaks else scan_csv
+        rows = scan(spark, source, sep, options={**EXACT_TEXT, **(options or {})})
         writer = rows.write.mode("errorifexists").options(**EXACT_TEXT)
         writer = writer.option("header", True).option("sep", sep)
         if max_records is not None:

@@ -105,13 +105,15 @@ def load_event(
     keys: Sequence[str],
     ties: Sequence[str],
     at: datetime | Column | None = None,
+    rest: str | None = None,
 ) -> str:
     """Upsert the records of one event into a keyed catalog table.
 
     Without a schema the fields are the union of those in the records, with
     the types of the table's columns where it has them. Fields of the table
     that the event lacks are NULL in its rows; fields that the table lacks
-    raise an error, and nothing is loaded. The load time replaces the one that
+    raise an error, and nothing is loaded, unless ``rest`` names the table's
+    VARIANT column that keeps them. The load time replaces the one that
     a record may carry. Records that do not decode are left out;
     ``quarantine`` shows them. An event is one value in the driver, and one
     task decodes it; for larger input see ``ingest_available``.
@@ -121,16 +123,16 @@ def load_event(
         texts = explode_records(lines).select(decode_base64(F.col("data")).alias("data"))
         schema = infer_record_schema(texts)
     if spark.catalog.tableExists(table):
-        schema = _fitted(schema, spark.table(table).schema)
-    rows = stamp_load_time(decode_envelope(lines, schema), at=at)
+        schema = _fitted(schema, spark.table(table).schema, rest)
+    rows = stamp_load_time(decode_envelope(lines, schema, rest=rest), at=at)
     return upsert_table(rows, table, root, keys, [LOAD_TIME_COLUMN], ties)
 
 
-def _fitted(event: T.StructType, stored: T.StructType) -> T.StructType:
+def _fitted(event: T.StructType, stored: T.StructType, rest: str | None) -> T.StructType:
     """The fields to decode from an event for the rows of a stored table."""
-    fields = T.StructType([f for f in stored.fields if f.name != LOAD_TIME_COLUMN])
+    fields = T.StructType([f for f in stored.fields if f.name not in (LOAD_TIME_COLUMN, rest)])
     unknown = set(event.names) - set(stored.names)
-    if unknown:
+    if unknown and rest is None:
         raise ValueError(f"the table has no columns for the fields {sorted(unknown)}")
     return fields
 

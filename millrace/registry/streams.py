@@ -10,6 +10,7 @@ from millrace.operators import encode_envelope
 from millrace.registry.base import query, table
 from millrace.registry.keyed import LATEST_EVENT_SQL
 from millrace.registry.records import EVENTS, envelope_files
+from millrace.sources import promote_field
 from millrace.streaming import ingest_available, read_envelopes, stream_decode, write_stream
 from millrace.workspace import fresh_path
 
@@ -82,3 +83,31 @@ def stream_upsert_slotted(spark, sf_dir):
             spark, source, events.schema, root, name, ["user_id"], ["ts"], ["event_id"], slots=16
         )
     return spark.table(name).select(*events.columns)
+
+
+@query(
+    "stream_unknown_fields",
+    """SELECT event_id, user_id, CASE WHEN event_id % 2 = 0 THEN event_type END AS event_type,
+              CASE WHEN event_id % 2 = 1 THEN value END AS value,
+              CASE WHEN event_id % 2 = 0 THEN '{"note":"n' || event_id || '"}' ELSE '{}' END AS others
+       FROM events""",
+)
+def stream_unknown_fields(spark, sf_dir):
+    """Two runs whose records have fields of their own: none is lost, and two get columns later."""
+    events = table(spark, sf_dir, "events")
+    schema = events.select("event_id", "user_id").schema
+    source, root = fresh_path(spark, "arrivals"), fresh_path(spark, "open-events")
+    name = f"open_events_{uuid.uuid4().hex}"
+    note = F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("note")
+    first = events.where("event_id % 2 = 0").select("event_id", "user_id", "event_type", note)
+    second = events.where("event_id % 2 = 1").select("event_id", "user_id", "value")
+    for arrival in (first, second):
+        encode_envelope(arrival).write.mode("append").text(source)
+        ingest_available(
+            spark, source, schema, root, name, ["event_id"], ["event_id"], [], slots=4, rest="others"
+        )
+    typed = promote_field(spark.table(name), "others", "event_type", "string")
+    typed = promote_field(typed, "others", "value", "double")
+    return typed.select(
+        "event_id", "user_id", "event_type", "value", F.to_json("others").alias("others")
+    )

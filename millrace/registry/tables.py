@@ -28,7 +28,7 @@ from millrace.sinks import (
     write,
     write_counted,
 )
-from millrace.sources import scan_csv
+from millrace.sources import scan_csv, scan_csv_multiline
 from millrace.sources.files import EXACT_TEXT
 from millrace.workspace import fresh_path
 
@@ -162,6 +162,26 @@ def rechunk(spark, sf_dir):
     return cast_to_schema(scan_csv(spark, chunks, options=EXACT_TEXT), orders.schema)
 
 
+_BROKEN_SQL = r"""'one' || chr(10) || o_orderpriority || chr(13) || chr(10) || chr(10) || '", "x' """
+
+
+@query(
+    "rechunk_line_breaks",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+              CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority ELSE {_BROKEN_SQL} END AS o_orderpriority
+       FROM orders""",
+)
+def rechunk_line_breaks(spark, sf_dir):
+    """As ``rechunk``, with line breaks, separators and quotes inside two fields of three."""
+    broken = F.concat(F.lit("one\n"), "o_orderpriority", F.lit('\r\n\n", "x'))
+    priority = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise(broken)
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", priority)
+    whole = input_file(spark, sf_dir, "broken-orders-csv", lambda p: write_csv(orders.coalesce(1), p))
+    chunks = fresh_path(spark, "orders-chunks")
+    rechunk_csv(spark, whole, chunks, chunk_bytes=32 * 1024, line_breaks=True)
+    return cast_to_schema(scan_csv_multiline(spark, chunks), orders.schema)
+
+
 @query(
     "load_csv_append",
     f"""SELECT {CUSTOMER_TEXT}, last_upd_timestamp

@@ -8,17 +8,21 @@ from millrace.sources.files import (
     scan_splits,
     scan_table,
 )
-from millrace.sources.records import infer_record_schema, records_to_rows
+from millrace.sources.multiline import scan_csv_multiline, text_records
+from millrace.sources.records import infer_record_schema, promote_field, records_to_rows
 
 __all__ = [
     "LARGE_FILE_SPLIT_BYTES",
     "catalog_scan",
     "infer_record_schema",
+    "promote_field",
     "records_to_rows",
     "scan_csv",
     "scan_csv_inferred",
+    "scan_csv_multiline",
     "scan_splits",
     "scan_table",
     "table_metadata",
+    "text_records",
     "view_scan",
 ]

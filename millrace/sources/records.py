@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.codec import CORRUPT_FIELD, parse_json
+from millrace.functions.codec import CORRUPT_FIELD, field_of, other_fields, parse_json
 from millrace.workspace import sql_settings
 
 
@@ -75,19 +75,50 @@ def _check_names(kind: T.DataType) -> None:
 
 
 def records_to_rows(
-    records: DataFrame, schema: T.StructType | None = None, column: str = "data"
+    records: DataFrame,
+    schema: T.StructType | None = None,
+    column: str = "data",
+    rest: str | None = None,
 ) -> DataFrame:
     """JSON objects in a string column to rows; other columns are kept.
 
     Without a schema it is inferred first, at the cost of one more pass.
-    Records that do not parse give NULL in all of the fields.
+    Records that do not parse give NULL in all of the fields. With ``rest`` the
+    fields that the schema lacks are kept in a VARIANT column of that name.
     """
     if schema is None:
         schema = infer_record_schema(records, column)
     kept = [c for c in records.columns if c != column]
     parsed = records.withColumn(column, parse_json(F.col(column), schema))
     usable = F.col(column).isNotNull() & F.col(column)[CORRUPT_FIELD].isNull()
+    others = []
+    if rest is not None:
+        text = other_fields(F.col("_text"), schema.names)
+        parsed = records.withColumn("_text", F.col(column)).withColumn(column, parse_json(F.col(column), schema))
+        others = [F.when(usable, text).alias(rest)]
     return parsed.select(
         *kept,
         *[F.when(usable, F.col(column)[f.name]).alias(f.name) for f in schema.fields],
+        *others,
+    )
+
+
+def promote_field(df: DataFrame, rest: str, name: str, kind: T.DataType | str) -> DataFrame:
+    """``df`` with a field of its VARIANT column ``rest`` as a typed column.
+
+    The field leaves ``rest`` in the rows where it fits the type; where it does
+    not it stays there, and the column is NULL, so nothing is lost. If the column
+    is there already, it is filled where it is NULL.
+    """
+    kind = T.DataType.fromDDL(kind) if isinstance(kind, str) else kind
+    value = field_of(F.col(f"`{rest}`"), name, kind)
+    fields = F.col(f"`{rest}`").cast(T.MapType(T.StringType(), T.VariantType()))
+    others = F.to_variant_object(F.map_filter(fields, lambda key, _: key != name))
+    promoted = value
+    moves = value.isNotNull()
+    if name in df.columns:
+        moves = moves & F.col(f"`{name}`").isNull()
+        promoted = F.coalesce(F.col(f"`{name}`"), value)
+    return df.withColumns(
+        {name: promoted, rest: F.when(moves, others).otherwise(F.col(f"`{rest}`"))}
     )

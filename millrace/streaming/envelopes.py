@@ -116,13 +116,14 @@ def land_available(
     stamp: bool = False,
     fmt: str = "text",
     options: Mapping[str, str] | None = None,
+    rest: str | None = None,
 ) -> DataFrame:
     """Land all new records below ``root/landed``, exactly once, by run and status.
 
     Returns the stream that was landed, for its schema.
     """
     base = root.rstrip("/")
-    tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema)
+    tagged = decode_tagged(read_envelopes(spark, source, fmt, options), schema, rest=rest)
     if stamp:
         tagged = stamp_load_time(tagged, LOAD_TIME_COLUMN)
     landing = tagged.withColumn(RUN_COLUMN, F.lit(run))
@@ -152,6 +153,7 @@ def ingest_available(
     slots: int | None = None,
     fmt: str = "text",
     options: Mapping[str, str] | None = None,
+    rest: str | None = None,
 ) -> str | None:
     """Decode all new envelopes and upsert their rows into a keyed table.
 
@@ -169,7 +171,8 @@ def ingest_available(
     rewritten, in place of a snapshot, and with ``slots`` only the hash slots of
     their keys; this needs ``keep_later``, so that a merge can be repeated.
 
-    With ``stamp`` rows carry the time they were landed. ``options`` go to the
+    With ``stamp`` rows carry the time they were landed, and with ``rest`` the
+    fields that the schema lacks, in a VARIANT column of that name. ``options`` go to the
     source, such as how many files to take in one micro-batch. Returns the
     folder of the table, or None if there was nothing to merge.
     """
@@ -179,7 +182,7 @@ def ingest_available(
         raise ValueError("give either partition_by or slots")
     base = root.rstrip("/")
     run = _next_run(spark, base, table)
-    landing = land_available(spark, source, schema, root, run, stamp, fmt, options)
+    landing = land_available(spark, source, schema, root, run, stamp, fmt, options, rest)
     landed = landed_records(spark, root, landing.schema)
     fields = [c for c in landing.columns if c not in (RUN_COLUMN, STATUS_COLUMN, RAW_COLUMN)]
     pending = landed.where(

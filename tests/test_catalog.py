@@ -12,6 +12,7 @@ from millrace.functions import (
     rewrite_path_scheme,
     rewrite_uri_scheme,
 )
+from millrace.sinks import upsert_partitioned_table
 from millrace.sources import catalog_scan, table_metadata
 
 
@@ -91,6 +92,38 @@ def test_partitioned_table_by_metadata(spark, rows, tmp_path):
     assert rows(catalog_scan(spark, described)) == [(1, "x"), (2, "y")]
 
 
+def test_partitions_that_an_upsert_moved_are_scanned_where_they_lie(spark, rows, tmp_path):
+    ddl = "a int, part string, v int"
+    place = ("moved_parts", str(tmp_path / "t"), ["part"], ["part", "a"], ["v"], [])
+    upsert_partitioned_table(spark.createDataFrame([(1, "x", 1), (2, "y", 1)], ddl), *place)
+    upsert_partitioned_table(spark.createDataFrame([(1, "x", 2), (3, "z", 2)], ddl), *place)
+    described = table_metadata(spark, "moved_parts")
+    got = catalog_scan(spark, described)
+    assert got.columns == ["a", "v", "part"]
+    assert rows(got) == [(1, 2, "x"), (2, 1, "y"), (3, 2, "z")]
+
+
+def test_partitions_of_a_document_may_lie_anywhere(spark, rows, tmp_path):
+    keys = [{"Name": "day", "Type": "date"}, {"Name": "n", "Type": "int"}]
+    document = metadata({"Name": "a", "Type": "int"}, partition_keys=keys)
+    places = ["new/day=2024-01-01/n=1", "old/day=2024-01-02/n=2", "elsewhere", "new/day=2024-01-01/n=9"]
+    values = [["2024-01-01", "1"], ["2024-01-02", "2"], ["2024-01-03", "3"]]
+    for i, place in enumerate(places):
+        spark.createDataFrame([(i,)], "a int").write.parquet(str(tmp_path / place))
+    document["Partitions"] = [
+        {"Values": v, "StorageDescriptor": {"Location": str(tmp_path / p)}}
+        for v, p in zip(values, places, strict=False)
+    ]
+    got = rows(catalog_scan(spark, document))
+    assert [(a, str(day), n) for a, day, n in got] == [
+        (0, "2024-01-01", 1), (1, "2024-01-02", 2), (2, "2024-01-03", 3)]
+    document["Partitions"] = []
+    assert rows(catalog_scan(spark, document)) == []
+    document["Partitions"] = [{"Values": ["2024-01-01", "1"], "StorageDescriptor": {}}]
+    with pytest.raises(MissingMetadataError, match="Location"):
+        catalog_scan(spark, document)
+
+
 def test_cast_to_schema(spark, rows):
     df = spark.createDataFrame(
         [("1", "2.50", "[1,2]", "x"), ("abc", None, "no", "y")],
