@@ -4,17 +4,20 @@ Every word picks, of its rarest bigrams, two that do not overlap: its pivots. On
 edit destroys at most one of them. Of two words that are one edit apart, the one
 whose rarest bigrams are rarer over all has a pivot among the rarest bigrams of
 the other. So pivots are joined with the other words' rarest bigrams, at the
-places that one edit allows, and what meets is compared.
+places that one edit allows and beside a half of the word that it leaves alone,
+and what meets is compared.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,61 +131,72 @@ def pivots(grams: Sequence[tuple[int, int]], weights: Sequence[int], wanted: int
     return list(best[wanted][-1][1])
 
 
-def _grams(words: DataFrame) -> DataFrame:
-    """words with the rarest grams of each and its pivots, as arrays of (gram, place)."""
+def halves(word: str, length: int) -> tuple[bytes, bytes]:
+    """What one edit between words of the word's and of this length leaves alone, one or the other."""
+    shorter = min(len(word), length)
+    first = shorter // 2
+    return word[:first].encode(), word[len(word) - (shorter - first) :].encode()
+
+
+def _meetings(word: str, lengths: Sequence[tuple[int, int]], grams: Sequence[tuple[int, int]], own: bool) -> list[int]:
+    """Numbers under which a word is indexed (``own``) or asks for others.
+
+    A number stands for a gram, its place in and the length of the indexed word,
+    the length of the other, and one half. ``lengths`` says how the indexed word
+    may differ from this one, in length and in the place of the gram.
+    """
+    found = []
+    for longer, later in lengths:
+        indexed, other = (len(word), len(word) + longer) if own else (len(word) + longer, len(word))
+        for half, text in enumerate(halves(word, len(word) + longer)):
+            for gram, place in grams:
+                where = f"{gram} {place + later} {indexed} {other} {half} ".encode()
+                found.append(xxhash.xxh3_64_intdigest(where + text) - (1 << 63))
+    return found
+
+
+def _indexed(words: DataFrame) -> DataFrame:
+    """words with the numbers under which each is indexed, and those under which it asks."""
     places = F.sequence(F.lit(1), F.length("word") - (GRAM - 1))
     distinct = F.array_distinct(F.transform(places, lambda i: F.substr("word", i, F.lit(GRAM))))
     # At most as many rows as there are pairs of letters.
     frequency = words.select(F.explode(distinct).alias("gram")).groupBy("gram").count().collect()
     ordered = sorted((r["count"], r["gram"]) for r in frequency)
     ranks = {gram: (rank, n) for rank, (n, gram) in enumerate(ordered)}
-    pair = pa.struct([("gram", pa.int32()), ("place", pa.int32())])
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes, chosen = [], []
+            kept, asked = [], []
             for word in batch.column(0).to_pylist():
                 all_grams = ((*ranks[word[i : i + GRAM]], i) for i in range(len(word) - GRAM + 1))
-                rarest = sorted((rank, place, n) for rank, n, place in all_grams)[:PREFIX_GRAMS]
+                rarest = heapq.nsmallest(PREFIX_GRAMS, ((rank, place, n) for rank, n, place in all_grams))
                 rarest.sort(key=lambda g: g[1])
                 grams = [(rank, place) for rank, place, _ in rarest]
-                kept = pivots(grams, [n for _, _, n in rarest])
-                prefixes.append([{"gram": g, "place": p} for g, p in grams])
-                chosen.append([prefixes[-1][i] for i in kept])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(prefixes, pa.list_(pair)), pa.array(chosen, pa.list_(pair))],
-                ["word", "n", "grams", "pivots"],
-            )
+                chosen = [grams[i] for i in pivots(grams, [n for _, _, n in rarest])]
+                kept.append(_meetings(word, [(0, 0), (1, 0), (-1, 0)], grams, True))
+                asked.append(_meetings(word, SHIFTS, chosen, False))
+            numbers = [pa.array(column, pa.list_(pa.int64())) for column in (kept, asked)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *numbers], ["word", "n", "kept", "asked"])
 
-    grams = "array<struct<gram: int, place: int>>"
-    return words.mapInArrow(pick, f"word string, n bigint, grams {grams}, pivots {grams}")
+    return words.mapInArrow(pick, "word string, n bigint, kept array<bigint>, asked array<bigint>")
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """a, b, n_a and n_b of all pairs of distinct words one edit apart, each once, a before b.
 
     ``words`` has word (distinct, at least ``PREFIX_GRAMS + 1`` characters) and n.
+    Besides a pivot, words that meet share a half, which the edit leaves alone; so
+    a gram that very many words have does not bring all of them together.
     """
-    chosen = stage(_grams(words), "word-grams", measure=[]).df
-    indexed = chosen.select(
-        "word", "n", F.length("word").alias("length"), F.inline("grams").alias("gram", "place")
-    )
-    shifts = F.array(*[F.struct(F.lit(a).alias("longer"), F.lit(b).alias("later")) for a, b in SHIFTS])
-    asked = (
-        chosen.select("word", "n", F.inline("pivots").alias("gram", "place"))
-        .select("*", F.inline(shifts))
-        .select(
-            F.col("word").alias("other"),
-            F.col("n").alias("n_other"),
-            "gram",
-            (F.col("place") + F.col("later")).alias("place"),
-            (F.length("word") + F.col("longer")).alias("length"),
-        )
+    indexed = stage(_indexed(words), "word-grams", measure=[]).df
+    ours = indexed.select("word", "n", F.explode("kept").alias("meeting"))
+    asking = indexed.select(
+        F.col("word").alias("other"), F.col("n").alias("n_other"), F.explode("asked").alias("meeting")
     )
     apart = F.levenshtein("word", "other", EDITS)
     first = F.col("word") < F.col("other")
     return (
-        indexed.join(asked, ["gram", "place", "length"])
+        ours.join(asking, "meeting")
         .where((F.col("word") != F.col("other")) & (apart == EDITS))
         .select(
             F.least("word", "other").alias("a"),
