@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.quality import KINDS, is_kind, number, sketch_size
-from millrace.operators.states import in_groups
+from millrace.operators.states import grouped_once
 
 TEXT = "Text"
 
@@ -96,12 +96,12 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         raise ValueError("no columns to profile")
     plain = df.select(*[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(fields)])
     partial = [F.count(F.lit(1)).alias("rows")]
-    merged = [F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")]
+    merged = [F.sum("rows").alias("rows")]
     for i, f in enumerate(fields):
         for name, column in _partial(f"c{i}", _declared(f.dataType)).items():
             partial.append(column.alias(f"{name}_{i}"))
             merged.append(_merge(name, f"{name}_{i}").alias(f"{name}_{i}"))
-    whole = in_groups(plain).groupBy("_group").agg(*partial).agg(*merged)
+    whole = grouped_once(plain, partial).agg(*merged)
     rows = [
         F.struct(
             F.lit(f.name).alias("column"),

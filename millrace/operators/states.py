@@ -31,13 +31,16 @@ FIELDS: dict[str, tuple[str, Callable[[Column], Column]]] = {
 }
 
 
-def in_groups(df: DataFrame, name: str = "_group", groups: int = MERGE_GROUPS) -> DataFrame:
-    """Rows with a small number that depends on the scan task alone.
+def grouped_once(df: DataFrame, partial: Sequence[Column], groups: int = MERGE_GROUPS) -> DataFrame:
+    """Partial aggregates over all rows, in a small number of rows to be merged.
 
-    An aggregate by it and then over all merges the tasks' partial results in
-    ``groups`` tasks first, and only their results in one.
+    Rows are grouped by their scan task modulo ``groups``, so no task merges the
+    sketches of all scan tasks. One result is that of no rows, so that there is
+    one even for an empty frame.
     """
-    return df.withColumn(name, F.pmod(F.spark_partition_id(), F.lit(groups)))
+    tasks = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("_group")
+    by_task = df.select("*", tasks).groupBy("_group").agg(*partial).drop("_group")
+    return by_task.unionByName(df.where(F.lit(False)).agg(*partial))
 
 
 def _merged(field: str, column: str) -> Column:
@@ -78,12 +81,8 @@ def metric_states(df: DataFrame, analyzers: Sequence[Analyzer], load: str) -> Da
             raise ValueError(f"{analyzer.label} has no state that merges")
     parts = [analyzer.state() for analyzer in analyzers]
     names = [(i, field) for i, part in enumerate(parts) for field in part]
-    by_group = (
-        in_groups(df)
-        .groupBy("_group")
-        .agg(*[parts[i][field].alias(f"{field}_{i}") for i, field in names])
-    )
-    whole = by_group.agg(*[_merged(field, f"{field}_{i}").alias(f"{field}_{i}") for i, field in names])
+    partial = [parts[i][field].alias(f"{field}_{i}") for i, field in names]
+    whole = grouped_once(df, partial).agg(*[_merged(field, f"{field}_{i}").alias(f"{field}_{i}") for i, field in names])
     rows = []
     for i, (analyzer, part) in enumerate(zip(analyzers, parts, strict=True)):
         texts = (load, analyzer.entity, analyzer.instance, analyzer.name)
