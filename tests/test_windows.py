@@ -21,7 +21,7 @@ from millrace.streaming import (
     windows,
 )
 
-SCHEMA = T.StructType().add("id", "int").add("k", "string").add("at", "timestamp_ntz")
+SCHEMA = T.StructType().add("id", T.IntegerType()).add("k", T.StringType()).add("at", T.TimestampNTZType())
 START = datetime(2024, 1, 1)
 
 
