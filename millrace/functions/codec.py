@@ -83,5 +83,5 @@ def other_fields(text: Column, names: Sequence[str]) -> Column:
 
 def field_of(variant: Column, name: str, kind: T.DataType) -> Column:
     """A field of a VARIANT object as a type; NULL if it is absent or does not fit."""
-    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
-    return F.try_variant_get(variant, f"$['{quoted}']", kind.simpleString())
+    fields = variant.cast(T.MapType(T.StringType(), T.VariantType()))
+    return F.try_variant_get(F.try_element_at(fields, F.lit(name)), "$", kind.simpleString())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.sources.files import EXACT_TEXT, scan_csv
 from millrace.sources.multiline import scan_csv_multiline
-from millrace.workspace import sql_settings
+from millrace.workspace import sql_settings, stored_bytes
 
 # Fixed value: size of one chunk of a split file.
 CHUNK_BYTES = 128 * 1024 * 1024
@@ -41,6 +41,15 @@ def rechunk_csv(
         "spark.sql.files.maxPartitionBytes": str(chunk_bytes),
         "spark.sql.files.openCostInBytes": str(chunk_bytes),
     }
+    if line_breaks:
+        # What is shuffled shall make files of the same size.
+        tasks = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")),
+            -(-stored_bytes(spark, source) // chunk_bytes),
+        )
+        settings["spark.sql.shuffle.partitions"] = str(tasks)
+        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(chunk_bytes)
+        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = str(chunk_bytes)
     with sql_settings(spark, settings):
         scan = scan_csv_multiline if line_breaks else scan_csv
         rows = scan(spark, source, sep, options={**EXACT_TEXT, **(options or {})})
