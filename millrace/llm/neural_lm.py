@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,29 +31,32 @@ from millrace.llm.text import as_bytes, quoted_col
 from millrace.workspace import stage
 
 # Units: single words, the end among them, and classes of the others.
-UNIT_WORDS = 384
-CLASSES = 128
+UNIT_WORDS = 160
+CLASSES = 96
 SUFFIX_BYTES = 3
 
 # The words whose counts are sent to tasks. With keys of at most KEY_BYTES they take
-# at most 20 MB; the counts of all others are joined.
-HEAD_WORDS = 1 << 18
+# at most 10 MB; the counts of all others are joined.
+HEAD_WORDS = 1 << 17
 KEY_BYTES = 64
 
-CONTEXT = 4
+CONTEXT = 3
 WIDTH = 16
 NOISE = 32
-BATCH = 512
-RATE = 0.2
+BATCH = 2048
+RATE = 0.4
 ROUNDS = 4
 
 # Tokens whose order is shuffled in training, and whose scores are held at a time.
 SHUFFLED_TOKENS = 1 << 16
 SCORED_TOKENS = 1 << 13
 
-# Distinct words and bytes that a task counts before it passes them on.
+# Bytes of texts that are scored together; a longer text is scored by itself.
+SCORED_BYTES = 1 << 17
+
+# Distinct words, and bytes of text, after which a task passes its counts on.
 HELD_WORDS = 400_000
-HELD_BYTES = 16_000_000
+HELD_BYTES = 1 << 27
 
 # Rows that the tasks' models are added up in before they reach the driver.
 MODEL_GROUPS = 64
@@ -81,6 +85,8 @@ def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
     """word (its key), class and c, the number of uses, of every distinct token."""
 
     def packed(held: Counter) -> pa.RecordBatch:
+        for word in [w for w in held if len(w) > KEY_BYTES]:
+            held[key_of(word)] += held.pop(word)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(list(held), pa.binary()),
@@ -94,13 +100,9 @@ def count_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
         held, size = Counter(), 0
         for batch in batches:
             for body in as_bytes(batch.column(0)):
-                found = Counter(tokens(body))
-                for word, n in found.items():
-                    if len(word) > KEY_BYTES:
-                        word = key_of(word)
-                    size += len(word)
-                    held[word] += n
-                if len(held) >= HELD_WORDS or size >= 8 * HELD_BYTES:
+                held.update(tokens(body))
+                size += len(body or b"")
+                if len(held) >= HELD_WORDS or size >= HELD_BYTES:
                     yield packed(held)
                     held, size = Counter(), 0
         if held:
@@ -124,29 +126,41 @@ class Vocabulary:
     unit_counts: np.ndarray
     unit_words: np.ndarray
 
+    @cached_property
+    def _units(self) -> dict[bytes, int]:
+        single = self.single
+
+        class Units(dict):
+            def __missing__(self, word: bytes) -> int:
+                if len(word) > KEY_BYTES:
+                    return self[key_of(word)]
+                return single + class_of(word)
+
+        return Units(zip(self.places, self.units.tolist(), strict=True))
+
     def share(self) -> np.ndarray:
         """Smoothed probability of every unit."""
         weight = self.unit_counts + ADDED * (self.unit_words + 1)
         return weight / weight.sum()
 
-    def look_up(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, Counter]:
-        """Place in the head (-1: none) and unit of each word; counts of the words without a place."""
+    def units_of(self, words: Sequence[bytes]) -> np.ndarray:
+        """Unit of each word."""
+        return np.array([self._units[word] for word in words], np.int16)
+
+    def look_up(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
+        """Place in the head (-1: none) and unit of each word; keys of the words without a place."""
         get = self.places.get
-        places = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
-        units = np.append(self.units, 0)[places]
-        others: Counter = Counter()
-        known: dict[bytes, tuple[bytes, int, int]] = {}
+        places = np.array([get(word, -1) for word in words], np.int64)
+        units = np.append(self.units, 0).astype(np.int16)[places]
+        others: dict[int, bytes] = {}
         for i in np.flatnonzero(places < 0).tolist():
-            word = words[i]
-            found = known.get(word)
-            if found is None:
-                key = key_of(word)
-                place = get(key, -1)
-                unit = self.units[place] if place >= 0 else self.single + class_of(key)
-                found = known[word] = (key, place, unit)
-            key, places[i], units[i] = found
+            key = words[i]
+            if len(key) > KEY_BYTES:
+                key = key_of(key)
+                places[i] = get(key, -1)
+            units[i] = self._units[key]
             if places[i] < 0:
-                others[key] += 1
+                others[i] = key
         return places, units, others
 
 
@@ -205,13 +219,17 @@ def read_vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def _sum_rows(places: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sum of the rows of each place, as a matrix of ``n`` rows."""
+    """Sum of the rows of each place, as a matrix of ``n`` rows.
+
+    Places may be several times as many as rows, which then repeat.
+    """
     order = np.argsort(places, kind="stable")
     ordered = places[order]
-    starts = np.flatnonzero(np.diff(ordered, prepend=-1))
+    starts = np.flatnonzero(np.diff(ordered, prepend=ordered[:1] - 1))
+    if len(places) > len(rows):
+        order %= len(rows)
     out = np.zeros((n, rows.shape[1]), np.float32)
-    if len(starts):
-        out[ordered[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    out[ordered[starts]] = np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
     return out
 
 
@@ -220,7 +238,7 @@ def contexts(units: np.ndarray, sizes: Sequence[int], begin: int) -> np.ndarray:
     sizes = np.asarray(sizes, np.int64)
     starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
     at = np.arange(len(units))
-    found = np.full((CONTEXT, len(units)), begin, np.int64)
+    found = np.full((CONTEXT, len(units)), begin, np.int16)
     for back in range(1, CONTEXT + 1):
         inside = at - back >= starts
         found[back - 1, inside] = units[(at - back)[inside]]
@@ -267,9 +285,10 @@ class Model:
 
     def hidden(self, before: np.ndarray) -> np.ndarray:
         """The sum of the scaled vectors of each token's context."""
-        out = np.zeros((before.shape[1], WIDTH), np.float32)
-        for back, scale in zip(before, self.scale, strict=True):
-            out += (self.context * scale)[back]
+        scaled = self.context * self.scale[:, None]
+        out = scaled[0].take(before[0], axis=0)
+        for back in range(1, CONTEXT):
+            out += scaled[back].take(before[back], axis=0)
         return out
 
     def learn(self, before: np.ndarray, unit: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> None:
@@ -278,26 +297,33 @@ class Model:
         ``log_noise`` is the logarithm of how many of a token's noise units are
         expected to be each unit.
         """
-        n, width = len(unit), self.predicted.shape[1]
-        hidden, own, others = self.hidden(before), self.predicted[unit], self.predicted[noise]
+        n, width, units = len(unit), self.predicted.shape[1], len(self.context)
+        hidden, own, others = self.hidden(before), self.predicted.take(unit, axis=0), self.predicted[noise]
+        offset = self.bias - log_noise
         # What is left to gain for the tokens, and to lose for the noise.
-        gain = np.einsum("bd,bd->b", hidden, own) + (self.bias - log_noise)[unit]
+        gain = (hidden * own).sum(axis=1) + offset.take(unit)
         gain = 1 / (1 + np.exp(np.clip(gain, -30, 30)))
-        lose = hidden @ others.T + (self.bias - log_noise)[noise]
-        lose = -1 / (1 + np.exp(np.clip(-lose, -30, 30)))
-        toward = gain[:, None] * own + lose @ others
+        lose = hidden @ others.T
+        lose += offset[noise]
+        np.clip(lose, -30, 30, out=lose)
+        np.exp(-lose, out=lose)
+        lose += 1
+        np.divide(-1, lose, out=lose)
+        toward = gain[:, None] * own
+        toward += lose @ others
         # The bias is the last column of the predicted vectors' sums.
-        rows = np.empty((n + len(noise), width + 1), np.float32)
-        rows[:n, :width], rows[:n, width] = gain[:, None] * hidden, gain
-        rows[n:, :width], rows[n:, width] = lose.T @ hidden, lose.sum(axis=0)
-        sums = _sum_rows(np.concatenate([unit, noise]), rows, len(self.bias)) / n
-        units = len(self.context)
-        spread = (before + (np.arange(CONTEXT) * units)[:, None]).ravel()
-        met = _sum_rows(spread, np.tile(toward, (CONTEXT, 1)), CONTEXT * units) / n
-        met = met.reshape(CONTEXT, units, width)
+        rows = np.empty((n, width + 1), np.float32)
+        np.multiply(hidden, gain[:, None], out=rows[:, :width])
+        rows[:, width] = gain
+        sums = _sum_rows(unit, rows, len(self.bias))
+        np.add.at(sums, noise, np.column_stack([lose.T @ hidden, lose.sum(axis=0)]))
+        sums /= n
+        spread = (before + (np.arange(CONTEXT, dtype=np.int16) * units)[:, None]).ravel()
+        met = _sum_rows(spread, toward, CONTEXT * units).reshape(CONTEXT, units, width)
+        met /= n
         changes = [
-            np.einsum("cud,cd->ud", met, self.scale),
-            np.einsum("cud,ud->cd", met, self.context),
+            (met * self.scale[:, None]).sum(axis=0),
+            (met * self.context).sum(axis=1),
             sums[:, :width],
             sums[:, width],
         ]
@@ -308,18 +334,22 @@ class Model:
     def log10_probabilities(self, before: np.ndarray, unit: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each unit after its context."""
         out = np.empty(len(unit))
+        predicted = np.column_stack([self.predicted, self.bias]).T.copy()
+        ones = np.ones(len(self.bias), np.float32)
+        longest = np.sqrt((predicted * predicted).sum(axis=0).max())
         for at in range(0, len(unit), SCORED_TOKENS):
             here = slice(at, at + SCORED_TOKENS)
-            scores = self.hidden(before[:, here]) @ self.predicted.T
-            scores += self.bias
+            hidden = self.hidden(before[:, here])
+            hidden = np.column_stack([hidden, np.ones(len(hidden), np.float32)])
+            scores = hidden @ predicted
             own = scores[np.arange(len(scores)), unit[here]].astype(float)
+            highest = np.zeros(len(scores))
             # Only scores far above what training gives need to be lowered first.
-            top = scores.max()
-            highest = scores.max(axis=1).astype(float) if top > 60 else np.zeros(len(scores))
-            if top > 60:
+            if np.sqrt((hidden * hidden).sum(axis=1).max()) * longest > 60:
+                highest = scores.max(axis=1).astype(float)
                 scores -= highest[:, None].astype(np.float32)
             np.exp(scores, out=scores)
-            out[here] = own - highest - np.log(scores.sum(axis=1, dtype=np.float64))
+            out[here] = own - highest - np.log((scores @ ones).astype(float))
         return out / np.log(10)
 
 
@@ -340,10 +370,10 @@ def _batches_of_units(
             words += found
             sizes.append(len(found))
             if len(words) >= most:
-                yield vocabulary.look_up(words)[1], sizes
+                yield vocabulary.units_of(words), sizes
                 words, sizes = [], []
     if words:
-        yield vocabulary.look_up(words)[1], sizes
+        yield vocabulary.units_of(words), sizes
 
 
 def _trained_once(texts: DataFrame, vocabulary: Vocabulary, model: Model, number: int) -> Model:
@@ -429,8 +459,7 @@ def score(docs: DataFrame, language: LanguageModel, text: str = "text", doc_id:
     def score_texts(ids: pa.Array, bodies: list, row: int) -> pa.RecordBatch:
         found = [tokens(body) for body in bodies]
         sizes = np.array([len(words) for words in found])
-        looked = [vocabulary.look_up(words) for words in found]
-        places, units = (np.concatenate([each[i] for each in looked]) for i in (0, 1))
+        places, units, beyond = vocabulary.look_up([word for words in found for word in words])
         inside = places >= 0
         log_count = np.where(inside, logs[places], 0)
         known = inside & (vocabulary.counts[places] > 0)
@@ -439,7 +468,11 @@ def score(docs: DataFrame, language: LanguageModel, text: str = "text", doc_id:
         chances += np.where(units >= vocabulary.single, log_count - room[units], 0)
         starts = np.cumsum(sizes) - sizes
         add = lambda values: np.add.reduceat(values, starts)
-        others = [[{"word": w, "n": n} for w, n in each[2].items()] for each in looked]
+        others = [[] for _ in found]
+        texts = np.repeat(np.arange(len(sizes)), sizes)[list(beyond)]
+        counted = Counter(zip(texts.tolist(), beyond.values(), strict=True))
+        for (number, word), n in counted.items():
+            others[number].append({"word": word, "n": n})
         columns = [
             pa.array(np.arange(row, row + len(sizes))),
             ids,
@@ -454,10 +487,12 @@ def score(docs: DataFrame, language: LanguageModel, text: str = "text", doc_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at in range(0, batch.num_rows, 16):
-                part = batch.slice(at, 16)
-                yield score_texts(part.column(0), as_bytes(part.column(1)), row)
-                row += part.num_rows
+            bodies, at, size = as_bytes(batch.column(1)), 0, 0
+            for end, body in enumerate(bodies, 1):
+                size += len(body or b"")
+                if size >= SCORED_BYTES or end == len(bodies):
+                    yield score_texts(batch.column(0).slice(at, end - at), bodies[at:end], row)
+                    row, at, size = row + end - at, end, 0
 
     schema = (
         f"row bigint, id {kind}, n_tokens bigint, n_known bigint, base_score double, score double, "
