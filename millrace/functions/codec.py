@@ -15,6 +15,7 @@ JSON_TIME_OPTIONS = {
 }
 
 CORRUPT_FIELD = "_corrupt_record"
+_FIELD = "x"
 
 
 def encode_base64(text: Column) -> Column:
@@ -46,20 +47,37 @@ def parse_json(text: Column, schema: T.StructType) -> Column:
 
     That field holds the raw text if the text is not one object of the
     declared types, and NULL otherwise. Missing fields are NULL, unknown
-    fields are dropped. The whole struct is NULL if the text is no JSON, or
-    has anything after the object.
+    fields are dropped. The whole struct is NULL if the text has anything
+    after the object.
+
+    The object is parsed once, as the only field of another, and the text once
+    more as the only item of a list: nothing that follows a value can close both.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT_FIELD, T.StringType())])
+    wrapped = T.StructType(
+        [T.StructField(_FIELD, schema), T.StructField(CORRUPT_FIELD, T.StringType())]
+    )
     parsed = F.from_json(
-        text,
-        with_corrupt,
+        F.concat(F.lit('{"' + _FIELD + '":'), text, F.lit("}")),
+        wrapped,
         {
             **JSON_TIME_OPTIONS,
             "mode": "PERMISSIVE",
             "columnNameOfCorruptRecord": CORRUPT_FIELD,
         },
     )
-    return F.when(is_one_json(text), parsed)
+
+    def opened(found: Column) -> Column:
+        corrupt = F.when(found[CORRUPT_FIELD].isNotNull() | found[_FIELD].isNull(), text)
+        fields = [found[_FIELD][name].alias(name) for name in schema.names]
+        return F.struct(*fields, corrupt.alias(CORRUPT_FIELD))
+
+    # A variable of a function, and not the column itself, which every mention of
+    # it would parse again.
+    return F.when(_in_list(text), F.transform(F.array(parsed), opened)[0])
+
+
+def _in_list(text: Column) -> Column:
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
 
 
 def is_one_json(text: Column) -> Column:
@@ -69,9 +87,8 @@ def is_one_json(text: Column) -> Column:
     text is parsed as the only item of a list and as the only field of an
     object: nothing that follows a value can close both.
     """
-    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return in_list.isNotNull() & in_object.isNotNull()
+    in_object = F.try_parse_json(F.concat(F.lit('{"' + _FIELD + '":'), text, F.lit("}")))
+    return _in_list(text) & in_object.isNotNull()
 
 
 def other_fields(text: Column, names: Sequence[str]) -> Column:
