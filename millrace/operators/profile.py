@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.partials import grouped_once
 from millrace.operators.quality import KINDS, is_kind, number, sketch_size
-from millrace.operators.states import grouped_once
 
 TEXT = "Text"
 

@@ -1,7 +1,7 @@
 """Data-quality metrics, checks and verification, returned as tables.
 
 All metrics that need no grouping are computed by one aggregate over one
-scan. Metrics over groups (uniqueness, exact distinct counts) share one
+scan; where sketches are among them, in two steps. Metrics over groups (uniqueness, exact distinct counts) share one
 shuffle per set of columns, counted before it, and read those columns only.
 """
 
@@ -17,6 +17,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.partials import FIELDS, grouped_once, merged, metric_values
+
 # Entity names of the metrics table.
 DATASET = "Dataset"
 COLUMN = "Column"
@@ -364,11 +366,29 @@ def _measure(df: DataFrame, analyzers: Iterable[Analyzer]) -> list[_Measured]:
                 .groupBy(*group_by)
                 .agg(F.count(F.lit(1)).alias(_GROUP_ROWS))
             )
+        if any("sketch" in a.state() for a in found if a.state is not None):
+            measured.append(_Measured(_in_steps(rows, list(found)), found))
+            continue
         metrics = [a.aggregate().alias(f"m{i}") for i, a in enumerate(found)]
         measured.append(_Measured(rows.agg(*metrics), found))
     return measured
 
 
+def _in_steps(df: DataFrame, analyzers: Sequence[Analyzer]) -> DataFrame:
+    """The metrics in one row, from one scan, without a task that merges all tasks' sketches."""
+    parts = [a.state() if a.state is not None else {} for a in analyzers]
+    names = [(i, field) for i, part in enumerate(parts) for field in part]
+    whole = grouped_once(df, [parts[i][f].alias(f"{f}_{i}") for i, f in names]).agg(
+        *[merged(f, f"{f}_{i}").alias(f"{f}_{i}") for i, f in names]
+    )
+
+    def value(i: int) -> Column:
+        field = lambda f: F.col(f"{f}_{i}") if f in parts[i] else F.lit(None).cast(FIELDS[f][0])
+        return metric_values(field)[analyzers[i].name].alias(f"m{i}")
+
+    return whole.select(*[value(i) for i in range(len(analyzers))])
+
+
 def _known(measured: Sequence[_Measured]) -> list[_Measured]:
     """Run the aggregates in one job; each metric is one number on the driver."""
     analyzers = [a for m in measured for a in m.columns]

@@ -7,62 +7,22 @@ them, so such metrics read no data again.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.partials import FIELDS, grouped_once, merged, metric_values
 from millrace.operators.quality import Analyzer
 
 LOAD_COLUMN = "load"
 IDENTITY = ("entity", "instance", "name")
 
-# Sketches of the scan tasks are merged in this many tasks before they meet in one.
-MERGE_GROUPS = 64
-
-# Every field of a state, its type and how two values of it become one.
-FIELDS: dict[str, tuple[str, Callable[[Column], Column]]] = {
-    "rows": ("bigint", F.sum),
-    "hits": ("bigint", F.sum),
-    "total": ("double", F.sum),
-    "least": ("double", F.min),
-    "most": ("double", F.max),
-    "sketch": ("binary", lambda c: F.hll_union_agg(c, F.lit(True))),
-}
-
-
-def grouped_once(df: DataFrame, partial: Sequence[Column], groups: int = MERGE_GROUPS) -> DataFrame:
-    """Partial aggregates over all rows, in a small number of rows to be merged.
-
-    Rows are grouped by their scan task modulo ``groups``, so no task merges the
-    sketches of all scan tasks. One result is that of no rows, so that there is
-    one even for an empty frame.
-    """
-    tasks = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("_group")
-    by_task = df.select("*", tasks).groupBy("_group").agg(*partial).drop("_group")
-    return by_task.unionByName(df.where(F.lit(False)).agg(*partial))
-
-
-def _merged(field: str, column: str) -> Column:
-    kind, merge = FIELDS[field]
-    return merge(F.col(column)).cast(kind)
-
 
 def _values() -> Column:
-    """The metric's value from the fields of its state; NULL if there is none."""
-    share = F.when(F.col("rows") > 0, F.col("hits").cast("double") / F.col("rows"))
-    by_name = {
-        "Size": F.col("rows").cast("double"),
-        "Completeness": share,
-        "Compliance": share,
-        "Mean": F.when(F.col("hits") > 0, F.col("total") / F.col("hits")),
-        "NotNumeric": F.col("hits").cast("double"),
-        "Minimum": F.col("least"),
-        "Maximum": F.col("most"),
-        "ApproxCountDistinct": F.hll_sketch_estimate("sketch").cast("double"),
-    }
+    """The metric's value from the fields of its state."""
     value = F.lit(None).cast("double")
-    for name, column in by_name.items():
+    for name, column in metric_values(F.col).items():
         value = F.when(F.col("name") == name, column).otherwise(value)
     return value
 
@@ -82,7 +42,7 @@ def metric_states(df: DataFrame, analyzers: Sequence[Analyzer], load: str) -> Da
     parts = [analyzer.state() for analyzer in analyzers]
     names = [(i, field) for i, part in enumerate(parts) for field in part]
     partial = [parts[i][field].alias(f"{field}_{i}") for i, field in names]
-    whole = grouped_once(df, partial).agg(*[_merged(field, f"{field}_{i}").alias(f"{field}_{i}") for i, field in names])
+    whole = grouped_once(df, partial).agg(*[merged(field, f"{field}_{i}").alias(f"{field}_{i}") for i, field in names])
     rows = []
     for i, (analyzer, part) in enumerate(zip(analyzers, parts, strict=True)):
         texts = (load, analyzer.entity, analyzer.instance, analyzer.name)
@@ -100,7 +60,7 @@ def metric_states(df: DataFrame, analyzers: Sequence[Analyzer], load: str) -> Da
 
 def merge_states(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One state for each metric (and value of ``by``) of all that are given."""
-    return states.groupBy(*by, *IDENTITY).agg(*[_merged(field, field).alias(field) for field in FIELDS])
+    return states.groupBy(*by, *IDENTITY).agg(*[merged(field, field).alias(field) for field in FIELDS])
 
 
 def metrics_of(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:

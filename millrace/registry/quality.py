@@ -89,18 +89,22 @@ def dq_approx_count_distinct(spark, sf_dir):
     return counted.select("o_orderpriority", within.alias("within_bounds"), "exact")
 
 
-_SCALED = "(o_totalprice - 150000) * 1e9"
+# Amounts as text, far beyond 1e12 on both sides of zero, and beyond any double.
+_AMOUNT = """CASE o_orderkey % 11 WHEN 0 THEN '-1e400' WHEN 1 THEN '1e400' WHEN 2 THEN '-Infinity'
+    WHEN 3 THEN 'NaN' WHEN 4 THEN 'none'
+    ELSE CAST(CAST(round(o_totalprice * 100) AS BIGINT) - 15000000 AS {}) || 'e9' END"""
 
 
 @query(
     "dq_non_negative_large",
-    f"""SELECT o_orderkey, {_SCALED} AS amount, 'amount is non-negative' AS violated
-        FROM orders WHERE {_SCALED} < 0""",
+    f"""SELECT o_orderkey, {_AMOUNT.format("VARCHAR")} AS amount, 'amount is non-negative' AS violated
+        FROM orders
+        WHERE o_orderkey % 11 IN (0, 2) OR o_orderkey % 11 > 4 AND round(o_totalprice * 100) < 15000000""",
 )
 def dq_non_negative_large(spark, sf_dir):
-    """Amounts far beyond 1e12 on both sides of zero."""
-    amounts = table(spark, sf_dir, "orders").select(
-        "o_orderkey", ((F.col("o_totalprice") - 150000) * 1e9).alias("amount")
+    """Large amounts and infinities of either sign; what is no number counts as zero."""
+    amounts = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", f"{_AMOUNT.format('STRING')} AS amount"
     )
     broken = violating_rows(amounts, {"amount is non-negative": non_negative("amount")})
     return broken.withColumn("violated", F.concat_ws(",", "violated"))

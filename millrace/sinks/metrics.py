@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.operators.partials import FIELDS
 from millrace.operators.quality import Analyzer
-from millrace.operators.states import FIELDS, LOAD_COLUMN, metric_states
+from millrace.operators.states import LOAD_COLUMN, metric_states
 from millrace.sinks.tables import overwrite_partitions
 
 
