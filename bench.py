@@ -46,6 +46,11 @@ HEADLINE = [
     "stream_upsert_latest",
     "sql_job",
     "sql_job_window",
+    "upsert_slotted_table",
+    "join_as_of",
+    "join_intervals",
+    "dq_profile",
+    "stream_windows",
 ]
 
 
