@@ -122,6 +122,16 @@ def test_large_group_of_differently_edited_copies(spark):
     assert sorted(tuple(r) for r in got) == sorted(components(rows))
 
 
+def test_only_wanted_texts_are_hashed(spark, plan_of):
+    docs = spark.createDataFrame([(i, prose(i, 20), *[None] * 6) for i in range(8)], SCHEMA)
+    nodes = spark.createDataFrame([(i, bytes([i]), i) for i in range(8)], "node bigint, set_id binary, least bigint")
+    pairs = spark.createDataFrame([(1, 2)], "a bigint, b bigint")
+    plan = plan_of(N._bodies(docs, nodes, pairs, "text", "doc_id"))
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    # Parents stand before their children.
+    assert plan.index("MapInArrow") < plan.index("LeftSemi")
+
+
 def test_empty_table(spark):
     assert found(nothing(spark)).count() == 0
     assert N.keep_one(nothing(spark)).count() == 0

@@ -15,6 +15,7 @@ import tiktoken
 
 from millrace.llm import bpe, mixing, quality_rules
 from millrace.llm.queries import ENCODING_RANKS, ORACLES, QUERIES
+from millrace.workspace import fresh_path
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +116,43 @@ def test_contract_lists_the_text_queries():
 
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
+
+
+def test_awkward_rows_and_empty_tables_pass_all_stages(spark):
+    """Rows without words fail the rules; of copies the smallest id stays; NULL ids are kept apart."""
+    from tests.llm.support import awkward, nothing, prose
+
+    more = [(100 + i, prose(50 + i, 120), None, None, None, None, None, None) for i in range(4)]
+    docs = awkward(spark).unionByName(spark.createDataFrame(more, awkward(spark).schema))
+    for frame in (docs, nothing(spark)):
+        rows = frame
+        for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            path = fresh_path(spark, f"awkward-{name}")
+            stage(spark, rows, "").write.parquet(path)
+            rows = spark.read.parquet(path)
+            if number < 4:
+                assert rows.columns == frame.columns
+            if number == 2 and frame is docs:
+                # What the mix takes of them is its own business.
+                assert {100, 101, 102, 103} <= {r.doc_id for r in rows.collect()}
+        got = rows.collect()
+        assert rows.columns == ["doc_id", "n_tokens", "token_ids", "text"]
+        if frame is docs:
+            ids = {r.doc_id for r in got}
+            assert ids & {100, 101, 102, 103} and not ids & {3, 4, 5, 6, 7}
+            texts = {r.doc_id: r.text for r in docs.collect()}
+            assert all(r.text == texts[r.doc_id] for r in got if r.doc_id not in (None, 2))
+        else:
+            assert got == []
+
+
+def test_token_counts_equal_the_library(spark, sf_dir):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(str(P.path("byte_bpe_50k.json")))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in QUERIES["op10_token_counts"](spark, sf_dir).collect()}
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        n = len(library.encode(r.text, add_special_tokens=False).ids)
+        assert got[r.doc_id] == (len(r.text.encode()), n)
