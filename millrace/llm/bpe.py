@@ -26,9 +26,14 @@ def encode(
     pattern: str,
     text: str = "text",
     doc_id: str = "doc_id",
+    decoded: bool = False,
 ) -> DataFrame:
     """One row per input row: id, n_tokens, and ids as little-endian 32-bit numbers.
 
+    With ``decoded`` the ids are decoded where they are put together, which takes
+    no further Python step: the columns are id, n_tokens, ``token_ids``, an array,
+    and ``decoded``, the bytes that they stand for.
+
     Each match of the pattern is encoded separately, without special tokens.
     The pattern must never match across the border between a non-space and a
     white space after it. NULL and empty texts have no tokens. Ids may be NULL
@@ -41,15 +46,33 @@ def encode(
         )
         return lambda words: [encoding.encode_ordinary(word) for word in words]
 
+    table = _bytes_by_id(ranks) if decoded else None
+
     def answer(block: Block, flat, starts, counts):
         tokens, packed = [], []
+        if decoded:
+            arrays, texts = [], []
+            for (numbers,) in block.texts:
+                ids = gather(flat, starts[numbers], counts[numbers])
+                arrays.append(ids.astype(np.int32))
+                texts.append(b"".join([table[i] for i in ids.tolist()]))
+            sizes = pa.array([len(ids) for ids in arrays], pa.int64())
+            return [sizes, pa.array(arrays, pa.list_(pa.int32())), pa.array(texts, pa.binary())]
         for (numbers,) in block.texts:
             ids = gather(flat, starts[numbers], counts[numbers])
             tokens.append(len(ids))
             packed.append(ids.astype("<u4").tobytes())
         return [pa.array(tokens, pa.int64()), pa.array(packed, pa.binary())]
 
-    return tokenised_once(docs, text, doc_id, tokenise, answer, "n_tokens bigint, ids binary")
+    columns = "token_ids array<int>, decoded binary" if decoded else "ids binary"
+    return tokenised_once(docs, text, doc_id, tokenise, answer, f"n_tokens bigint, {columns}")
+
+
+def _bytes_by_id(ranks: dict[bytes, int]) -> list[bytes | None]:
+    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        table[rank] = token
+    return table
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], arrays: bool = False) -> DataFrame:
@@ -59,9 +82,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], arrays: bool = False) ->
     the rank file and is sent to the tasks. An id that it lacks fails the job.
     With ``arrays`` the ids are added as ``token_ids``, an array column, too.
     """
-    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        table[rank] = token
+    table = _bytes_by_id(ranks)
     kept = encoded.drop("decoded", "token_ids")
     schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())])
     if arrays:

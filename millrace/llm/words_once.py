@@ -5,7 +5,10 @@ words and keeps its texts as sequences of these numbers, which are the words'
 positions. Only the distinct words of each block are shuffled by word: there
 equal words of all blocks meet, are tokenised once, and the answers go back to
 the blocks that asked. So a word that every document uses arrives once per
-block and not once per use, and no exploded position is ever shuffled.
+block and not once per use, and no exploded position is ever shuffled. What one
+Python call gets of a bucket is bounded: blocks are dealt to spans, and each span
+has its words tokenised apart, so a word that all blocks ask for is no single
+task's work.
 
 A word here is a run of white space and the run of other characters after it,
 or white space at the end of a text. White space is what Unicode calls so. The
@@ -35,6 +38,10 @@ UNIT = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 # Words after which a block ends; a longer text is a block of its own.
 BLOCK_WORDS = 500_000
 
+# Partitions, and blocks of each, that make a span: within one, equal words meet.
+SPAN_PARTITIONS = 64
+SPAN_BLOCKS = 8
+
 
 def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The runs ``flat[start : start + count]`` one after another."""
@@ -165,6 +172,10 @@ def tokenised_once(
             content.update(np.array([len(words), block.size, *block.lengths], np.int64).tobytes())
             yield f"{place}-{number}-{content.hexdigest()}", block, words, bucket
 
+    def span_of(name):
+        place, number, _ = name.split("-")
+        return f"{int(place) // SPAN_PARTITIONS}-{int(number) // SPAN_BLOCKS}"
+
     def asked(batches):
         for name, _, words, bucket in read(batches):
             order = np.argsort(bucket, kind="stable")
@@ -176,11 +187,12 @@ def tokenised_once(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name] * len(parts), pa.string()),
+                    pa.array([span_of(name)] * len(parts), pa.string()),
                     pa.array(bucket[order][edges[:-1]], pa.int32()),
                     pa.array([body for body, _ in parts], pa.binary()),
                     pa.array([sizes for _, sizes in parts], pa.binary()),
                 ],
-                ["block", "bucket", "body", "sizes"],
+                ["block", "span", "bucket", "body", "sizes"],
             )
 
     def sequences(batches):
@@ -253,8 +265,8 @@ def tokenised_once(
                 column.append(values)
         return pa.table([pa.chunked_array(c) for c in columns], names)
 
-    words = rows.mapInArrow(asked, "block string, bucket int, body binary, sizes binary")
-    coded = words.groupBy("bucket").applyInArrow(
+    words = rows.mapInArrow(asked, "block string, span string, bucket int, body binary, sizes binary")
+    coded = words.groupBy("bucket", "span").applyInArrow(
         answered, "block string, bucket int, counts binary, numbers binary"
     )
     texts = rows.mapInArrow(
