@@ -46,10 +46,8 @@ def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Token ids of every row of the stream, with the bytes they decode to."""
     small_batches(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(ENCODING_RANKS))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks, arrays=True).selectExpr(
-        "id AS doc_id", "n_tokens", "token_ids", "CAST(decoded AS STRING) AS text"
-    )
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return encoded.selectExpr("id AS doc_id", "n_tokens", "token_ids", "CAST(decoded AS STRING) AS text")
 
 
 STAGES = [
