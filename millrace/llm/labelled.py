@@ -31,17 +31,20 @@ def labelled_sample(
 
     Rows without an id or a label, and rows that ``learnable`` refuses, are
     never chosen. The chosen ids are broadcast, as ``most`` bounds their number.
+    Of several rows with one id the smallest text counts, so repeated rows do not
+    add to the sample; an id with two labels is two rows of it.
     """
     chosen = (
         labels.select(quoted_col(doc_id).alias("id"), quoted_col(label).alias("label"))
         .where(F.col("id").isNotNull() & F.col("label").isNotNull() & learnable(F.col("id")))
+        .distinct()
         .orderBy(F.md5(F.col("id").cast("string")), "id", "label")
         .limit(most)
     )
     texts = docs.select(quoted_col(doc_id).alias("id"), quoted_col(text).alias("text"))
-    return texts.join(F.broadcast(chosen), "id").select(
-        "id", "text", F.col("label").cast("int").alias("label")
-    )
+    # Each task keeps one text of an id, however often it is repeated.
+    found = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    return found.select("id", "text", F.col("label").cast("int").alias("label"))
 
 
 def fit_in_one_task(

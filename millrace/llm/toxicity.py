@@ -37,9 +37,9 @@ class GramSet:
         self.seen = np.zeros(BUCKETS, bool)
 
     def __call__(self, text: bytes | None) -> np.ndarray:
-        """Bytes stand for characters; upper case and runs of blanks do not count."""
+        """Upper case (A to Z) and runs of blanks do not count."""
         body = b" " + b" ".join((text or b"").lower().split()) + b" "
-        letters = np.frombuffer(body, np.uint8).astype(np.uint32)
+        letters = np.frombuffer(body.decode(errors="replace").encode("utf-32-le"), "<u4")
         running = np.zeros(len(letters), np.uint32)
         for length in range(1, max(GRAMS) + 1):
             ends = len(letters) - length + 1

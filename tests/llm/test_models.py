@@ -7,7 +7,7 @@ import numpy as np
 from support import LONG, awkward, awkward_rows, nothing, prose
 
 from millrace.llm import quality_model, toxicity
-from millrace.llm.labelled import remainder
+from millrace.llm.labelled import labelled_sample, remainder
 
 RUDE = ["blorf", "znarky", "quibbad"]
 
@@ -83,12 +83,60 @@ def test_awkward_rows_empty_tables_and_no_labels(spark):
         assert {r.score for r in module.score(docs, None).collect()} == {0.5}
 
 
-def test_the_sample_is_bounded(spark):
+def test_the_sample_is_bounded_in_rows_however_often_ids_repeat(spark):
     docs, labels, _ = labelled(spark)
-    small = toxicity.train(docs, labels, sample_rows=20)
-    assert small != toxicity.train(docs, labels)
+    repeated = docs.unionByName(docs.where("doc_id < 40").withColumn("text", docs["text"].substr(1, 50)))
+    repeated = repeated.unionByName(docs.where("doc_id = 8").crossJoin(spark.range(3000)).drop("id"))
+    sample = labelled_sample(repeated, labels, "quality", lambda i: i >= 0, 10)
+    rows = sample.collect()
+    assert len(rows) == 10 and len({r.id for r in rows}) == 10
+    whole = labelled_sample(repeated, labels, "quality", lambda i: i == 8, 10).collect()
+    text = docs.where("doc_id = 8").first().text
+    assert [(r.id, r.text, r.label) for r in whole] == [(8, min(text, text[:50]), 0)]
+    # Repeated rows of one text change nothing.
+    plain = labelled_sample(docs, labels, "quality", lambda i: i >= 0, 50).collect()
+    twice = labelled_sample(docs.unionByName(docs), labels.unionByName(labels), "quality", lambda i: i >= 0, 50)
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, twice.collect()))
 
 
 def test_whole_texts_are_scored():
     grams = toxicity.GramSet()
     assert set(grams((LONG + " blorf").encode())) > set(grams(LONG.encode()))
+
+
+def ngrams(text):
+    """The distinct n-grams of a text, one character after another."""
+    body = f" {' '.join(''.join(chr(ord(c) + 32) if 'A' <= c <= 'Z' else c for c in text).split(' '))} "
+    return {body[i : i + n] for n in toxicity.GRAMS for i in range(len(body) - n + 1)}
+
+
+def test_grams_are_of_characters_and_scores_are_their_sums(spark):
+    grams = toxicity.GramSet()
+    # Two bytes each, but one character.
+    assert len(grams("éà".encode())) == len(ngrams("éà")) == 1
+    text = "Übel RIECHENDE ﬁsche – ja"
+    assert len(grams(text.encode())) == len(ngrams(text))
+    assert set(grams("a É".encode())) != set(grams("a é".encode()))
+    texts = ["blorf now", "so nice", "nice blorf", "very nice day", "znarky blorf"]
+    labels = np.array([1.0, 0, 1, 0, 1])
+    ratios, counts = toxicity.log_count_ratios([grams(t.encode()) for t in texts], labels)
+    for gram in ngrams("nice blorf"):
+        place = grams(gram.encode())
+        inside = [gram in ngrams(t) for t in texts]
+        if len(gram) == max(toxicity.GRAMS) and not gram.startswith(" ") and not gram.endswith(" "):
+            # The gram's own place is among those of the text that holds it.
+            number = set(grams(f"{gram}".encode())) & set(grams(b"nice blorf"))
+            assert number
+        toxic = 1 + sum(i for i, label in zip(inside, labels, strict=True) if label)
+        other = 1 + sum(i for i, label in zip(inside, labels, strict=True) if not label)
+        want = np.log(toxic / (labels.sum() + 2)) - np.log(other / ((1 - labels).sum() + 2))
+        assert np.isclose(ratios, want).any() and len(place)
+    docs, truth, _ = labelled(spark)
+    model = toxicity.train(docs, truth)
+    import io
+
+    parts = np.load(io.BytesIO(model))
+    for row in toxicity.score(docs.limit(20), model).collect():
+        body = docs.where(docs["doc_id"] == row.id).first().text
+        total = float(parts["bias"]) + sum(float(parts["table"][g]) for g in set(grams(body.encode()).tolist()))
+        assert np.isclose(row.score, 1 / (1 + np.exp(-total)), rtol=1e-4)
