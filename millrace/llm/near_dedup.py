@@ -45,8 +45,8 @@ CHUNK_ERRORS = 2
 MOST_DIFFERENCES = CHUNKS * (CHUNK_ERRORS + 1) - 1
 # Next rows of a mixed bucket that a row is compared with before all others are.
 NEIGHBOURS = 8
-# Rows of a bucket that one task holds to compare other rows with.
-BLOCK_ROWS = 1024
+# Rows of a bucket that are compared with as many others at a time.
+BLOCK_ROWS = 256
 
 # Bits of each symbol that travel with the index rows.
 SKETCH_BITS = 2
@@ -83,11 +83,6 @@ def set_digest(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
-@arrow_udf(T.BinaryType())
-def set_id(texts: pa.Array) -> pa.Array:
-    return pa.array([set_digest(shingle_set(t)) for t in as_bytes(texts)], pa.binary())
-
-
 def sign(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """id, n_shingles, set_id and signature of every row; the last two NULL without words."""
     rows = docs.select(quoted_col(doc_id).alias("id"), quoted_col(text).alias("text"))
@@ -206,11 +201,6 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, percent: int = SIMILARITY_PER
     return map_batches(joined, compared, "a bigint, b bigint")
 
 
-@arrow_udf(T.BinaryType())
-def packed(texts: pa.Array) -> pa.Array:
-    return pa.array([zlib.compress(t, 1) for t in as_bytes(texts)], pa.binary())
-
-
 def _bodies(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """The packed text of one document of every node in the pairs.
 
@@ -232,12 +222,22 @@ def _bodies(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text: str, doc_
     texts = docs.select(quoted_col(doc_id).alias("id"), quoted_col(text).alias("text"))
     known = texts.join(chosen.select(F.col("least").alias("id")), "id", "left_semi")
     unknown = texts.where("id IS NULL")
-    # All documents of a node have one and the same set, so any of them will do.
-    found = known.unionByName(unknown).withColumn("set_id", set_id("text"))
+
+    def described(batch):
+        texts = as_bytes(batch.column(0))
+        ids = [set_digest(shingle_set(t)) for t in texts]
+        bodies = [None if i is None else zlib.compress(t, 1) for i, t in zip(ids, texts, strict=True)]
+        columns = [pa.array(ids, pa.binary()), pa.array(bodies, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["set_id", "body"])
+
+    # Hashed behind the join: a condition on a column that is computed row by row
+    # would be tested before it, on every text. All documents of a node have one
+    # and the same set, so any of them will do.
+    found = map_batches(known.unionByName(unknown).select("text"), described, "set_id binary, body binary")
     return (
         found.join(chosen.select("node", "set_id"), "set_id")
         .groupBy("node")
-        .agg(F.min(packed("text")).alias("body"))
+        .agg(F.min("body").alias("body"))
     )
 
 
@@ -282,9 +282,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text, doc_id)), "links").df
     labels = smallest_reachable(links)
 
-    for others in (_near_others, _all_others):
-        rest = others(_mixed(buckets, labels)).join(pairs, ["a", "b"], "left_anti")
-        more = stage(within_distance(rest, nodes), "pairs")
+    for near in (_near_others, _all_others):
+        found = near(_mixed(buckets, labels), nodes)
+        more = stage(found.join(pairs, ["a", "b"], "left_anti"), "pairs")
         if more.rows:
             new = stage(confirmed(more.df, _bodies(docs, nodes, more.df, text, doc_id)), "links")
             if new.rows:
@@ -347,13 +347,8 @@ def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _distinct_pairs(found: DataFrame) -> DataFrame:
-    node, near = F.col("member.node"), F.col("other.node")
-    return found.select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b")).distinct()
-
-
-def _near_others(mixed_up: DataFrame) -> DataFrame:
-    """Distinct pairs of rows of different components that are near in their bucket."""
+def _near_others(mixed_up: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct pairs of near rows of different components that are neighbours in a bucket."""
     order = Window.partitionBy("key").orderBy(F.xxhash64("key", "member.node"), "member")
     other = F.struct("member", "label")
     following = F.array(*[F.lead(other, n).over(order) for n in range(1, NEIGHBOURS + 1)])
@@ -361,21 +356,20 @@ def _near_others(mixed_up: DataFrame) -> DataFrame:
         "following",
         lambda x: (x["label"] != F.col("label")) & may_be_near(F.col("member"), x["member"]),
     )
-    return _distinct_pairs(
-        mixed_up.withColumn("following", following)
-        .select("member", F.explode(worth).alias("other"))
-        .select("member", F.col("other.member").alias("other"))
-    )
+    node, near = F.col("member.node"), F.col("other.member.node")
+    met = mixed_up.withColumn("following", following).select("member", F.explode(worth).alias("other"))
+    pairs = met.select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b")).distinct()
+    return within_distance(pairs, nodes)
 
 
-def _all_others(mixed_up: DataFrame) -> DataFrame:
-    """Distinct pairs of rows of different components that share a bucket.
+def _all_others(mixed_up: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct pairs of rows of different components that share a bucket and are near.
 
     A bucket's components stand one behind another, the largest last, and a
-    row meets all rows behind its own component. Buckets are cut into blocks
-    of ``BLOCK_ROWS``, each of which may be met in another task, so a large
-    component costs its rows once for every row outside it and a large bucket
-    is no single task's work.
+    row meets all rows behind its own component. Buckets are cut into blocks of
+    ``BLOCK_ROWS``, and a pair of blocks is one row that holds the signatures of
+    both, so a large bucket is no single task's work, and of all pairs only those
+    within the distance leave the task that compares them.
     """
     whole = Window.partitionBy("key")
     own = Window.partitionBy("key", "label")
@@ -386,22 +380,50 @@ def _all_others(mixed_up: DataFrame) -> DataFrame:
         .withColumn("place", F.row_number().over(by_label.orderBy("own", "label", "member")) - 1)
         # The default frame ends with the last row of the same component.
         .withColumn("behind", F.count(F.lit(1)).over(by_label))
+        .select("key", "size", "place", "behind", F.col("member.node").alias("node"))
     )
     block = lambda place: F.floor(place / BLOCK_ROWS).cast("int")
-    first = placed.where("behind < size").select(
-        "key",
-        "member",
-        "behind",
-        F.explode(F.sequence(block(F.col("behind")), block(F.col("size") - 1))).alias("block"),
-    )
-    second = placed.select(
-        "key", F.col("member").alias("other"), "place", block(F.col("place")).alias("block")
-    )
-    return _distinct_pairs(
-        first.join(second, ["key", "block"]).where(
-            (F.col("place") >= F.col("behind")) & may_be_near(F.col("member"), F.col("other"))
+    blocks = (
+        placed.join(nodes.select("node", "signature"), "node")
+        .groupBy("key", block(F.col("place")).alias("block"))
+        .agg(
+            F.max("size").alias("size"),
+            F.min("behind").alias("behind"),
+            F.collect_list(F.struct("node", "place", "behind", "signature")).alias("rows"),
         )
     )
+    met = F.sequence(block(F.col("behind")), block(F.col("size") - 1))
+    first = blocks.where("behind < size").select(
+        "key", F.col("rows").alias("ours"), F.explode(met).alias("block")
+    )
+    second = blocks.select("key", "block", F.col("rows").alias("theirs"))
+    pairs = first.join(second, ["key", "block"]).select("ours", "theirs")
+    return map_batches(pairs, _near_in_blocks, "a bigint, b bigint").distinct()
+
+
+def _near_in_blocks(batch: pa.RecordBatch):
+    """Pairs of near rows from two blocks, each of a row and one behind its component."""
+
+    def unpacked(column):
+        flat = column.flatten()
+        numbers = [flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
+        symbols = np.frombuffer(b"".join(flat.field(3).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            yield *[n[start:end] for n in numbers], symbols[start:end]
+
+    for ours, theirs in zip(unpacked(batch.column(0)), unpacked(batch.column(1)), strict=True):
+        node, _, behind, symbols = ours
+        other, place, _, others = theirs
+        for at in range(0, len(node), 64):
+            here = slice(at, at + 64)
+            apart = (symbols[here, None] != others[None]).sum(axis=2)
+            near = (apart <= MOST_DIFFERENCES) & (place[None] >= behind[here, None])
+            first, second = np.nonzero(near)
+            if len(first):
+                x, y = node[here][first], other[second]
+                columns = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -416,9 +438,17 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     order = F.struct(
         F.col("doc")[doc_id].isNull(), F.col("doc")[doc_id], F.xxhash64(F.col("doc")[text])
     )
+    at = docs.columns.index(text)
+
+    def named(batch):
+        texts = as_bytes(batch.column(0).field(at))
+        ids = [set_digest(shingle_set(t)) for t in texts]
+        yield batch.append_column("set_id", pa.array(ids, pa.binary()))
+
+    # Hashed in a step of its own, as in ``_bodies``.
+    worded = docs.where(has_words).select(whole_row(docs))
     grouped = (
-        docs.where(has_words)
-        .select(whole_row(docs), set_id(quoted_col(text)).alias("set_id"))
+        map_batches(worded, named, T.StructType([*worded.schema.fields, T.StructField("set_id", T.BinaryType())]))
         .join(labels, "set_id")
         .groupBy("node")
         .agg(F.min_by("doc", order).alias("doc"))
