@@ -105,8 +105,11 @@ def test_all_pairs_of_other_components_in_a_bucket_are_compared(spark, monkeypat
     labels = spark.createDataFrame(
         [(n, l) for n, l in label.items() if n in (2, 3) or 40 <= n < 50], "node bigint, label bigint"
     )
-    got = [tuple(r) for r in N._all_others(N._mixed(shared, labels)).collect()]
-    want = {(a, b) for b in range(60) for a in range(b) if label[a] != label[b]}
+    # All signatures are equal, but that of 59 is far from the others.
+    signature = lambda n: np.full(N.SYMBOLS, n == 59, np.uint16).tobytes()
+    nodes = spark.createDataFrame([(n, signature(n)) for n in range(60)], "node bigint, signature binary")
+    got = [tuple(r) for r in N._all_others(N._mixed(shared, labels), nodes).collect()]
+    want = {(a, b) for b in range(59) for a in range(b) if label[a] != label[b]}
     assert len(got) == len(want) and set(got) == want
 
 
