@@ -35,21 +35,27 @@ def rechunk_csv(
     then records are put together from the lines of all splits, of which those
     with such fields are shuffled.
     """
-    # A file smaller than a chunk must not be packed with others, and one
-    # larger must not be cut finer than asked to keep idle cores busy.
-    settings = {
-        "spark.sql.files.maxPartitionBytes": str(chunk_bytes),
-        "spark.sql.files.openCostInBytes": str(chunk_bytes),
-    }
     if line_breaks:
-        # What is shuffled shall make files of the same size.
-        tasks = max(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            -(-stored_bytes(spark, source) // chunk_bytes),
-        )
-        settings["spark.sql.shuffle.partitions"] = str(tasks)
-        settings["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(chunk_bytes)
-        settings["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = str(chunk_bytes)
+        # What is shuffled shall make files of the same size. The splits stay those
+        # of the session: every one of them writes a block for each of these tasks.
+        size = stored_bytes(spark, source)
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes))
+        settings = {
+            "spark.sql.shuffle.partitions": str(tasks),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(chunk_bytes),
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(chunk_bytes),
+        }
+        # Records of one line are not shuffled. A task that has many cuts them.
+        lines = spark.read.option("lineSep", "\n").text(source).count()
+        fitting = max(chunk_bytes * lines // max(size, 1), 1)
+        max_records = fitting if max_records is None else min(max_records, fitting)
+    else:
+        # A file smaller than a chunk must not be packed with others, and one
+        # larger must not be cut finer than asked to keep idle cores busy.
+        settings = {
+            "spark.sql.files.maxPartitionBytes": str(chunk_bytes),
+            "spark.sql.files.openCostInBytes": str(chunk_bytes),
+        }
     with sql_settings(spark, settings):
         scan = scan_csv_multiline if line_breaks else scan_csv
         rows = scan(spark, source, sep, options={**EXACT_TEXT, **(options or {})})

@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import decode_envelope, encode_envelope, rechunk_csv
+from millrace.operators import decode_envelope, encode_envelope, layout, rechunk_csv
 from millrace.plans import load_event
 from millrace.sources import promote_field, records_to_rows, scan_csv_multiline, text_records
 from millrace.workspace import sql_settings
@@ -70,6 +70,24 @@ def test_rechunk_keeps_line_breaks(spark, tmp_path):
     assert sorted(found) == sorted(rows)
 
 
+def test_small_chunks_do_not_square_the_shuffle(spark, tmp_path, monkeypatch):
+    """Lines are read in the session's splits, whose number does not grow with that of the chunks."""
+    rows = odd_rows(4, 2000)
+    written(tmp_path / "in" / "a.csv", rows)
+    seen = []
+
+    def scan(*given, **options):
+        found = scan_csv_multiline(*given, **options)
+        seen.append(spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions())
+        return found
+
+    monkeypatch.setattr(layout, "scan_csv_multiline", scan)
+    rechunk_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), chunk_bytes=1000, line_breaks=True)
+    files = list((tmp_path / "out").glob("part-*.csv"))
+    assert len(files) > 20 and max(f.stat().st_size for f in files) < 8000
+    assert seen[0] <= spark.sparkContext.defaultParallelism + 1
+
+
 def test_an_empty_file_has_no_header(spark, tmp_path):
     (tmp_path / "a.csv").write_text("")
     with pytest.raises(ValueError, match="header"):
