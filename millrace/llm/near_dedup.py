@@ -43,10 +43,17 @@ CHUNK_ERRORS = 2
 # A pair at the least similarity, 0.75, differs in 12 places on average and in
 # more than 20 with a probability of 0.3 %; one at 0.8 with less than 0.01 %.
 MOST_DIFFERENCES = CHUNKS * (CHUNK_ERRORS + 1) - 1
-# Next rows of a mixed bucket that a row is compared with before all others are.
-NEIGHBOURS = 8
 # Rows of a bucket that are compared with as many others at a time.
 BLOCK_ROWS = 256
+# Rows from which on a bucket is compared with its texts, and only links leave it.
+LARGE_BUCKET = 16
+# Shingles, and rows, of such a bucket that are compared with as many others at a time.
+BLOCK_SHINGLES = 1 << 18
+LARGE_BLOCK_ROWS = 2048
+# Sets that share a shingle up to which their pairs are counted one by one.
+FEW_SETS = 16
+# Shingles whose sets are multiplied at a time.
+PRODUCT_SHINGLES = 4096
 
 # Bits of each symbol that travel with the index rows.
 SKETCH_BITS = 2
@@ -252,18 +259,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     empty table gives an empty result.
 
     No bucket is expanded into all pairs at once. A row is compared with the
-    central one of its bucket, and links so found join components. Where a
-    bucket then still holds several, a row is compared with those of the next
-    ``NEIGHBOURS`` rows that are of other components, in an order that differs
-    between buckets. In buckets that are mixed even then, every pair of rows
-    of different components is compared. So two rows with a bucket in common
-    are in one component in the end, or were compared.
+    central one of its bucket, and links so found join components. In buckets
+    that then still hold several, every pair of rows of different components
+    is compared: those of large ones in the task that has their texts, which
+    only links between components leave, and those of small ones as pairs.
+    So two rows with a bucket in common are in one component in the end, or
+    were compared.
     """
     signed = stage(sign(docs, text, doc_id), "signatures").df
     nodes = stage(
         signed.where("set_id IS NOT NULL")
         .groupBy("set_id")
-        .agg(F.min("id").alias("least"), F.min("signature").alias("signature"))
+        .agg(
+            F.min("id").alias("least"),
+            F.min("signature").alias("signature"),
+            F.max("n_shingles").alias("n_shingles"),
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     ).df
@@ -282,15 +293,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     links = stage(confirmed(pairs, _bodies(docs, nodes, pairs, text, doc_id)), "links").df
     labels = smallest_reachable(links)
 
-    for near in (_near_others, _all_others):
-        found = near(_mixed(buckets, labels), nodes)
-        more = stage(found.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if more.rows:
-            new = stage(confirmed(more.df, _bodies(docs, nodes, more.df, text, doc_id)), "links")
-            if new.rows:
-                links = links.unionByName(new.df)
-                labels = smallest_reachable(links)
-            pairs = pairs.unionByName(more.df)
+    large = stage(_mixed(buckets, labels).where(F.col("size") >= LARGE_BUCKET), "large")
+    if large.rows:
+        each = large.df.select(F.col("member.node").alias("a")).distinct()
+        bodies = _bodies(docs, nodes, each.withColumn("b", F.col("a")), text, doc_id)
+        new = stage(_links_in_large(large.df, nodes, bodies), "links")
+        if new.rows:
+            links = links.unionByName(new.df)
+            labels = smallest_reachable(links)
+
+    found = _all_others(_mixed(buckets, labels).where(F.col("size") < LARGE_BUCKET), nodes)
+    more = stage(found.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if more.rows:
+        new = stage(confirmed(more.df, _bodies(docs, nodes, more.df, text, doc_id)), "links")
+        if new.rows:
+            labels = smallest_reachable(links.unionByName(new.df))
 
     placed = (
         nodes.select("set_id", "node", "least")
@@ -334,7 +351,7 @@ def _stars(buckets: DataFrame) -> DataFrame:
 
 
 def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """key, member and label of the rows of buckets that hold several components."""
+    """key, member, label and the bucket's size, of the rows of buckets that hold several components."""
     whole = Window.partitionBy("key")
     return (
         shared.select("key", "member", F.col("member.node").alias("node"))
@@ -342,24 +359,125 @@ def _mixed(shared: DataFrame, labels: DataFrame) -> DataFrame:
         .select("key", "member", F.coalesce("label", "node").alias("label"))
         .withColumn("low", F.min("label").over(whole))
         .withColumn("high", F.max("label").over(whole))
+        .withColumn("size", F.count(F.lit(1)).over(whole))
         .where("low <> high")
-        .select("key", "member", "label")
+        .select("key", "member", "label", "size")
     )
 
 
-def _near_others(mixed_up: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Distinct pairs of near rows of different components that are neighbours in a bucket."""
-    order = Window.partitionBy("key").orderBy(F.xxhash64("key", "member.node"), "member")
-    other = F.struct("member", "label")
-    following = F.array(*[F.lead(other, n).over(order) for n in range(1, NEIGHBOURS + 1)])
-    worth = F.filter(
-        "following",
-        lambda x: (x["label"] != F.col("label")) & may_be_near(F.col("member"), x["member"]),
+def common_counts(ours: list[np.ndarray], theirs: list[np.ndarray]) -> np.ndarray:
+    """Shingles that each of our sets has in common with each of theirs.
+
+    Shingles of few sets are counted pair by pair; the sets of the others are
+    multiplied as rows of zeros and ones.
+    """
+    n = len(ours)
+    sizes = [len(s) for s in (*ours, *theirs)]
+    found, shingle = np.unique(np.concatenate([*ours, *theirs]), return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    is_ours = owner < n
+    in_ours = np.bincount(shingle[is_ours], minlength=len(found))
+    in_theirs = np.bincount(shingle[~is_ours], minlength=len(found))
+    both = (in_ours > 0) & (in_theirs > 0)
+    few = both & (in_ours + in_theirs <= FEW_SETS)
+
+    order = np.argsort(shingle, kind="stable")
+    order = order[few[shingle[order]]]
+    named, holder = shingle[order], owner[order]
+    met = []
+    for back in range(1, FEW_SETS):
+        # Of a shingle's holders ours stand before theirs.
+        x, y = holder[:-back], holder[back:]
+        pair = (named[:-back] == named[back:]) & (x < n) & (y >= n)
+        met.append(x[pair] * len(theirs) + y[pair] - n)
+    counts = np.bincount(np.concatenate(met), minlength=n * len(theirs))
+    counts = counts.reshape(n, len(theirs)).astype(np.int64)
+
+    many = both & ~few
+    column = np.cumsum(many) - 1
+    at = many[shingle]
+    row, column = owner[at], column[shingle[at]]
+    for start in range(0, int(many.sum()), PRODUCT_SHINGLES):
+        here = (column >= start) & (column < start + PRODUCT_SHINGLES)
+        width = min(PRODUCT_SHINGLES, int(many.sum()) - start)
+        has = np.zeros((len(sizes), width), np.float32)
+        has[row[here], column[here] - start] = 1
+        counts += (has[:n] @ has[n:].T).astype(np.int64)
+    return counts
+
+
+def joining_links(linked: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> list[tuple[int, int]]:
+    """Places of links that join all components, given by label, that any link joins."""
+    ours, theirs = ours.copy(), theirs.copy()
+    links = []
+    for i in np.flatnonzero(linked.any(axis=1)).tolist():
+        places = np.flatnonzero(linked[i])
+        labels, first = np.unique(theirs[places], return_index=True)
+        for label, at in zip(labels.tolist(), places[first].tolist(), strict=True):
+            if label != ours[i]:
+                links.append((i, at))
+                joined = ours[i]
+                ours[ours == label] = joined
+                theirs[theirs == label] = joined
+    return links
+
+
+def _links_in_large(large: DataFrame, nodes: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Links (a, b) that join all components which similar rows of large buckets belong to.
+
+    ``large`` has the rows of ``_mixed``. A bucket is cut into blocks of at most
+    ``LARGE_BLOCK_ROWS`` rows and about ``BLOCK_SHINGLES`` shingles, and each
+    pair of blocks is compared where both blocks' texts are, on the full sets of
+    all rows with a near one. The largest component stands last, and its
+    blocks do not meet one another. A pair of blocks yields fewer links than
+    it has rows, however many of its rows are similar.
+    """
+    whole = Window.partitionBy("key")
+    place = F.struct("own", "label")
+    before = whole.orderBy("own", "label", "node").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest("n_shingles", F.lit(BLOCK_SHINGLES // LARGE_BLOCK_ROWS))
+    block = F.floor(F.coalesce(F.sum("weight").over(before), F.lit(0)) / BLOCK_SHINGLES).cast("int")
+    placed = (
+        large.select("key", "label", F.col("member.node").alias("node"))
+        .join(nodes.select("node", weight.alias("weight")), "node")
+        .withColumn("own", F.count(F.lit(1)).over(Window.partitionBy("key", "label")))
+        .withColumn("block", block)
+        .withColumn("largest", place == F.max(place).over(whole))
+        .withColumn("alone", F.min("largest").over(Window.partitionBy("key", "block")))
+        .withColumn("last", F.max("block").over(whole))
+        .withColumn("mixed", F.max(F.when(~F.col("alone"), F.col("block"))).over(whole))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("alone"), F.col("mixed")).otherwise(F.col("last")))))
+        .select("key", "node", "label", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     )
-    node, near = F.col("member.node"), F.col("other.member.node")
-    met = mixed_up.withColumn("following", following).select("member", F.explode(worth).alias("other"))
-    pairs = met.select(F.least(node, near).alias("a"), F.greatest(node, near).alias("b")).distinct()
-    return within_distance(pairs, nodes)
+    texts = bodies.join(nodes.select("node", "signature"), "node")
+    return placed.join(texts, "node").groupBy("key", "x", "y").applyInArrow(_linked_in_blocks, "a bigint, b bigint")
+
+
+def _linked_in_blocks(rows: pa.Table) -> pa.Table:
+    """Links of different components between the rows of two blocks, or of one with itself."""
+    x, y = rows["x"][0].as_py(), rows["y"][0].as_py()
+    block, node, label = (rows[c].to_numpy() for c in ("block", "node", "label"))
+    symbols = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+    ours, theirs = np.flatnonzero(block == x), np.flatnonzero(block == y)
+    in_ours, in_theirs = np.zeros(len(ours), bool), np.zeros(len(theirs), bool)
+    for start in range(0, len(ours), 64):
+        here = ours[start : start + 64]
+        near = (symbols[here, None] != symbols[theirs][None]).sum(axis=2) <= MOST_DIFFERENCES
+        near &= label[here, None] != label[theirs][None]
+        in_ours[start : start + 64] = near.any(axis=1)
+        in_theirs |= near.any(axis=0)
+    ours, theirs = ours[in_ours], theirs[in_theirs]
+    links = []
+    if len(ours):
+        sets = {i: shingle_set(zlib.decompress(rows["body"][i].as_py())) for i in {*ours.tolist(), *theirs.tolist()}}
+        first, second = ([sets[i] for i in side.tolist()] for side in (ours, theirs))
+        common = common_counts(first, second)
+        size, sizes = (np.array([len(s) for s in side]) for side in (first, second))
+        linked = 100 * common >= SIMILARITY_PERCENT * (size[:, None] + sizes - common)
+        linked &= label[ours][:, None] != label[theirs]
+        links = joining_links(linked, label[ours], label[theirs])
+    a, b = (np.array([node[side[link[n]]] for link in links], np.int64) for n, side in enumerate((ours, theirs)))
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
 def _all_others(mixed_up: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -375,8 +493,7 @@ def _all_others(mixed_up: DataFrame, nodes: DataFrame) -> DataFrame:
     own = Window.partitionBy("key", "label")
     by_label = whole.orderBy("own", "label")
     placed = (
-        mixed_up.withColumn("size", F.count(F.lit(1)).over(whole))
-        .withColumn("own", F.count(F.lit(1)).over(own))
+        mixed_up.withColumn("own", F.count(F.lit(1)).over(own))
         .withColumn("place", F.row_number().over(by_label.orderBy("own", "label", "member")) - 1)
         # The default frame ends with the last row of the same component.
         .withColumn("behind", F.count(F.lit(1)).over(by_label))

@@ -125,6 +125,67 @@ def test_large_group_of_differently_edited_copies(spark):
     assert sorted(tuple(r) for r in got) == sorted(components(rows))
 
 
+def test_pairs_listed_for_a_large_group_of_far_copies_do_not_grow_with_its_square(spark, monkeypatch):
+    """No two of them are linked, but those nearest to one another, and all are near."""
+    words, n = prose(41, 100).split(), 200
+    rows = []
+    for k in range(n):
+        picker, copy = random.Random(k // 2), list(words)
+        for place in picker.sample(range(100), 3):
+            copy[place] = f"edit{k // 2}x{place}"
+        rows.append((k, " ".join(copy + [f"end{k}"] * (k % 2)), *[None] * 6))
+    listed, stage = [], N.stage
+
+    def counted(df, label, *more):
+        staged = stage(df, label, *more)
+        if label in ("pairs", "links"):
+            listed.append(staged.rows)
+        return staged
+
+    monkeypatch.setattr(N, "stage", counted)
+    got = found(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(components(rows))
+    assert sum(listed) < 30 * n
+
+
+def test_links_of_large_buckets_equal_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(N, "LARGE_BUCKET", 2)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 500)
+    monkeypatch.setattr(N, "LARGE_BLOCK_ROWS", 5)
+    made = corpus()
+    assert rows(found(spark.createDataFrame(made, SCHEMA))) == components(made)
+
+
+def test_common_counts_are_those_of_the_sets(monkeypatch):
+    random_ = np.random.default_rng(5)
+    for most, products in ((40, 7), (400, 4096)):
+        monkeypatch.setattr(N, "PRODUCT_SHINGLES", products)
+        ours, theirs = (
+            [np.unique(random_.integers(0, most, random_.integers(1, 60)).astype(np.uint64)) for _ in range(n)]
+            for n in (30, 45)
+        )
+        want = [[len(set(x.tolist()) & set(y.tolist())) for y in theirs] for x in ours]
+        assert N.common_counts(ours, theirs).tolist() == want
+
+
+def test_joining_links_join_what_all_links_join():
+    random_ = np.random.default_rng(6)
+    for _ in range(50):
+        linked = random_.random((12, 15)) < 0.06
+        ours, theirs = random_.integers(0, 9, 12), random_.integers(0, 9, 15)
+
+        def joined(places, ours=ours, theirs=theirs):
+            group = {n: n for n in range(9)}
+            for i, j in places:
+                old, new = group[ours[i]], group[theirs[j]]
+                group = {n: new if g == old else g for n, g in group.items()}
+            return {frozenset(n for n in group if group[n] == g) for g in group.values()}
+
+        links = N.joining_links(linked, ours, theirs)
+        assert all(linked[i, j] for i, j in links) and len(links) < 9
+        assert joined(links) == joined(np.argwhere(linked).tolist())
+
+
 def test_only_wanted_texts_are_hashed(spark, plan_of):
     docs = spark.createDataFrame([(i, prose(i, 20), *[None] * 6) for i in range(8)], SCHEMA)
     nodes = spark.createDataFrame([(i, bytes([i]), i) for i in range(8)], "node bigint, set_id binary, least bigint")
