@@ -20,6 +20,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +48,10 @@ BATCH = 2048
 RATE = 0.4
 ROUNDS = 4
 
-# Tokens whose order is shuffled in training, and whose scores are held at a time.
+# Tokens whose order is shuffled in training, and whose scores, of all units, are held
+# at a time; they stay in a core's cache from the product to the sums.
 SHUFFLED_TOKENS = 1 << 16
-SCORED_TOKENS = 1 << 13
+SCORED_TOKENS = 1 << 11
 
 # Bytes of texts that are scored together; a longer text is scored by itself.
 SCORED_BYTES = 1 << 17
@@ -145,22 +147,28 @@ class Vocabulary:
 
     def units_of(self, words: Sequence[bytes]) -> np.ndarray:
         """Unit of each word."""
-        return np.array([self._units[word] for word in words], np.int16)
+        return np.fromiter(map(self._units.__getitem__, words), np.int16, len(words))
+
+    @cached_property
+    def _units_by_place(self) -> np.ndarray:
+        """Units of the head, and one more that stands for the place -1."""
+        return np.append(self.units, 0).astype(np.int16)
 
     def look_up(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, dict[int, bytes]]:
         """Place in the head (-1: none) and unit of each word; keys of the words without a place."""
         get = self.places.get
-        places = np.array([get(word, -1) for word in words], np.int64)
-        units = np.append(self.units, 0).astype(np.int16)[places]
-        others: dict[int, bytes] = {}
-        for i in np.flatnonzero(places < 0).tolist():
-            key = words[i]
-            if len(key) > KEY_BYTES:
-                key = key_of(key)
-                places[i] = get(key, -1)
-            units[i] = self._units[key]
-            if places[i] < 0:
-                others[i] = key
+        places = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
+        units = self._units_by_place[places]
+        at = np.flatnonzero(places < 0)
+        others = {i: words[i] for i in at.tolist()}
+        long = {i: key_of(word) for i, word in others.items() if len(word) > KEY_BYTES}
+        others |= long
+        units[at] = self.single + np.fromiter(map(class_of, others.values()), np.int64, len(at))
+        for i, key in long.items():
+            place = get(key, -1)
+            if place >= 0:
+                places[i], units[i] = place, self._units_by_place[place]
+                del others[i]
         return places, units, others
 
 

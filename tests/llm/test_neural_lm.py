@@ -131,6 +131,36 @@ def test_a_step_follows_the_gradient():
     assert gain(moved) > gain(model)
 
 
+def test_scores_that_are_held_at_a_time_are_few_and_their_number_changes_nothing(small, monkeypatch):
+    _, language = small
+    model, n = language.model, language.vocabulary.n_units
+    most = 4 * neural_lm.SCORED_TOKENS * (neural_lm.UNIT_WORDS + neural_lm.CLASSES)
+    assert most <= 1 << 21
+    picker = np.random.default_rng(0)
+    before = picker.integers(0, n, (neural_lm.CONTEXT, 500)).astype(np.int16)
+    unit = picker.integers(0, n, 500).astype(np.int16)
+    want = model.log10_probabilities(before, unit)
+    monkeypatch.setattr(neural_lm, "SCORED_TOKENS", 7)
+    assert model.log10_probabilities(before, unit) == pytest.approx(want, abs=1e-5)
+
+
+def test_places_and_units_of_words_in_and_beyond_the_head():
+    long, far = b"x" * 100, b"y" * 100
+    words = [neural_lm.END, b"a", neural_lm.key_of(long), b"bc"]
+    kinds = [neural_lm.class_of(word) for word in words]
+    units = np.array([0, 1, 2 + kinds[2], 2 + kinds[3]])
+    places = {word: place for place, word in enumerate(words)}
+    some = np.ones(2 + neural_lm.CLASSES)
+    v = neural_lm.Vocabulary(places, np.ones(4), units, len(some), 2, 4, 4, some, some)
+    asked = [b"bc", long, b"other", far, b"", b"a", b"other"]
+    found, looked, others = v.look_up(asked)
+    assert found.tolist() == [3, 2, -1, -1, 0, 1, -1]
+    assert others == {2: b"other", 3: neural_lm.key_of(far), 6: b"other"}
+    class_of = lambda word: 2 + neural_lm.class_of(neural_lm.key_of(word))
+    assert looked.tolist() == [class_of(b"bc"), class_of(long), class_of(b"other"), class_of(far), 0, 1, class_of(b"other")]
+    assert v.units_of(asked).tolist() == looked.tolist()
+
+
 def test_reruns_agree(spark, small):
     docs, language = small
     again = neural_lm.train(docs)
