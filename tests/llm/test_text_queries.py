@@ -21,7 +21,8 @@ from millrace.workspace import fresh_path
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for name in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     yield connection
     connection.close()
 
